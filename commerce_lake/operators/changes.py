@@ -12,6 +12,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import scalars as X
@@ -33,17 +34,52 @@ def key_id(key: Column) -> Column:
     )
 
 
-def normalize_change(df: DataFrame, raw: str = "raw_data") -> DataFrame:
+def evaluate_once(df: DataFrame, keep: list[str], exprs: dict[str, Column]) -> DataFrame:
+    """Evaluate expensive expressions (JSON parses) exactly once per row.
+
+    The optimizer pushes a filter below the projection that feeds it by
+    inlining the projected expressions, so a parse in a projection with
+    a filter on its result would run in both places.  Emitting the
+    results through a one-row generator makes them generator output,
+    which filters cannot be pushed below; one parse per row remains.
+    """
+    row = F.struct(*[c.alias(n) for n, c in exprs.items()])
+    return df.select(*keep, F.inline(F.array(row)))
+
+
+def envelope_schema(doc_schema: T.StructType | None = None) -> T.StructType:
+    """Envelope of every event shape; ``after`` typed with ``doc_schema`` when given.
+
+    With a document schema the unwrapped shape's fields are read from the
+    root in the same parse.
+    """
+    if doc_schema is None:
+        return S.ENVELOPE
+    fields = [
+        T.StructField("payload", T.StructType([
+            T.StructField("op", T.StringType()), T.StructField("ts_ms", T.StringType()),
+            T.StructField("after", doc_schema)])),
+        T.StructField("op", T.StringType()), T.StructField("ts_ms", T.StringType()),
+        T.StructField("after", doc_schema), T.StructField("__deleted", T.StringType()),
+    ]
+    names = {f.name for f in fields}
+    return T.StructType(fields + [f for f in doc_schema.fields if f.name not in names])
+
+
+def normalize_change(df: DataFrame, raw: str = "raw_data", doc_schema: T.StructType | None = None) -> DataFrame:
     """Unwrap every event shape to ``_doc, _op, _ts_ms, _deleted, _key_id``.
 
     Shapes: ``{"payload": {op, ts_ms, after}}`` with ``after`` an object
     or JSON text, the same without ``payload``, and the unwrapped
     document (``__deleted`` flag, operation from the ``__op`` header or
     the ``_kafka_op`` column, event time from the Kafka timestamp).
-    The raw text is parsed once, with every leaf read as text.
+
+    Without ``doc_schema``, ``_doc`` is the after-image as JSON text.
+    With it, ``_doc`` is the typed after-image (leaves as declared),
+    read in the same single parse of the raw text; only an ``after``
+    sent as encoded text is parsed a second time.
     """
-    env = F.from_json(F.col(raw), S.ENVELOPE)
-    out = df.withColumn("_env", env)
+    parsed = evaluate_once(df, df.columns, {"_env": F.from_json(F.col(raw), envelope_schema(doc_schema))})
     e = F.col("_env")
     enveloped = e["payload"].isNotNull()
     rooted = ~enveloped & (e["op"].isNotNull() | e["after"].isNotNull())
@@ -56,9 +92,18 @@ def normalize_change(df: DataFrame, raw: str = "raw_data") -> DataFrame:
         F.when(flat, F.coalesce(_maybe(df, "_kafka_op", "string"),
                                 F.when(flat_deleted, F.lit("d")), F.lit("r"))),
     )
-    out = out.select(
+    if doc_schema is None:
+        doc = F.when(enveloped, e["payload"]["after"]).when(rooted, e["after"]).otherwise(F.col(raw))
+    else:
+        def reparse(path: str) -> Column:
+            return F.from_json(F.get_json_object(F.col(raw), path), doc_schema)
+        root_doc = F.struct(*[e[f.name].alias(f.name) for f in doc_schema.fields])
+        doc = (F.when(enveloped, F.coalesce(e["payload"]["after"], reparse("$.payload.after")))
+               .when(rooted, F.coalesce(e["after"], reparse("$.after")))
+               .otherwise(root_doc))
+    return parsed.select(
         *[F.col(c) for c in df.columns],
-        F.when(enveloped, e["payload"]["after"]).when(rooted, e["after"]).otherwise(F.col(raw)).alias("_doc"),
+        doc.alias("_doc"),
         op.alias("_op"),
         F.when(enveloped, X.uint_or_zero(e["payload"]["ts_ms"]))
         .when(rooted, X.uint_or_zero(e["ts_ms"]))
@@ -66,7 +111,6 @@ def normalize_change(df: DataFrame, raw: str = "raw_data") -> DataFrame:
         ((op == "d") | (flat & flat_deleted)).alias("_deleted"),
         key_id(_maybe(df, "_kafka_key", "string")).alias("_key_id"),
     )
-    return out
 
 
 def op_from_header(df: DataFrame, headers: str = "headers", name: str = "__op") -> Column:

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import scalars as X
@@ -79,39 +80,53 @@ def has_lines(col: str = "line_items") -> Column:
     return F.coalesce(X.json_length(F.col(col)) > 0, F.lit(False))
 
 
+_LINE_ARRAY = T.ArrayType(S.LINE_ITEM_DOC)
+
+
+def parse_lines(col: str = "line_items") -> Column:
+    """Line-item JSON array -> array of (product_id, quantity, price) structs, leaves as text.
+
+    One typed parse per order; only arrays holding a non-object element
+    (which make the typed parse fail) fall back to parsing element by
+    element, so valid elements next to junk are kept.  Text that is not
+    an array gives NULL, and exploding NULL or [] yields no row, which
+    is exactly the non-empty-array guard (D-6).
+    """
+    text = F.col(col)
+    per_element = F.transform(X.json_array(text), lambda e: F.from_json(e, S.LINE_ITEM_DOC))
+    return F.when(F.ltrim(text).startswith("["),
+                  F.coalesce(F.from_json(text, _LINE_ARRAY), per_element))
+
+
 def line_items(stg_orders: DataFrame, latest_only: bool = False) -> DataFrame:
-    """One row per valid order line (M6).
-
-    Orders with a known status and a non-empty array are exploded
-    (empty arrays give no row), each element parsed once; lines need a
-    quantity and a price text that convert to positive numbers.  By
-    default every order version contributes its lines, as in the
-    reference (D5); ``latest_only=True`` keeps the newest version per
-    order first.
+    """One row per valid order line (M6, F4, F8, F11, D-7).
+
+    Orders with a known status are exploded (empty or non-array line
+    lists give no row); lines need a quantity and a price that convert
+    to positive numbers (missing text converts to 0).  By default every
+    order version contributes its lines, as in the reference (D5);
+    ``latest_only=True`` keeps the newest version per order first.
     """
     o = stg_orders
     if latest_only:
         o = C.latest_per_key(o, ["order_id"])
-    o = C.keep_values(o, "order_status", S.ORDER_STATUSES).where(has_lines())
+    o = C.keep_values(o, "order_status", S.ORDER_STATUSES)
+    # explode the parse expression itself (not a column) so no inferred
+    # size filter re-parses the text below the generator
     ex = o.select(
         "order_id", "customer_id", "ordered_at", X.to_day("ordered_at").alias("order_date"),
         "order_status", "_operation", "_event_timestamp_ms", "_extracted_at",
-        F.explode(X.json_array("line_items")).alias("_line"))
-    li = F.from_json(F.col("_line"), S.LINE_ITEM_DOC)
-    p = ex.withColumn("_li", li)
-    q_text = X.text_or_empty(F.col("_li")["quantity"])
-    p_text = X.text_or_empty(F.col("_li")["price"])
-    q, u = X.double_or_zero(q_text), X.double_or_zero(p_text)
-    out = p.select(
+        F.explode(parse_lines()).alias("_li"))
+    li = F.col("_li")
+    q = X.double_or_zero(li["quantity"])
+    u = X.double_or_zero(li["price"])
+    out = ex.select(
         "order_id", "customer_id",
-        X.text_or_empty(F.col("_li")["product_id"]["$oid"]).alias("product_id"),
+        X.text_or_empty(li["product_id"]["$oid"]).alias("product_id"),
         "ordered_at", "order_date", "order_status",
         q.alias("quantity"), u.alias("unit_price"), (q * u).alias("line_total"),
-        "_operation", "_event_timestamp_ms", "_extracted_at",
-        q_text.alias("_q_text"), p_text.alias("_p_text"))
-    return (out.where((F.col("_q_text") != "") & (F.col("_p_text") != "")
-                      & (F.col("quantity") > 0) & (F.col("unit_price") > 0))
-            .drop("_q_text", "_p_text"))
+        "_operation", "_event_timestamp_ms", "_extracted_at")
+    return out.where((F.col("quantity") > 0) & (F.col("unit_price") > 0))
 
 
 # --- fact metrics (W2-W8) ---------------------------------------------------------

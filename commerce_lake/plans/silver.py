@@ -18,10 +18,9 @@ from ..operators import changes as C
 
 
 def _parsed(bronze: DataFrame, doc_schema, include_deletes: bool) -> DataFrame:
-    n = C.normalize_change(bronze)
-    n = n.withColumn("_d", F.from_json(F.col("_doc"), doc_schema))
+    n = C.normalize_change(bronze, doc_schema=doc_schema).withColumnRenamed("_doc", "_d")
     live_id = X.text_or_empty(F.col("_d")["_id"]["$oid"])
-    keep = F.col("_doc").isNotNull() & (live_id != "")
+    keep = F.col("_d").isNotNull() & (live_id != "")
     if include_deletes:
         # envelope deletes carry no after-image: the id comes from the key
         n = n.withColumn("_id_text", F.when(F.col("_op") == "d", F.coalesce(F.col("_key_id"), live_id))

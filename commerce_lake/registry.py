@@ -18,6 +18,7 @@ from .functions import scalars as X
 from .operators import changes as C
 from .operators import quality as Q
 from .plans import gold, reports, silver
+from .plans.pipeline import materialize
 from .session import pin_session
 from .sources import fixtures as FX
 from .sources.tables import read_table
@@ -34,6 +35,7 @@ class Lake:
                  order_updates: bool = False):
         pin_session(spark)
         self.spark, self.sf_dir, self.shape, self.order_updates = spark, sf_dir, shape, order_updates
+        self._lines = None
 
     def log(self, entity: str) -> DataFrame:
         return FX.changelog_from_tables(self.spark, self.sf_dir, entity, self.shape, self.order_updates)
@@ -60,8 +62,15 @@ class Lake:
     def lines(self, latest_only: bool = False) -> DataFrame:
         return gold.line_items(self.stg_orders(), latest_only)
 
-    def fact(self, deletes: str = "ignore", unmatched: str = "defaults") -> DataFrame:
-        return gold.fact_orders(self.lines(), self.dim_customers(deletes), self.dim_products(), AS_OF, unmatched)
+    def shared_lines(self) -> DataFrame:
+        """Line items written once and re-read by every consumer of one query."""
+        if self._lines is None:
+            self._lines = materialize(self.lines(), "line_items")
+        return self._lines
+
+    def fact(self, deletes: str = "ignore", unmatched: str = "defaults", ordered: bool = False) -> DataFrame:
+        return gold.fact_orders(self.shared_lines(), self.dim_customers(deletes), self.dim_products(), AS_OF,
+                                unmatched, ordered)
 
     def daily(self) -> DataFrame:
         return gold.daily_sales(self.lines(), AS_OF)
@@ -379,8 +388,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         lambda s, d: gold.dim_products(Lake(s, d).stg_products(), AS_OF, ordered=True),
         f"SELECT {_DIM_P_COLS} FROM dim_products ORDER BY product_name"),
     "s3_fact_sorted": _q(
-        lambda s, d: gold.fact_orders(Lake(s, d).lines(), Lake(s, d).dim_customers(), Lake(s, d).dim_products(),
-                                      AS_OF, ordered=True),
+        lambda s, d: Lake(s, d).fact(ordered=True),
         f"SELECT {_FACT_COLS} FROM fact_orders ORDER BY ordered_at DESC, order_id, product_id"),
     "s4_top_orders": _q(lambda s, d: reports.top_orders(Lake(s, d).fact(), AS_OF_ORDERS, 7, 20), f"""
         SELECT {', '.join(reports.TOP_ORDER_COLUMNS)} FROM fact_orders

@@ -250,7 +250,12 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str, entity: str, shape: str
     from ..streaming.ingest import accept, to_bronze
 
     log = changelog_from_tables(spark, sf_dir, entity, shape, order_updates)
-    return to_bronze(accept(log), ingested_at=ingested_at, keep_key=True)
+    if shape == "flat":
+        # unwrapped deletes carry "__deleted": true and are dropped by the
+        # loader; the other shapes are non-empty objects by construction,
+        # so the loader's filters would keep every row
+        log = accept(log)
+    return to_bronze(log, ingested_at=ingested_at, keep_key=True)
 
 
 def bronze_all(spark: SparkSession, sf_dir: str, shape: str = "envelope",
