@@ -116,7 +116,7 @@ def normalize_change(df: DataFrame, raw: str = "raw_data", doc_schema: T.StructT
 def op_from_header(df: DataFrame, headers: str = "headers", name: str = "__op") -> Column:
     """Operation carried in a message header."""
     h = F.filter(F.col(headers), lambda x: x["key"] == name)
-    return F.element_at(h, 1)["value"].cast("string")
+    return F.try_element_at(h, F.lit(1))["value"].cast("string")
 
 
 def rewrite_deletes(df: DataFrame) -> DataFrame:

@@ -109,12 +109,20 @@ def unique_failures(df: DataFrame, col: str) -> DataFrame:
 
 
 def run_checks(models: dict[str, DataFrame], checks: Iterable[tuple] = CHECKS,
-               kinds: Iterable[str] = CHECK_KINDS) -> DataFrame:
-    """One row per check of the given models: model, column_name, check_name, argument, failures, passed."""
+               kinds: Iterable[str] = CHECK_KINDS, missing: str = "error") -> DataFrame:
+    """One row per check of the given models: model, column_name, check_name, argument, failures, passed.
+
+    A check on a column the model lacks raises (``missing='error'``) or
+    is left out (``missing='skip'``).
+    """
     kinds = set(kinds)
     parts: list[DataFrame] = []
     for model, df in models.items():
         mine = [c for c in checks if c[0] == model and c[2] in kinds]
+        absent = sorted({c[1] for c in mine if c[1] not in df.columns})
+        if absent and missing == "error":
+            raise ValueError(f"model {model} lacks checked columns {absent}")
+        mine = [c for c in mine if c[1] in df.columns]
         row_level = [(i, c) for i, c in enumerate(mine) if c[2] != "unique"]
         for _, col, kind, arg in [c for c in mine if c[2] == "unique"]:
             parts.append(unique_failures(df, col).select(

@@ -17,6 +17,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
@@ -159,7 +160,9 @@ def ensure_bronze(spark: SparkSession, root: str, mapping: dict[str, str] | None
 
 def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
     """One bronze table; readers give the schema so empty tables read too."""
-    return (spark.read.schema(_bronze_schema())
+    # the batch id is a partition column: found from the folder names
+    schema = T.StructType([f for f in _bronze_schema().fields if f.name != BATCH_COL])
+    return (spark.read.schema(schema)
             .option("basePath", bronze_path(root, table)).parquet(bronze_path(root, table)))
 
 
@@ -174,11 +177,10 @@ def _empty(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], _bronze_schema())
 
 
-def _bronze_schema():
-    schema = S.BRONZE
-    for f in S.BRONZE_OPTIONAL.fields:
-        schema = schema.add(f)
-    return schema.add(BATCH_COL, "long")
+def _bronze_schema() -> T.StructType:
+    # StructType.add mutates; build a fresh schema every time
+    return T.StructType(list(S.BRONZE.fields) + list(S.BRONZE_OPTIONAL.fields)
+                        + [T.StructField(BATCH_COL, T.LongType())])
 
 
 def table_stats(tables: dict[str, DataFrame]) -> DataFrame:
