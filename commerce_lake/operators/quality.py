@@ -7,7 +7,9 @@ reported), ``unique`` counts values that occur more than once.
 
 All row-level checks of one model fold into a single aggregate pass
 (one ``count_if`` column per check, partial aggregation on every task);
-each ``unique`` check is one grouped count with map-side combine.
+all ``unique`` checks of one model share one grouped count over
+(column, value) pairs with map-side combine.  Each model is therefore
+read at most twice, whatever the number of checks.
 """
 
 from __future__ import annotations
@@ -102,10 +104,22 @@ def failing_rows(df: DataFrame, col: str, kind: str, arg=None) -> Column:
     raise ValueError(f"not a row-level check: {kind}")
 
 
-def unique_failures(df: DataFrame, col: str) -> DataFrame:
-    """Number of non-NULL values occurring more than once (one row)."""
-    return (df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > 1).agg(F.count(F.lit(1)).alias("failures")))
+def unique_failures(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Per column, the number of non-NULL values occurring more than once (one row per column).
+
+    One exchange for all columns: rows become (column, value) pairs,
+    counted per pair with partial aggregation, so a very frequent value
+    is pre-counted on every task before the shuffle.
+    """
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols
+    ])).alias("_p")).select("_p.*").where(F.col("value").isNotNull())
+    dup = (pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > 1))
+    per_col = dup.agg(*[F.count_if(F.col("column_name") == c).alias(f"_u{i}") for i, c in enumerate(cols)])
+    return per_col.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"_u{i}").cast("bigint").alias("failures"))
+        for i, c in enumerate(cols)])))
 
 
 def run_checks(models: dict[str, DataFrame], checks: Iterable[tuple] = CHECKS,
@@ -124,10 +138,11 @@ def run_checks(models: dict[str, DataFrame], checks: Iterable[tuple] = CHECKS,
             raise ValueError(f"model {model} lacks checked columns {absent}")
         mine = [c for c in mine if c[1] in df.columns]
         row_level = [(i, c) for i, c in enumerate(mine) if c[2] != "unique"]
-        for _, col, kind, arg in [c for c in mine if c[2] == "unique"]:
-            parts.append(unique_failures(df, col).select(
-                F.lit(model).alias("model"), F.lit(col).alias("column_name"), F.lit(kind).alias("check_name"),
-                F.lit(arg_text(arg)).alias("argument"), F.col("failures").cast("bigint").alias("failures")))
+        uniq = [c[1] for c in mine if c[2] == "unique"]
+        if uniq:
+            parts.append(unique_failures(df, uniq).select(
+                F.lit(model).alias("model"), "column_name", F.lit("unique").alias("check_name"),
+                F.lit("").alias("argument"), "failures"))
         if row_level:
             agg = df.agg(*[failing_rows(df, col, kind, arg).alias(f"_c{i}") for i, (_, col, kind, arg) in row_level])
             stacked = F.array(*[F.struct(F.lit(model).alias("model"), F.lit(col).alias("column_name"),
