@@ -37,15 +37,20 @@ RESET_DRAIN = (5000, 120)
 # --- sources -----------------------------------------------------------------
 
 def read_changes(spark: SparkSession, topics=None, pattern: str | None = None, streaming: bool = True,
-                 options: dict | None = None, path: str | None = None, fmt: str = "kafka") -> DataFrame:
-    """Change-log frame from Kafka (``fmt='kafka'``) or from files with the same columns (A1, A2).
+                 options: dict | None = None, path: str | None = None, fmt: str = "kafka",
+                 max_per_trigger: int | None = None) -> DataFrame:
+    """Change-log frame from Kafka (``fmt='kafka'``) or from files with the same columns.
 
     Kafka: subscribe to ``topics`` (or ``pattern``) from the earliest
     offset; key and value arrive as text.  Files (``fmt='parquet'`` or
     ``'json'``): the folder holds change-log rows; topic selection is a
-    filter.
+    filter.  ``max_per_trigger`` caps one micro-batch: offsets on Kafka
+    (``maxOffsetsPerTrigger``), files on a file source
+    (``maxFilesPerTrigger``).
     """
     opts = dict(options or {})
+    if max_per_trigger and streaming:
+        opts["maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger"] = str(max_per_trigger)
     if fmt == "kafka":
         reader = spark.readStream if streaming else spark.read
         reader = reader.format("kafka").option("startingOffsets", "earliest")
@@ -226,7 +231,7 @@ def batch_writer(root: str, mapping: dict[str, str] | None = None, lenient: bool
 
 
 def ingest(changes: DataFrame, root: str, checkpoint: str, mode: str = "batch",
-           max_per_trigger: int | None = None, reset: bool = False, interval: str = "5 seconds",
+           reset: bool = False, interval: str = "5 seconds",
            mapping: dict[str, str] | None = None, lenient: bool = False) -> StreamingQuery:
     """Start the bronze loader on a streaming change log.
 
@@ -235,9 +240,7 @@ def ingest(changes: DataFrame, root: str, checkpoint: str, mode: str = "batch",
     processing-time trigger.  ``checkpoint`` tracks offsets, so a
     re-run resumes where the last one stopped; ``reset=True`` empties
     bronze and starts a fresh checkpoint from the earliest offset.
-    ``max_per_trigger`` caps the rows of one micro-batch (on the Kafka
-    source ``maxOffsetsPerTrigger``; give ``maxFilesPerTrigger`` to
-    file sources through their options).
+    Micro-batch size is a source setting (``read_changes(max_per_trigger=)``).
     """
     spark = changes.sparkSession
     if reset:
@@ -255,14 +258,6 @@ def ingest(changes: DataFrame, root: str, checkpoint: str, mode: str = "batch",
     return w.start()
 
 
-def kafka_options(max_per_trigger: int | None = None, **extra) -> dict:
-    """Reader options of the Kafka source for a capped micro-batch size."""
-    out = {k.replace("_", "."): v for k, v in extra.items()}
-    if max_per_trigger:
-        out["maxOffsetsPerTrigger"] = str(max_per_trigger)
-    return out
-
-
 def run_stream(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
     """Wait for a query, stopping it after ``timeout_s`` seconds."""
     if timeout_s is None:

@@ -96,3 +96,10 @@ def test_daily_sales_counts_versions(spark):
         (12.0, 2, 2, 3)
     r2 = gold.daily_sales(gold.line_items(stg, latest_only=True), AS_OF).first()
     assert r2["total_revenue"] == 8.0
+
+
+def test_keep_raw_column(spark):
+    b = bronze(spark, [order("1", [])])
+    assert "_raw_data" not in silver.orders(b).columns
+    r = silver.orders(b, keep_raw=True).first()
+    assert r["_raw_data"].startswith('{"payload"') and r["line_items"] == "[]"

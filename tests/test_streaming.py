@@ -21,7 +21,7 @@ def counts(spark, root):
 
 
 def run(spark, src, root, ckpt, **kw):
-    changes = I.read_changes(spark, path=src, fmt="parquet", options={"maxFilesPerTrigger": "1"})
+    changes = I.read_changes(spark, path=src, fmt="parquet", max_per_trigger=1)
     q = I.ingest(changes, root, ckpt, mode="batch", **kw)
     I.run_stream(q, timeout_s=300)
     return q
@@ -76,3 +76,24 @@ def test_table_stats_and_drain(spark):
     stats = {r["table_name"]: r["row_count"] for r in I.table_stats(I.route(b)).collect()}
     assert stats == expected(spark)
     assert I.drain(log, 50).count() == 50
+
+
+def test_realtime_mode_and_timeout(spark, scratch):
+    src, root, ckpt = (os.path.join(scratch, d) for d in ("src", "bronze", "ckpt"))
+    FX.changelog_from_events(read_table(spark, SMALL, "events")).repartition(2).write.parquet(src)
+    changes = I.read_changes(spark, path=src, fmt="parquet", topics=["customers", "products", "orders"])
+    q = I.ingest(changes, root, ckpt, mode="realtime", interval="1 second")
+    q.processAllAvailable()
+    I.run_stream(q, timeout_s=1)          # still running after the timeout: stopped
+    assert not q.isActive
+    assert counts(spark, root) == expected(spark)
+
+
+def test_pipeline_build(spark, scratch):
+    from commerce_lake.plans import pipeline
+    bronze = FX.bronze_all(spark, SMALL, ingested_at="2024-01-01")
+    g = pipeline.build(spark, bronze, os.path.join(scratch, "gold"), as_of="2024-01-01")
+    assert set(g) == {"dim_customers", "dim_products", "fact_orders", "fct_daily_sales"}
+    assert spark.table("fact_orders").count() == g["fact_orders"].count() > 0
+    assert spark.table("stg_orders").count() > 0                      # silver registered as a view
+    assert g["fct_daily_sales"].where("total_revenue <= 0").count() == 0
