@@ -238,6 +238,46 @@ def _m3(s, d):
                       "_event_timestamp_ms", "_extracted_at")
 
 
+def _f13(s, d):
+    """Registration times rendered in six text forms (by key), parsed back."""
+    c = read_table(s, d, "customer")
+    k = F.col("c_custkey")
+    reg = F.lit(AS_OF).cast("timestamp") - F.make_dt_interval(days=(k % 800).cast("int"))
+    millis = F.unix_millis(reg).cast("string")
+    forms = [F.date_format(reg, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), F.date_format(reg, "yyyy-MM-dd HH:mm:ss"),
+             F.date_format(reg, "yyyy-MM-dd"), F.unix_seconds(reg).cast("string"), millis,
+             F.concat(F.lit('{"$date": '), millis, F.lit("}"))]
+    text = F.element_at(F.array(*forms), (k % 6 + 1).cast("int"))
+    return c.select(k.cast("string").alias("customer_id"), (k % 6).alias("variant"),
+                    X.parse_ts(text).alias("registered_at"))
+
+
+def _f11_f12(s, d):
+    """Part sizes rendered as plain, fractional, exponent, junk and padded text, read leniently."""
+    p = read_table(s, d, "part")
+    k, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    forms = [size, F.concat(size, F.lit(".0")), F.concat(size, F.lit("e0")), F.concat(F.lit("abc"), size),
+             F.concat(F.lit(" "), size, F.lit(" "))]
+    text = F.element_at(F.array(*forms), (k % 5 + 1).cast("int"))
+    return p.select(k.cast("string").alias("product_id"), (k % 5).alias("variant"),
+                    X.double_or_zero(text).alias("as_double"), X.int_or_zero(text).alias("as_int"))
+
+
+def _f1_f6(s, d):
+    """Path-based JSON access on the raw order events."""
+    raw = Lake(s, d).bronze("orders").select("raw_data")
+    li = X.json_raw("raw_data", "payload", "after", "line_items")
+    return raw.select(
+        X.json_text("raw_data", "payload", "after", "_id", "$oid").alias("order_id"),
+        X.json_text("raw_data", "payload", "after", "customer_id", "$oid").alias("customer_id"),
+        X.json_text("raw_data", "payload", "after", "status").alias("order_status"),
+        X.json_text("raw_data", "payload", "after", "missing").alias("missing"),
+        X.json_has("raw_data", "payload", "after", "line_items").alias("has_line_items"),
+        X.json_long("raw_data", "payload", "ts_ms").alias("ts_ms"),
+        X.json_length(li).alias("n_line_items"),
+        F.size(X.json_array(li)).alias("n_elements"))
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     # --- models -----------------------------------------------------------------
     "m1_stg_customers": _q(lambda s, d: _sel(Lake(s, d).stg_customers(), _STG_C_COLS + ", _extracted_at"),
@@ -339,6 +379,21 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "d10_since_days": _q(_d10, f"""
         SELECT order_date, count(*) AS row_count, sum(line_total) AS revenue FROM fact_orders
         WHERE order_date >= DATE '{O.ORDERS_RECENT_FROM}' GROUP BY 1"""),
+    # --- scalar functions over whole tables -------------------------------------------------
+    "f13_parse_ts_formats": _q(_f13, f"""
+        SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_custkey % 6 AS variant,
+               {O.AS_OF} - to_days(CAST(c_custkey % 800 AS INTEGER)) AS registered_at FROM customer"""),
+    "f11_f12_lenient_numbers": _q(_f11_f12, """
+        SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_partkey % 5 AS variant,
+               CASE WHEN p_partkey % 5 IN (0, 1, 2) THEN CAST(p_size AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS as_double,
+               CASE WHEN p_partkey % 5 = 0 THEN p_size ELSE 0 END AS as_int FROM part"""),
+    "f1_f6_json_paths": _q(_f1_f6, f"""
+        SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+               {O._STATUS} AS order_status, '' AS missing,
+               n.n IS NOT NULL AS has_line_items, CAST(1000 AS BIGINT) AS ts_ms,
+               CAST(n.n AS INTEGER) AS n_line_items, CAST(n.n AS INTEGER) AS n_elements
+        FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) n
+             ON n.l_orderkey = o_orderkey"""),
     # --- joins ------------------------------------------------------------------------------------
     "j1_j2_enrich": _q(
         lambda s, d: Lake(s, d).fact().select("order_id", "product_id", "quantity", "unit_price",
