@@ -275,7 +275,7 @@ def _f1_f6(s, d):
         X.json_has("raw_data", "payload", "after", "line_items").alias("has_line_items"),
         X.json_long("raw_data", "payload", "ts_ms").alias("ts_ms"),
         X.json_length(li).alias("n_line_items"),
-        F.size(X.json_array(li)).alias("n_elements"))
+        F.when(li.isNotNull(), F.size(X.json_array(li))).alias("n_elements"))
 
 
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
