@@ -36,6 +36,11 @@ def as_timestamp(as_of) -> Column:
     return F.lit(str(as_of)).cast("timestamp")
 
 
+def stamp(df, name: str, as_of=None):
+    """Add one clock column (audit time, D-11): one value per query, pinned by ``as_of``."""
+    return df.withColumn(name, as_timestamp(as_of))
+
+
 # --- JSON access (F1-F7) -------------------------------------------------
 
 def json_path(*steps: str) -> str:
@@ -179,7 +184,7 @@ def to_day(ts: ColumnOrName) -> Column:
 
 
 def minus_days(t: ColumnOrName, n: int) -> Column:
-    """Timestamp minus n days; date minus n days for dates (F16)."""
+    """Timestamp minus n whole days (F16)."""
     return _col(t) - F.make_dt_interval(days=F.lit(n))
 
 

@@ -27,6 +27,8 @@ from ..operators import changes as C
 log = logging.getLogger(__name__)
 
 REJECTS_TABLE = "_rejects"
+# mapping value that names every bronze table after its topic
+BY_TOPIC = "by_topic"
 TABLE_COL = "table_name"
 BATCH_COL = "_batch_id"
 # Drain caps of the batch and reset modes (messages, seconds).
@@ -49,16 +51,12 @@ def read_changes(spark: SparkSession, topics=None, pattern: str | None = None, s
     (``maxFilesPerTrigger``).
     """
     opts = dict(options or {})
-    if max_per_trigger and streaming:
-        opts["maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger"] = str(max_per_trigger)
+    if max_per_trigger and streaming and fmt != "kafka":
+        opts["maxFilesPerTrigger"] = str(max_per_trigger)
     if fmt == "kafka":
         reader = spark.readStream if streaming else spark.read
-        reader = reader.format("kafka").option("startingOffsets", "earliest")
-        if pattern:
-            reader = reader.option("subscribePattern", pattern)
-        else:
-            reader = reader.option("subscribe", ",".join(topics or S.TOPIC_TABLES))
-        for k, v in opts.items():
+        reader = reader.format("kafka")
+        for k, v in kafka_options(topics, pattern, max_per_trigger if streaming else None, opts).items():
             reader = reader.option(k, v)
         df = reader.load().select(
             F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
@@ -76,6 +74,21 @@ def read_changes(spark: SparkSession, topics=None, pattern: str | None = None, s
     return df
 
 
+def kafka_options(topics=None, pattern: str | None = None, max_per_trigger: int | None = None,
+                  extra: dict | None = None) -> dict:
+    """Kafka source options: the subscription, earliest start, optional micro-batch cap."""
+    out = {"startingOffsets": "earliest"}
+    if pattern:
+        out["subscribePattern"] = pattern
+    else:
+        names = [t if "." in t else S.topic_of(t) for t in (topics or S.TOPIC_TABLES)]
+        out["subscribe"] = ",".join(names)
+    if max_per_trigger:
+        out["maxOffsetsPerTrigger"] = str(max_per_trigger)
+    out.update(extra or {})
+    return out
+
+
 # --- classification ---------------------------------------------------------
 
 def reject_reason(df: DataFrame, mapping: dict[str, str] | None = None, lenient: bool = False) -> Column:
@@ -87,7 +100,7 @@ def reject_reason(df: DataFrame, mapping: dict[str, str] | None = None, lenient:
     """
     mapping = mapping or S.TOPIC_TABLES
     v = F.col("value").cast("string")
-    known = F.col("topic").isin(list(mapping))
+    known = F.col("topic").isNotNull() if mapping == BY_TOPIC else F.col("topic").isin(list(mapping))
     return (F.when(~known, F.lit("unknown_topic"))
             .when(v.isNull() | (F.trim(v) == ""), F.lit("empty"))
             .when(~X.json_is_object(v), F.lit("malformed"))
@@ -114,7 +127,8 @@ def to_bronze(df: DataFrame, ingested_at=None, keep_key: bool = False, with_tabl
 
     ``keep_key`` adds the message key and the ``__op`` header (needed to
     apply deletes and to read unwrapped events); ``with_table`` adds the
-    target table of each row's topic (B3).
+    target table of each row's topic (B3), or the topic itself with
+    ``mapping=BY_TOPIC`` (B7).
     """
     ts = (F.date_trunc("second", F.current_timestamp()) if ingested_at is None
           else X.as_timestamp(ingested_at))
@@ -126,9 +140,12 @@ def to_bronze(df: DataFrame, ingested_at=None, keep_key: bool = False, with_tabl
         cols += [F.col("key").cast("string").alias("_kafka_key"), op.alias("_kafka_op")]
     if with_table:
         m = mapping or S.TOPIC_TABLES
-        table = F.lit(None).cast("string")
-        for topic, name in m.items():
-            table = F.when(F.col("topic") == topic, F.lit(name)).otherwise(table)
+        if m == BY_TOPIC:
+            table = F.col("topic")
+        else:
+            table = F.lit(None).cast("string")
+            for topic, name in m.items():
+                table = F.when(F.col("topic") == topic, F.lit(name)).otherwise(table)
         cols.append(table.alias(TABLE_COL))
     return df.select(*cols)
 
@@ -136,6 +153,8 @@ def to_bronze(df: DataFrame, ingested_at=None, keep_key: bool = False, with_tabl
 def route(bronze: DataFrame, mapping: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """Split bronze rows (with ``table_name``) into one frame per table."""
     m = mapping or S.TOPIC_TABLES
+    if m == BY_TOPIC:
+        raise ValueError("route needs an explicit topic -> table mapping")
     return {t: bronze.where(F.col(TABLE_COL) == t).drop(TABLE_COL) for t in m.values()}
 
 
@@ -155,9 +174,14 @@ def bronze_path(root: str, table: str) -> str:
     return os.path.join(root, f"{TABLE_COL}={table}")
 
 
+def _tables(mapping) -> list[str]:
+    m = mapping or S.TOPIC_TABLES
+    return list(S.TOPIC_TABLES) if m == BY_TOPIC else list(m.values())
+
+
 def ensure_bronze(spark: SparkSession, root: str, mapping: dict[str, str] | None = None) -> None:
     """Create empty bronze tables that do not exist yet (B1)."""
-    for t in (mapping or S.TOPIC_TABLES).values():
+    for t in _tables(mapping):
         path = bronze_path(root, t)
         if not _exists(spark, path):
             _empty(spark).write.mode("overwrite").partitionBy(BATCH_COL).parquet(path)
@@ -173,7 +197,7 @@ def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 def truncate(spark: SparkSession, root: str, mapping: dict[str, str] | None = None) -> None:
     """Empty the bronze tables."""
-    for t in (mapping or S.TOPIC_TABLES).values():
+    for t in _tables(mapping):
         (_empty(spark).write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy(BATCH_COL).parquet(bronze_path(root, t)))
 

@@ -120,3 +120,10 @@ def test_variance(spark):
     df = spark.createDataFrame([(10.0, 10.005), (10.0, 10.02), (10.0, None)], "a double, b double")
     got = [r[0] for r in df.select(X.has_variance("a", "b")).collect()]
     assert got == [False, True, False]
+
+
+def test_json_valid_and_stamp(spark):
+    df = spark.createDataFrame([('{"a": 1}',), ("[1]",), ("{bad",), (None,)], "v string")
+    assert [r[0] for r in df.select(X.json_valid("v")).collect()] == [True, True, False, False]
+    r = X.stamp(df, "_processed_at", "2024-01-01").select("_processed_at").first()[0]
+    assert r == dt.datetime(2024, 1, 1)

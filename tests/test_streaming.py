@@ -97,3 +97,16 @@ def test_pipeline_build(spark, scratch):
     assert spark.table("fact_orders").count() == g["fact_orders"].count() > 0
     assert spark.table("stg_orders").count() > 0                      # silver registered as a view
     assert g["fct_daily_sales"].where("total_revenue <= 0").count() == 0
+
+
+def test_topic_named_tables_and_kafka_options(spark, scratch):
+    root = os.path.join(scratch, "bronze")
+    log = FX.changelog_from_events(read_table(spark, SMALL, "events"))
+    I.batch_writer(root, mapping=I.BY_TOPIC)(log, 0)
+    got = {t: I.read_bronze(spark, root, t).count() for t in S.TOPIC_TABLES}
+    want = expected(spark)
+    assert got == {t: want[S.TOPIC_TABLES[t]] for t in S.TOPIC_TABLES}
+    opts = I.kafka_options(["customers"], max_per_trigger=100)
+    assert opts == {"startingOffsets": "earliest", "subscribe": "mongo.ecom.ecom.customers",
+                    "maxOffsetsPerTrigger": "100"}
+    assert I.kafka_options(pattern=S.TOPIC_PATTERN)["subscribePattern"] == S.TOPIC_PATTERN
