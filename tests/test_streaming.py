@@ -97,6 +97,8 @@ def test_pipeline_build(spark, scratch):
     assert spark.table("fact_orders").count() == g["fact_orders"].count() > 0
     assert spark.table("stg_orders").count() > 0                      # silver registered as a view
     assert g["fct_daily_sales"].where("total_revenue <= 0").count() == 0
+    from commerce_lake.sources.tables import load
+    assert load(spark, "dim_customers", os.path.join(scratch, "gold")).count() == g["dim_customers"].count()
 
 
 def test_topic_named_tables_and_kafka_options(spark, scratch):
