@@ -7,10 +7,13 @@ Shuffle budget, by design:
 * line items: row-local explode + parse, no exchange;
 * fact: per-order, per-customer and per-product metrics are partial
   aggregates joined back on their key instead of whole-partition
-  windows, so a hot customer or product is pre-reduced map-side and the
-  join-back can be split by adaptive skew handling; the dimension is
-  joined to its metric table first (both small, keyed alike) so the
-  line rows cross one exchange per key;
+  windows, so a hot customer or product is pre-reduced map-side.  Each
+  dimension is joined to its metric table first (both one row per
+  key), and the three keyed side tables are written once
+  (``materialize_keys``): every join-back then reads a shuffle on both
+  sides, which adaptive execution splits when one key holds a large
+  share of the lines (it cannot split a join fed directly by an
+  aggregate), and the broadcast decision sees the written size;
 * daily sales: two aggregations with partial (map-side) combine.
 
 Joins carry no hints: Spark broadcasts a side only when its measured
@@ -28,6 +31,7 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..functions import scalars as X
 from ..operators import changes as C
+from .materialize import materialize
 
 
 def _latest(stg: DataFrame, key: str, deletes: str) -> DataFrame:
@@ -175,12 +179,17 @@ def _dflt(c: str, value, unmatched: str) -> Column:
 
 
 def fact_orders(lines: DataFrame, dim_c: DataFrame, dim_p: DataFrame, as_of=None,
-                unmatched: str = "defaults", ordered: bool = False) -> DataFrame:
+                unmatched: str = "defaults", ordered: bool = False,
+                materialize_keys: bool = True) -> DataFrame:
     """Order lines enriched with customer and product data and metrics.
 
     ``unmatched='defaults'`` fills columns of a missing customer or
     product with type defaults ('' / 0 / false; the age stays NULL) as
     the reference's engine does; ``'nulls'`` keeps SQL NULLs.
+    ``materialize_keys`` writes the three keyed side tables (one row
+    per order, customer, product) to the shared checkpoint folder
+    first, so hot keys can be split at the join-back; with ``False``
+    the plan stays fully lazy.
     """
     if unmatched not in ("defaults", "nulls"):
         raise ValueError("unmatched must be 'defaults' or 'nulls'")
@@ -196,7 +205,12 @@ def fact_orders(lines: DataFrame, dim_c: DataFrame, dim_p: DataFrame, as_of=None
         "product_id", "product_name",
         F.col("price").alias("current_product_price"),
         "price_category", "inventory_status", "is_out_of_stock"), "product_id", "left")
-    f = lines.join(order_metrics(lines), "order_id").join(cust, "customer_id").join(prod, "product_id")
+    orders = order_metrics(lines)
+    if materialize_keys:
+        orders = materialize(orders, "order_metrics")
+        cust = materialize(cust, "customer_side")
+        prod = materialize(prod, "product_side")
+    f = lines.join(orders, "order_id").join(cust, "customer_id").join(prod, "product_id")
     price = (F.coalesce(F.col("current_product_price"), F.lit(0.0)) if unmatched == "defaults"
              else F.col("current_product_price"))
     filled = {

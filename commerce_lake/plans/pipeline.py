@@ -11,26 +11,12 @@ never a machine-local one, so they survive the loss of an executor.
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import checkpoint_dir
 from ..sources.tables import register_views
 from . import gold, silver
-
-
-def materialize(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
-
-    Cuts the lineage (a lost executor recomputes from the files, not
-    from the raw JSON) and lets several consumers share one
-    computation.
-    """
-    base = root or checkpoint_dir(df.sparkSession)
-    path = os.path.join(base, "commerce_lake", f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+from .materialize import materialize
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:

@@ -18,7 +18,7 @@ from .functions import scalars as X
 from .operators import changes as C
 from .operators import quality as Q
 from .plans import gold, reports, silver
-from .plans.pipeline import materialize
+from .plans.materialize import materialize
 from .session import pin_session
 from .sources import fixtures as FX
 from .sources.tables import read_table
