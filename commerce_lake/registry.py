@@ -103,10 +103,6 @@ def _shape_dim(shape: str):
     return lambda s, d: Lake(s, d, shape=shape).dim_customers()
 
 
-def _events_by_table(df: DataFrame) -> DataFrame:
-    return df.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
-
-
 def _q_checks(kind: str):
     def run(s, d):
         lake = Lake(s, d)

@@ -158,9 +158,13 @@ def route(bronze: DataFrame, mapping: dict[str, str] | None = None) -> dict[str,
     return {t: bronze.where(F.col(TABLE_COL) == t).drop(TABLE_COL) for t in m.values()}
 
 
-def drain(df: DataFrame, max_messages: int) -> DataFrame:
+def drain(df: DataFrame, max_messages: int = BATCH_DRAIN[0]) -> DataFrame:
     """The first ``max_messages`` accepted rows in log order (A5, batch form).
 
+    ``BATCH_DRAIN`` and ``RESET_DRAIN`` hold the caps of the batch and
+    reset modes; on a stream the same bound is ``run_stream(timeout_s=)``
+    plus the source's ``max_per_trigger``.
+
     The cap is the feature here (the bounded drain of the batch mode);
     Spark keeps a top-n per task and merges, so no task sees more than
     n rows.
