@@ -7,6 +7,8 @@ work grows with the tables.  Clock columns are pinned (``AS_OF``).
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +21,7 @@ from .operators import changes as C
 from .operators import quality as Q
 from .plans import gold, reports, silver
 from .plans.materialize import materialize
-from .session import pin_session
+from .session import checkpoint_dir, pin_session
 from .sources import fixtures as FX
 from .sources.tables import read_table
 from .streaming import ingest as I
@@ -274,6 +276,24 @@ def _f1_f6(s, d):
         F.when(li.isNotNull(), F.size(X.json_array(li))).alias("n_elements"))
 
 
+def _t1(s, d):
+    """Streaming loader end to end: change-log files -> one query -> three bronze tables.
+
+    The change log built from ``events`` is written as files, read by a
+    file stream one file per micro-batch (availableNow) and loaded by the
+    idempotent three-table writer; the result is the bronze row count
+    per table.
+    """
+    base = os.path.join(checkpoint_dir(s), "commerce_lake", f"t1-{uuid.uuid4().hex}")
+    src, root, ckpt = (os.path.join(base, p) for p in ("changelog", "bronze", "_checkpoint"))
+    _events_log(s, d).repartition(4, "partition").write.parquet(src)
+    q = I.ingest(I.read_changes(s, path=src, fmt="parquet", max_per_trigger=1), root, ckpt, mode="batch")
+    I.run_stream(q, timeout_s=1800)
+    if q.exception() is not None:
+        raise RuntimeError(f"bronze stream failed: {q.exception()}")
+    return I.table_stats({t: I.read_bronze(s, root, t) for t in S.TOPIC_TABLES.values()})
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     # --- models -----------------------------------------------------------------
     "m1_stg_customers": _q(lambda s, d: _sel(Lake(s, d).stg_customers(), _STG_C_COLS + ", _extracted_at"),
@@ -325,6 +345,8 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         FROM events WHERE event_type NOT IN ('error', 'click')"""),
     "b3_route": _q(_b3, f"SELECT {O.EVENTS_TABLE} AS table_name, count(*) AS row_count FROM events "
                         "WHERE event_type NOT IN ('error', 'click') GROUP BY 1"),
+    "t1_stream_ingest": _q(_t1, f"SELECT {O.EVENTS_TABLE} AS table_name, count(*) AS row_count FROM events "
+                                "WHERE event_type NOT IN ('error', 'click') GROUP BY 1"),
     "b6_table_stats": _q(_b6, """
         SELECT 'mongo_ecom_customers' AS table_name,
                (SELECT count(*) + count(*) FILTER (WHERE c_custkey % 3 = 0)
