@@ -93,16 +93,21 @@ def json_is_object(text: ColumnOrName) -> Column:
 
 
 def json_flag(text: ColumnOrName, key: str, lenient: bool = False) -> Column:
-    """A top-level key holds boolean truth.
+    """A top-level key equals boolean truth.
 
-    Faithful mode: JSON ``true`` and the number 1 count, the string
-    ``"true"`` does not.  ``lenient=True`` also accepts the string.
+    Faithful mode follows an equality test against ``True``: JSON
+    ``true`` and numbers equal to 1 count; other numbers, strings and
+    anything else do not.  ``lenient=True`` also accepts the string
+    ``"true"`` (any case).
     """
     v = F.try_variant_get(F.try_parse_json(_col(text)), f"$.{key}", "variant")
-    truth = F.coalesce(F.try_variant_get(v, "$", "boolean"), F.lit(False))
+    kind = F.schema_of_variant(v)
+    numeric = kind.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)")
+    truth = (F.when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
+             .when(numeric, F.try_variant_get(v, "$", "double") == 1.0))
     if lenient:
-        return truth
-    return truth & ~F.coalesce(F.schema_of_variant(v) == "STRING", F.lit(False))
+        truth = truth.when(kind == "STRING", F.lower(F.try_variant_get(v, "$", "string")) == "true")
+    return F.coalesce(truth, F.lit(False))
 
 
 # --- text (F9, F10) --------------------------------------------------------

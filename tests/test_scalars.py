@@ -74,7 +74,8 @@ def test_json_helpers(spark):
 
 def test_json_flag_and_object(spark):
     rows = [('{"__deleted": true}',), ('{"__deleted": "true"}',), ('{"__deleted": 1}',),
-            ('{"__deleted": false}',), ('[1]',), ('5',), ('{bad',)]
+            ('{"__deleted": false}',), ('[1]',), ('5',), ('{bad',), ('{"__deleted": 2}',), ('{"__deleted": 1.0}',),
+            ('{"__deleted": "TRUE"}',), ('{"__deleted": null}',), ('{"other": true}',)]
     df = spark.createDataFrame(rows, "v string").select(
         "v", X.json_flag("v", "__deleted").alias("f"), X.json_flag("v", "__deleted", lenient=True).alias("lf"),
         X.json_is_object("v").alias("obj"))
@@ -84,6 +85,10 @@ def test_json_flag_and_object(spark):
     assert got['{"__deleted": 1}'][0] is True
     assert got['{"__deleted": false}'][0] is False
     assert got["[1]"][2] is False and got["5"][2] is False and got["{bad"][2] is False  # D18
+    assert got['{"__deleted": 2}'][:2] == (False, False)          # 2 == True is false
+    assert got['{"__deleted": 1.0}'][0] is True
+    assert got['{"__deleted": "TRUE"}'][:2] == (False, True)
+    assert got['{"__deleted": null}'][:2] == (False, False) and got['{"other": true}'][:2] == (False, False)
 
 
 def test_bucket_edges(spark):
