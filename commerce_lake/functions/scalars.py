@@ -149,10 +149,18 @@ def uint_or_zero(x: ColumnOrName) -> Column:
 
 # --- dates (F13-F17) -------------------------------------------------------
 
+# Further text forms read after the ISO forms fail
+# (compact digits, day-first with slashes or dots, day-month-name).
+EXTRA_TIME_FORMATS = ("yyyyMMdd", "yyyyMMddHHmmss", "dd/MM/yyyy", "dd/MM/yyyy HH:mm:ss",
+                      "dd.MM.yyyy", "dd.MM.yyyy HH:mm:ss", "d MMM yyyy", "d MMM yyyy HH:mm:ss")
+
+
 def _epoch_or_text(s: Column) -> Column:
+    text = F.coalesce(s.try_cast("timestamp"),
+                      *[F.try_to_timestamp(s, F.lit(fmt)) for fmt in EXTRA_TIME_FORMATS])
     return (F.when(s.rlike(r"^\d{13}$"), F.timestamp_millis(s.cast("bigint")))
             .when(s.rlike(r"^\d{10}$"), F.timestamp_seconds(s.cast("bigint")))
-            .otherwise(s.try_cast("timestamp")))
+            .otherwise(text))
 
 
 def parse_ts(x: ColumnOrName, strict: bool = False) -> Column:
@@ -160,8 +168,8 @@ def parse_ts(x: ColumnOrName, strict: bool = False) -> Column:
 
     Accepted, in order: 13-digit epoch millis, 10-digit epoch seconds,
     anything Spark casts to a timestamp (ISO with or without zone and
-    'T', space form, date only) and the extended-JSON wrapper
-    ``{"$date": <millis or ISO text>}``.  Empty text gives NULL.  Other
+    'T', space form, date only), the ``EXTRA_TIME_FORMATS`` and the
+    extended-JSON wrapper ``{"$date": <millis or ISO text>}``.  Empty text gives NULL.  Other
     text gives NULL, or fails the query when ``strict``.
     """
     s = F.trim(_col(x))

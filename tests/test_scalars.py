@@ -37,7 +37,14 @@ def test_parse_ts_formats(spark):
         '{"$date": 1704067200000}': dt.datetime(2024, 1, 1),
         '{"$date": "2024-01-02T00:00:00Z"}': dt.datetime(2024, 1, 2),
         '{"$date": {"$numberLong": "1704067200000"}}': dt.datetime(2024, 1, 1),
+        "20240102": dt.datetime(2024, 1, 2),
+        "20240102030405": dt.datetime(2024, 1, 2, 3, 4, 5),
+        "02/01/2024": dt.datetime(2024, 1, 2),
+        "02.01.2024 03:04:05": dt.datetime(2024, 1, 2, 3, 4, 5),
+        "2 Jan 2024": dt.datetime(2024, 1, 2),
+        "2024-01-02T03:04:05+01:00": dt.datetime(2024, 1, 2, 2, 4, 5),
         "junk": None,
+        "31/02/2024": None,
         "": None,
     }
     rows = [(k,) for k in cases]
