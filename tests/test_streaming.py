@@ -112,3 +112,19 @@ def test_topic_named_tables_and_kafka_options(spark, scratch):
     assert opts == {"startingOffsets": "earliest", "subscribe": "mongo.ecom.ecom.customers",
                     "maxOffsetsPerTrigger": "100"}
     assert I.kafka_options(pattern=S.TOPIC_PATTERN)["subscribePattern"] == S.TOPIC_PATTERN
+
+
+def test_silver_and_line_items_run_on_a_stream(spark, scratch):
+    from commerce_lake.plans import gold, silver
+    bronze_dir, out, ckpt = (os.path.join(scratch, d) for d in ("bronze", "lines", "ckpt"))
+    FX.bronze_from_tables(spark, SMALL, "orders", ingested_at="2024-01-01").repartition(3).write.parquet(bronze_dir)
+    batch = gold.line_items(silver.orders(spark.read.parquet(bronze_dir), "2024-01-01"))
+    schema = spark.read.parquet(bronze_dir).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(bronze_dir)
+    lines = gold.line_items(silver.orders(stream, "2024-01-01"))
+    q = (lines.writeStream.format("parquet").option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start(out))
+    I.run_stream(q, timeout_s=300)
+    got = spark.read.parquet(out)
+    assert got.count() == batch.count() > 0
+    assert got.exceptAll(batch.select(*got.columns)).count() == 0
