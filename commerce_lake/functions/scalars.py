@@ -86,21 +86,25 @@ def json_valid(text: ColumnOrName) -> Column:
     return F.try_parse_json(_col(text)).isNotNull()
 
 
+def variant_is_object(v: Column) -> Column:
+    """A parsed JSON value (VARIANT) is an object."""
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+
+
 def json_is_object(text: ColumnOrName) -> Column:
     """Text parses as a JSON object (not an array or a scalar)."""
-    return F.coalesce(F.schema_of_variant(F.try_parse_json(_col(text))).startswith("OBJECT"),
-                      F.lit(False))
+    return variant_is_object(F.try_parse_json(_col(text)))
 
 
-def json_flag(text: ColumnOrName, key: str, lenient: bool = False) -> Column:
-    """A top-level key equals boolean truth.
+def variant_flag(parsed: Column, key: str, lenient: bool = False) -> Column:
+    """A top-level key of a parsed JSON value (VARIANT) equals boolean truth.
 
     Faithful mode follows an equality test against ``True``: JSON
     ``true`` and numbers equal to 1 count; other numbers, strings and
     anything else do not.  ``lenient=True`` also accepts the string
     ``"true"`` (any case).
     """
-    v = F.try_variant_get(F.try_parse_json(_col(text)), f"$.{key}", "variant")
+    v = F.try_variant_get(parsed, f"$.{key}", "variant")
     kind = F.schema_of_variant(v)
     numeric = kind.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)")
     truth = (F.when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
@@ -110,6 +114,11 @@ def json_flag(text: ColumnOrName, key: str, lenient: bool = False) -> Column:
     return F.coalesce(truth, F.lit(False))
 
 
+def json_flag(text: ColumnOrName, key: str, lenient: bool = False) -> Column:
+    """A top-level key of JSON text equals boolean truth (F7, D17); see ``variant_flag``."""
+    return variant_flag(F.try_parse_json(_col(text)), key, lenient)
+
+
 # --- text (F9, F10) --------------------------------------------------------
 
 def full_name(first: ColumnOrName, last: ColumnOrName) -> Column:

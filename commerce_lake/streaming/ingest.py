@@ -91,9 +91,11 @@ def kafka_options(topics=None, pattern: str | None = None, max_per_trigger: int
 
 # --- classification ---------------------------------------------------------
 
-def reject_reason(df: DataFrame, mapping: dict[str, str] | None = None, lenient: bool = False) -> Column:
+def reject_reason(parsed: Column, mapping: dict[str, str] | str | None = None,
+                  lenient: bool = False) -> Column:
     """Why a change-log row does not reach bronze; NULL when accepted.
 
+    ``parsed`` is the message parsed as VARIANT (``try_parse_json``).
     ``empty`` (tombstone or blank) and ``deleted`` (soft delete) are
     silently dropped like the loader does; ``malformed`` (not a JSON
     object) and ``unknown_topic`` go to the dead-letter table (B10).
@@ -103,19 +105,27 @@ def reject_reason(df: DataFrame, mapping: dict[str, str] | None = None, lenient:
     known = F.col("topic").isNotNull() if mapping == BY_TOPIC else F.col("topic").isin(list(mapping))
     return (F.when(~known, F.lit("unknown_topic"))
             .when(v.isNull() | (F.trim(v) == ""), F.lit("empty"))
-            .when(~X.json_is_object(v), F.lit("malformed"))
-            .when(X.json_flag(v, "__deleted", lenient), F.lit("deleted")))
+            .when(~X.variant_is_object(parsed), F.lit("malformed"))
+            .when(X.variant_flag(parsed, "__deleted", lenient), F.lit("deleted")))
 
 
-def accept(df: DataFrame, lenient: bool = False) -> DataFrame:
-    """Rows the loader keeps: non-empty JSON objects not flagged deleted."""
-    return C.drop_deleted(C.drop_malformed(C.drop_empty(df)), lenient=lenient)
+def classify(df: DataFrame, mapping: dict[str, str] | str | None = None, lenient: bool = False,
+             name: str = "_reason") -> DataFrame:
+    """Add the reject reason of every message, parsing each message once."""
+    parsed = C.evaluate_once(df, df.columns, {"_parsed": F.try_parse_json(F.col("value").cast("string"))})
+    return parsed.select(*df.columns, reject_reason(F.col("_parsed"), mapping, lenient).alias(name))
 
 
-def split_rejects(df: DataFrame, mapping: dict[str, str] | None = None,
+def accept(df: DataFrame, lenient: bool = False, mapping: dict[str, str] | str | None = None) -> DataFrame:
+    """Rows the loader keeps: non-empty JSON objects not flagged deleted, on a known topic."""
+    c = classify(df, mapping or BY_TOPIC, lenient)
+    return c.where(F.col("_reason").isNull()).drop("_reason")
+
+
+def split_rejects(df: DataFrame, mapping: dict[str, str] | str | None = None,
                   lenient: bool = False) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, rejected rows with ``reason``) from one classification."""
-    c = df.withColumn("reason", reject_reason(df, mapping, lenient))
+    c = classify(df, mapping, lenient, name="reason")
     good = c.where(F.col("reason").isNull()).drop("reason")
     bad = c.where(F.col("reason").isin("malformed", "unknown_topic"))
     return good, bad
@@ -239,7 +249,7 @@ def batch_writer(root: str, mapping: dict[str, str] | None = None, lenient: bool
     """foreachBatch function: classify once, write bronze and rejects idempotently."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        c = batch.withColumn("_reason", reject_reason(batch, mapping, lenient)).persist()
+        c = classify(batch, mapping, lenient).persist()
         try:
             good = to_bronze(c.where(F.col("_reason").isNull()), ingested_at, keep_key=True,
                              with_table=True, mapping=mapping)
