@@ -23,7 +23,7 @@ from .plans import gold, reports, silver
 from .plans.materialize import materialize
 from .session import checkpoint_dir, pin_session
 from .sources import fixtures as FX
-from .sources.tables import read_table
+from .sources.tables import load, read_table
 from .streaming import ingest as I
 
 AS_OF = "2024-01-01 00:00:00"
@@ -322,6 +322,12 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "m8_daily_sales_all_versions": _q(lambda s, d: Lake(s, d, order_updates=True).daily(),
                                       f"SELECT {_DAILY_COLS} FROM fct_daily_sales", order_updates=True),
     # --- sources and ingestion --------------------------------------------------------
+    "a10_named_source": _q(
+        lambda s, d: load(s, "customer.parquet", d).agg(F.count(F.lit(1)).alias("row_count"),
+                                                        F.max("c_custkey").alias("max_key"),
+                                                        F.count_distinct("c_mktsegment").alias("segments")),
+        "SELECT count(*) AS row_count, max(c_custkey) AS max_key, count(DISTINCT c_mktsegment) AS segments "
+        "FROM customer"),
     "a2_topic_pattern": _q(
         lambda s, d: C.select_topics(_events_log(s, d), r"mongo\.ecom\.ecom\.(customers|orders)")
         .groupBy("topic").agg(F.count(F.lit(1)).alias("row_count")),
