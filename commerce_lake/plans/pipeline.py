@@ -48,12 +48,15 @@ def as_table(df: DataFrame, path: str, sort: list[str] | None = None,
 
 
 def build(spark: SparkSession, bronze: dict[str, DataFrame], out_root: str, as_of=None,
-          unmatched: str = "defaults", deletes: str = "ignore", cluster_fact: bool = True) -> dict[str, DataFrame]:
+          unmatched: str = "defaults", deletes: str = "ignore", cluster_fact: bool = False) -> dict[str, DataFrame]:
     """Run every model; returns the gold tables as read back from ``out_root``.
 
-    ``cluster_fact`` stores the fact range-clustered by (order_date,
-    order_id) so date filters read few files; it costs one exchange of
-    the fact at write time.
+    The fact's files are sorted by (order_date, order_id), so a date
+    filter skips row groups by their statistics.  ``cluster_fact``
+    additionally range-partitions the fact on those keys so it skips
+    whole files.  That costs an exchange plus the sampling pass that
+    range bounds need, which evaluates the fact's join pipeline once
+    more: worth it only for tables read far more often than written.
     """
     stg = {
         "stg_customers": silver.customers(bronze["customers"], as_of, include_deletes=deletes == "apply"),
