@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from . import packing, token_counts
+from . import ann, langid, lm, mixing, packing, pii, simhash, spotsigs, token_counts, warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,12 +35,53 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = (F.expr(f"cast(size(filter(pii_spans, x -> x.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in pii.base_kinds())
+    return found.select("doc_id", *counts, F.sha2(pii.listed("pii_spans", pii.base_kinds()), 256).alias("base_sha256"),
+                        pii.listed("pii_spans").alias("spans"))
+
+
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    return groups.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = docs.select("doc_id", "source", F.coalesce(F.length("text"), F.lit(0)).alias("size"))
+    return mixing.mix(sized, mixing.tempered_weights(docs)).drop("size")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_languages(table(spark, sf_dir, "documents"), PIECES)
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "warc")
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(manifest, folder, payloads=False).drop("url", "payload")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_token_counts)
+    f.__name__: f for f in (op1_best_fit_packing, op2_token_counts, op3_nearest_neighbours, op4_lm_scoring, op5_pii, op6_spotsigs,
+                            op7_simhash, op8_source_mixing, op9_language_id, op10_warc)
 }
 
 #: DuckDB statements of the operators that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_source_mixing": mixing.ORACLE, "op10_warc": warc.ORACLE}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
