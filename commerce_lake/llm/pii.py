@@ -69,7 +69,7 @@ KINDS = (
          "substring(m, 1, 3) not in ('000', '666') and substring(m, 1, 1) <> '9' and substring(m, 5, 2) <> '00' and substring(m, 8) <> '0000'",
          "ssn|social security"),
 )
-SPAN = "struct<kind:string,start:bigint,end:bigint,score:double>"
+NO_SPAN = "array_repeat(named_struct('kind', '', 'start', 0L, 'end', 0L, 'score', 0.0D), 0)"
 
 
 def _sql(text: str) -> str:
@@ -83,11 +83,11 @@ def _spans(kind: Kind) -> Column:
     # places first, so that the checks need no running state
     places = f"""aggregate({m}, named_struct('at', 0L, 'i', 0, 'out', array_repeat(named_struct('m', '', 's', 0L, 'near', ''), 0)),
       (a, x) -> named_struct('at', a.at + length({p}[a.i]) + length(x), 'i', a.i + 1, 'out', concat(a.out, array(named_struct(
-        'm', x, 's', a.at + length({p}[a.i]), 'near', concat(right({p}[a.i], {NEAR}), ' ', left({p}[a.i + 1], {NEAR})))))).out"""
+        'm', x, 's', a.at + length({p}[a.i]), 'near', concat(right({p}[a.i], {NEAR}), ' ', left({p}[a.i + 1], {NEAR}))))))).out"""
     checked = f"filter({places}, x -> exists(array(x.m), m -> {kind.check}))"
     made = f"""transform({checked}, x -> named_struct('kind', '{kind.name}', 'start', x.s, 'end', x.s + length(x.m),
       'score', cast(least(1.0, {kind.score} + if(x.near rlike {_sql(word)}, {CONTEXT_SCORE}, 0.0)) as double)))"""
-    return F.expr(f"if(size({m}) > 0, filter({made}, x -> {'true' if kind.base else f'x.score >= {THRESHOLD}'}), cast(array() as array<{SPAN}>))")
+    return F.expr(f"if(size({m}) > 0, filter({made}, x -> {'true' if kind.base else f'x.score >= {THRESHOLD}'}), {NO_SPAN})")
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
