@@ -115,19 +115,19 @@ WITH RECURSIVE d AS (
 w AS (SELECT k, sqrt(sum(size)::DOUBLE) AS weight FROM d GROUP BY k),
 q AS (SELECT k, greatest(round(weight / (SELECT sum(weight) FROM w) * 1024)::BIGINT, 1) AS quota,
              row_number() OVER (ORDER BY k) AS i FROM w),
-p AS (SELECT list(quota ORDER BY i) AS quota, sum(quota)::BIGINT AS slots FROM q),
+p AS (SELECT list(quota ORDER BY i) AS quotas, sum(quota)::BIGINT AS slots FROM q),
 s(t, done, pick) AS (
-  SELECT -1::BIGINT, list_transform(quota, lambda x: 0::BIGINT), 0::BIGINT FROM p
+  SELECT -1::BIGINT, list_transform(quotas, lambda x: 0::BIGINT), 0::BIGINT FROM p
   UNION ALL
   SELECT t + 1, list_transform(done, lambda x, i: CASE WHEN i = nxt THEN x + 1 ELSE x END), nxt FROM (
-    SELECT t, done, list_min(list_filter(list_transform(done, lambda x, i: CASE WHEN x < quota[i] AND x * slots // quota[i] <= t + 1
-      THEN ((x + 1) * slots + quota[i] - 1) // quota[i] * 100000 + i END), lambda x: x IS NOT NULL)) % 100000 AS nxt
+    SELECT t, done, list_min(list_filter(list_transform(done, lambda x, i: CASE WHEN x < quotas[i] AND x * slots // quotas[i] <= t + 1
+      THEN ((x + 1) * slots + quotas[i] - 1) // quotas[i] * 100000 + i END), lambda x: x IS NOT NULL)) % 100000 AS nxt
     FROM s, p WHERE t + 1 < slots)),
-turns AS (SELECT pick AS i, t AS at, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS turn FROM s WHERE t >= 0),
+turns AS (SELECT pick AS i, t AS place, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS turn FROM s WHERE t >= 0),
 b AS (SELECT doc_id, source, k, size, coalesce(sum(size) OVER (PARTITION BY k ORDER BY h, doc_id, size
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS mix_start FROM d),
 c AS (SELECT *, mix_start // 65536 AS mix_block FROM b)
 SELECT doc_id, source, mix_start, mix_block, mix_block * slots // quota AS mix_release,
-       ((mix_block + 1) * slots + quota - 1) // quota AS mix_deadline, mix_block // quota * slots + at AS mix_slot
+       ((mix_block + 1) * slots + quota - 1) // quota AS mix_deadline, mix_block // quota * slots + place AS mix_slot
 FROM c JOIN q USING (k) JOIN turns ON turns.i = q.i AND turns.turn = mix_block % quota, p
 """

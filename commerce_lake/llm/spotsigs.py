@@ -45,7 +45,7 @@ from .components import components
 
 # Frequent function words of English, German, French and Spanish.
 ANCHORS = frozenset(
-    "the of and to in is that it was for on with as be by at this are from "
+    "the of and to a in is that it was for on with as be by at this are from "
     "der die das und ist von den mit auf ein eine nicht zu des sich "
     "le la les et est que un une dans du pour il pas "
     "el los y se por con del las no su".split())
