@@ -65,10 +65,10 @@ class Model:
     languages: list[str]
     priors: np.ndarray                 # log share of the labelled documents
     pieces: dict[str, list[float]]     # piece -> probability in each language
+    longest: int = 0                   # characters of the longest piece
 
-    @property
-    def longest(self) -> int:
-        return max(map(len, self.pieces), default=1)
+    def __post_init__(self):
+        self.longest = max(map(len, self.pieces), default=1)
 
 
 def _arcs(word: str, pieces: dict[str, list[float]], longest: int, unknown: list[float]) -> list[list[tuple[int, str, list[float]]]]:
@@ -148,9 +148,10 @@ def fit(labelled: DataFrame, vocabulary_path: str, max_docs: int = 4000, iterati
             yield pa.RecordBatch.from_pydict({"lang": pa.array([k[0] for k in counted]), "word": pa.array([k[1] for k in counted]),
                                               "n": pa.array(list(counted.values()), pa.int64())})
 
-    # a broad sample of one task's documents at a time: the counter is bounded with the sample
+    # a task's counter is bounded with the sample
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     words = checkpointed(sample.select("lang", "text").mapInArrow(count, "lang string, word string, n long")
-                         .groupBy("lang", "word").agg(F.sum("n").alias("n")))
+                         .groupBy("lang", "word").agg(F.sum("n").alias("n")).repartition(parts))
     vocab = vocabulary(vocabulary_path)
     pieces = {p: [1.0 / len(vocab)] * len(languages) for p in vocab}
     for _ in range(iterations):

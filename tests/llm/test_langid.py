@@ -47,7 +47,7 @@ def test_long_words_do_not_vanish():
 
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
-    out = langid.identify_languages(docs, PIECES).join(docs.select("doc_id", "lang"), "doc_id")
+    out = langid.identify_languages(docs, PIECES).join(docs.select("doc_id", "lang"), "doc_id").cache()
     held = out.where("held_out")
     assert out.count() == docs.count() and held.count() > 100
     assert held.where("lang_pred = lang").count() / held.count() > 0.95
