@@ -81,42 +81,47 @@ def json_length(text: ColumnOrName) -> Column:
     return F.json_array_length(_col(text))
 
 
-def json_valid(text: ColumnOrName) -> Column:
-    """Text parses as JSON."""
-    return F.try_parse_json(_col(text)).isNotNull()
+_STRICT_JSON = {"allowSingleQuotes": "false"}
+
 
+def json_valid(text: ColumnOrName) -> Column:
+    """Text is one JSON value and nothing else.
 
-def variant_is_object(v: Column) -> Column:
-    """A parsed JSON value (VARIANT) is an object."""
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    Repeated keys (the last one counts) and NaN or Infinity are
+    accepted; text after the value, single quotes and unquoted names are
+    not.  The parser stops after the first value it reads, so the text
+    is read inside two different wrappers: what closes one early does
+    not fit the other.
+    """
+    t = _col(text)
+    listed = F.from_json(F.concat(F.lit("[["), t, F.lit("]]")), "array<array<string>>", _STRICT_JSON)
+    named = F.from_json(F.concat(F.lit('{"v":['), t, F.lit("]}")), "v array<string>", _STRICT_JSON)
+    return F.coalesce((F.size(listed) == 1) & (F.size(listed[0]) == 1) & (F.size(named["v"]) == 1), F.lit(False))
 
 
 def json_is_object(text: ColumnOrName) -> Column:
-    """Text parses as a JSON object (not an array or a scalar)."""
-    return variant_is_object(F.try_parse_json(_col(text)))
+    """Text is a JSON object (not an array or a scalar); see ``json_valid``."""
+    return F.coalesce(_col(text).rlike(r"^[ \t\r\n]*\{"), F.lit(False)) & json_valid(text)
 
 
-def variant_flag(parsed: Column, key: str, lenient: bool = False) -> Column:
-    """A top-level key of a parsed JSON value (VARIANT) equals boolean truth.
+def json_flag(text: ColumnOrName, key: str, lenient: bool = False) -> Column:
+    """A top-level key of JSON text equals boolean truth.
 
-    Faithful mode follows an equality test against ``True``: JSON
-    ``true`` and numbers equal to 1 count; other numbers, strings and
-    anything else do not.  ``lenient=True`` also accepts the string
-    ``"true"`` (any case).
+    Follows an equality test against ``True``: JSON ``true`` and numbers
+    equal to 1 count; other numbers, strings and anything else do not.
+    Of a repeated key the last value counts.  ``lenient=True`` also
+    accepts the string ``"true"`` (any case).  Only text that names the
+    key is parsed.
     """
-    v = F.try_variant_get(parsed, f"$.{key}", "variant")
-    kind = F.schema_of_variant(v)
-    numeric = kind.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)")
-    truth = (F.when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
-             .when(numeric, F.try_variant_get(v, "$", "double") == 1.0))
-    if lenient:
-        truth = truth.when(kind == "STRING", F.lower(F.try_variant_get(v, "$", "string")) == "true")
-    return F.coalesce(truth, F.lit(False))
+    t = _col(text)
 
+    def read(kind: str) -> Column:
+        return F.from_json(t, f"`{key}` {kind}", _STRICT_JSON)[key]
 
-def json_flag(text: ColumnOrName, key: str, lenient: bool = False) -> Column:
-    """A top-level key of JSON text equals boolean truth (F7, D17); see ``variant_flag``."""
-    return variant_flag(F.try_parse_json(_col(text)), key, lenient)
+    truth = F.coalesce(read("boolean"), read("double") == 1.0, F.lit(False))
+    if lenient:
+        truth = truth | F.coalesce(F.lower(read("string")) == "true", F.lit(False))
+    return F.when(t.contains(f'"{key}"'), truth).otherwise(F.lit(False))
 
 
 # --- text (F9, F10) --------------------------------------------------------
@@ -127,8 +132,8 @@ def full_name(first: ColumnOrName, last: ColumnOrName) -> Column:
 
 
 def is_blank(x: ColumnOrName) -> Column:
-    """NULL, empty or only white space."""
-    return F.coalesce(F.trim(_col(x)) == "", F.lit(True))
+    """NULL, empty or only white space of any kind."""
+    return F.coalesce(_col(x).rlike(r"(?U)^[\s\x1c-\x1f]*$"), F.lit(True))
 
 
 def text_or_empty(x: ColumnOrName) -> Column:
@@ -165,7 +170,8 @@ EXTRA_TIME_FORMATS = ("yyyyMMdd", "yyyyMMddHHmmss", "dd/MM/yyyy", "dd/MM/yyyy HH
 
 
 def _epoch_or_text(s: Column) -> Column:
-    text = F.coalesce(s.try_cast("timestamp"),
+    # the cast alone would read a bare time as today and any five digits as a year
+    text = F.coalesce(F.when(s.rlike(r"^\d{4}-\d{1,2}"), s.try_cast("timestamp")),
                       *[F.try_to_timestamp(s, F.lit(fmt)) for fmt in EXTRA_TIME_FORMATS])
     return (F.when(s.rlike(r"^\d{13}$"), F.timestamp_millis(s.cast("bigint")))
             .when(s.rlike(r"^\d{10}$"), F.timestamp_seconds(s.cast("bigint")))
@@ -176,8 +182,9 @@ def parse_ts(x: ColumnOrName, strict: bool = False) -> Column:
     """Best-effort timestamp from text.
 
     Accepted, in order: 13-digit epoch millis, 10-digit epoch seconds,
-    anything Spark casts to a timestamp (ISO with or without zone and
-    'T', space form, date only), the ``EXTRA_TIME_FORMATS`` and the
+    what Spark casts to a timestamp and starts with a four-digit year
+    and a month (ISO with or without zone and 'T', space form, date
+    only), the ``EXTRA_TIME_FORMATS`` and the
     extended-JSON wrapper ``{"$date": <millis or ISO text>}``.  Empty text gives NULL.  Other
     text gives NULL, or fails the query when ``strict``.
     """

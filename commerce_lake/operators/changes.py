@@ -72,7 +72,8 @@ def normalize_change(df: DataFrame, raw: str = "raw_data", doc_schema: T.StructT
     Shapes: ``{"payload": {op, ts_ms, after}}`` with ``after`` an object
     or JSON text, the same without ``payload``, and the unwrapped
     document (``__deleted`` flag, operation from the ``__op`` header or
-    the ``_kafka_op`` column, event time from the Kafka timestamp).
+    the ``_kafka_op`` column, event time from the message time, or from
+    the ingest time where bronze does not hold it).
 
     Without ``doc_schema``, ``_doc`` is the after-image as JSON text.
     With it, ``_doc`` is the typed after-image (leaves as declared),
@@ -81,11 +82,15 @@ def normalize_change(df: DataFrame, raw: str = "raw_data", doc_schema: T.StructT
     """
     parsed = evaluate_once(df, df.columns, {"_env": F.from_json(F.col(raw), envelope_schema(doc_schema))})
     e = F.col("_env")
-    enveloped = e["payload"].isNotNull()
-    rooted = ~enveloped & (e["op"].isNotNull() | e["after"].isNotNull())
+    # an unwrapped document has its ``_id`` at the root, an envelope has not: fields of its own
+    # that are named payload, op or after do not make a document an envelope
+    bare = e["_id"].isNotNull() if doc_schema is None or "_id" in doc_schema.names else F.lit(False)
+    enveloped = ~bare & e["payload"].isNotNull()
+    rooted = ~bare & ~enveloped & (e["op"].isNotNull() | e["after"].isNotNull())
     flat = ~enveloped & ~rooted
     flat_deleted = F.lower(F.coalesce(e["__deleted"], F.lit(""))).isin("true", "1")
-    kafka_ms = F.unix_millis(_maybe(df, "_kafka_timestamp", "timestamp"))
+    kafka_ms = F.unix_millis(F.coalesce(_maybe(df, "_message_timestamp", "timestamp"),
+                                        _maybe(df, "_kafka_timestamp", "timestamp")))
     op = F.coalesce(
         F.when(enveloped, e["payload"]["op"]),
         F.when(rooted, e["op"]),
@@ -136,7 +141,7 @@ def rewrite_deletes(df: DataFrame) -> DataFrame:
 
 def drop_empty(df: DataFrame, value: str = "value") -> DataFrame:
     """Drop tombstones and blank values (C4)."""
-    return df.where(F.col(value).isNotNull() & (F.trim(F.col(value).cast("string")) != ""))
+    return df.where(~X.is_blank(F.col(value).cast("string")))
 
 
 def drop_malformed(df: DataFrame, value: str = "value") -> DataFrame:

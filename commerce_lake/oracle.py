@@ -58,7 +58,9 @@ stg_products AS (
   SELECT product_id, product_name, price, stock_quantity + 1, 'u', CAST(2000 AS BIGINT)
   FROM prod_src WHERE p_partkey % 4 = 1)"""
 
-_DIM_PRODUCTS = f"""
+def _dim_products(deletes: str = "ignore") -> str:
+    where = "rn = 1" + (" AND CAST(product_id AS BIGINT) % 12 <> 5" if deletes == "apply" else "")
+    return f"""
 dim_products AS (
   SELECT product_id, product_name, price, round_even(price, 2) AS price_rounded,
          CASE WHEN price < 50 THEN 'Low' WHEN price < 200 THEN 'Medium' ELSE 'High' END AS price_category,
@@ -69,13 +71,15 @@ dim_products AS (
          _event_timestamp_ms, {AS_OF} AS _extracted_at, {AS_OF} AS _processed_at
   FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY _event_timestamp_ms DESC) AS rn
         FROM stg_products)
-  WHERE rn = 1)"""
+  WHERE {where})"""
+
 
 _STATUS = ("CASE o_orderstatus WHEN 'O' THEN 'shipped' WHEN 'F' THEN 'delivered' "
            "WHEN 'P' THEN 'pending' END")
 
 
-def _stg_orders(updates: bool = False) -> str:
+def _stg_orders(updates: bool = False, deletes: str = "ignore") -> str:
+    live = " WHERE o_orderkey % 11 <> 3" if deletes == "apply" else ""
     upd = """
   UNION ALL
   SELECT order_id, customer_id, ordered_at, 'delivered', 'u', CAST(2000 AS BIGINT), o_orderkey
@@ -84,7 +88,7 @@ def _stg_orders(updates: bool = False) -> str:
 ord_src AS (
   SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
          o_orderdate AS ordered_at, {_STATUS} AS order_status
-  FROM orders),
+  FROM orders{live}),
 stg_orders AS (
   SELECT order_id, customer_id, ordered_at, order_status, 'r' AS _operation,
          CAST(1000 AS BIGINT) AS _event_timestamp_ms, o_orderkey FROM ord_src{upd})"""
@@ -154,10 +158,12 @@ fct_daily_sales AS (
 
 
 def with_models(select: str, *, customers_deletes: str = "ignore", order_updates: bool = False,
-                unmatched: str = "defaults") -> str:
+                unmatched: str = "defaults", deletes: str = "ignore") -> str:
     """Wrap a final SELECT with every model CTE (unused CTEs cost nothing)."""
-    ctes = [_STG_CUSTOMERS, _dim_customers(customers_deletes), _STG_PRODUCTS, _DIM_PRODUCTS,
-            _stg_orders(order_updates), _LINES, _fact(unmatched), _ORDER_TOTALS, _DAILY]
+    if deletes == "apply":
+        customers_deletes = "apply"
+    ctes = [_STG_CUSTOMERS, _dim_customers(customers_deletes), _STG_PRODUCTS, _dim_products(deletes),
+            _stg_orders(order_updates, deletes), _LINES, _fact(unmatched), _ORDER_TOTALS, _DAILY]
     return "WITH " + ",".join(c.strip("\n") for c in ctes) + "\n" + select.strip()
 
 

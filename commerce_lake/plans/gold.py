@@ -5,15 +5,17 @@ Shuffle budget, by design:
 * dimensions: one keyed exchange each (latest version per key, with a
   map-side top-1 so hot keys shrink before the exchange);
 * line items: row-local explode + parse, no exchange;
-* fact: per-order, per-customer and per-product metrics are partial
-  aggregates joined back on their key instead of whole-partition
-  windows, so a hot customer or product is pre-reduced map-side.  Each
-  dimension is joined to its metric table first (both one row per
-  key), and the three keyed side tables are written once
-  (``materialize_keys``): every join-back then reads a shuffle on both
-  sides, which adaptive execution splits when one key holds a large
-  share of the lines (it cannot split a join fed directly by an
-  aggregate), and the broadcast decision sees the written size;
+* fact: per-customer and per-product metrics are partial aggregates
+  joined back on their key instead of whole-partition windows, so a hot
+  customer or product is pre-reduced map-side; the per-order metrics are
+  windows over the few lines of an order (one exchange of the lines by
+  order, no side table).  Each dimension is joined to its metric table
+  first (both one row per key).  The caller may write these two keyed
+  side tables once (``fact_sides``, as ``pipeline.build`` does): every
+  join-back then reads a shuffle on both sides, which adaptive execution
+  splits when one key holds a large share of the lines (it cannot split
+  a join fed directly by an aggregate), and the broadcast decision sees
+  the written size;
 * daily sales: two aggregations with partial (map-side) combine.
 
 Joins carry no hints: Spark broadcasts a side only when its measured
@@ -24,14 +26,13 @@ join otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import scalars as X
 from ..operators import changes as C
-from .materialize import materialize
 
 
 def _latest(stg: DataFrame, key: str, deletes: str) -> DataFrame:
@@ -60,7 +61,8 @@ def dim_customers(stg_customers: DataFrame, as_of=None, deletes: str = "ignore",
         X.customer_segment("registered_at", now).alias("customer_segment"),
         X.days_between("registered_at", now).alias("days_since_registration"),
         "_event_timestamp_ms", "_extracted_at", now.alias("_processed_at"))
-    return out.orderBy(F.col("registered_at").desc_nulls_last()) if ordered else out
+    # the id splits days with many registrations, and rows without one, over range partitions
+    return out.orderBy(F.col("registered_at").desc_nulls_last(), F.col("customer_id").asc_nulls_last()) if ordered else out
 
 
 def dim_products(stg_products: DataFrame, as_of=None, deletes: str = "ignore",
@@ -76,7 +78,7 @@ def dim_products(stg_products: DataFrame, as_of=None, deletes: str = "ignore",
         X.inventory_status("stock_quantity").alias("inventory_status"),
         X.is_out_of_stock("stock_quantity").alias("is_out_of_stock"),
         "_event_timestamp_ms", "_extracted_at", now.alias("_processed_at"))
-    return out.orderBy(F.col("product_name").asc_nulls_last()) if ordered else out
+    return out.orderBy(F.col("product_name").asc_nulls_last(), F.col("product_id").asc_nulls_last()) if ordered else out
 
 
 def has_lines(col: str = "line_items") -> Column:
@@ -102,7 +104,7 @@ def parse_lines(col: str = "line_items") -> Column:
                   F.coalesce(F.from_json(text, _LINE_ARRAY), per_element))
 
 
-def line_items(stg_orders: DataFrame, latest_only: bool = False) -> DataFrame:
+def line_items(stg_orders: DataFrame, latest_only: bool = False, deletes: str = "ignore") -> DataFrame:
     """One row per valid order line (M6, F4, F8, F11, D-7).
 
     Orders with a known status are exploded (empty or non-array line
@@ -110,10 +112,19 @@ def line_items(stg_orders: DataFrame, latest_only: bool = False) -> DataFrame:
     to positive numbers (missing text converts to 0).  By default every
     order version contributes its lines, as in the reference (D5);
     ``latest_only=True`` keeps the newest version per order first.
+    ``deletes='apply'`` leaves out every line of an order whose newest
+    event is a delete (silver must then keep delete events).
     """
     o = stg_orders
+    if deletes not in ("ignore", "apply"):
+        raise ValueError("deletes must be 'ignore' or 'apply'")
     if latest_only:
-        o = C.latest_per_key(o, ["order_id"])
+        o = _latest(o, "order_id", deletes)
+    elif deletes == "apply":
+        newest = C.latest_per_key(o.select("order_id", "_operation", "_event_timestamp_ms",
+                                           *(c for c in S.TIEBREAK if c in o.columns)), ["order_id"])
+        gone = newest.where(F.col("_operation") == "d").select("order_id")
+        o = C.keep_ops(o).join(gone, "order_id", "left_anti")
     o = C.keep_values(o, "order_status", S.ORDER_STATUSES)
     # explode the parse expression itself (not a column) so no inferred
     # size filter re-parses the text below the generator
@@ -163,15 +174,35 @@ def product_metrics(lines: DataFrame) -> DataFrame:
 
 
 def with_order_metrics(lines: DataFrame) -> DataFrame:
-    return lines.join(order_metrics(lines), "order_id")
+    """Lines with the metrics of their order, as windows over the order's lines."""
+    w = Window.partitionBy("order_id")
+    return lines.select(
+        "*",
+        F.sum("line_total").over(w).alias("order_total_value"),
+        F.count(F.lit(1)).over(w).alias("items_in_order"),
+        F.avg("unit_price").over(w).alias("avg_item_price_in_order"))
 
 
-def with_customer_metrics(lines: DataFrame) -> DataFrame:
-    return lines.join(customer_metrics(lines), "customer_id")
+def fact_sides(lines: DataFrame, dim_c: DataFrame, dim_p: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(customer side, product side): metrics of each key of the lines with its dimension, one row per key."""
+    cust = customer_metrics(lines).join(dim_c.select(
+        "customer_id",
+        F.col("full_name").alias("customer_name"),
+        F.col("first_name").alias("customer_first_name"),
+        F.col("last_name").alias("customer_last_name"),
+        F.col("email").alias("customer_email"),
+        "customer_segment", "days_since_registration"), "customer_id", "left")
+    prod = product_metrics(lines).join(dim_p.select(
+        "product_id", "product_name",
+        F.col("price").alias("current_product_price"),
+        "price_category", "inventory_status", "is_out_of_stock"), "product_id", "left")
+    return cust, prod
 
 
-def with_product_metrics(lines: DataFrame) -> DataFrame:
-    return lines.join(product_metrics(lines), "product_id")
+def _join_back(lines: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """Every line with the side row of its key; a NULL key meets the side row of the NULL keys."""
+    s = side.withColumnRenamed(key, "_key")
+    return lines.join(s, lines[key].eqNullSafe(s["_key"]), "left").drop("_key")
 
 
 def _dflt(c: str, value, unmatched: str) -> Column:
@@ -180,37 +211,22 @@ def _dflt(c: str, value, unmatched: str) -> Column:
 
 def fact_orders(lines: DataFrame, dim_c: DataFrame, dim_p: DataFrame, as_of=None,
                 unmatched: str = "defaults", ordered: bool = False,
-                materialize_keys: bool = True) -> DataFrame:
+                sides: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Order lines enriched with customer and product data and metrics.
 
     ``unmatched='defaults'`` fills columns of a missing customer or
     product with type defaults ('' / 0 / false; the age stays NULL) as
     the reference's engine does; ``'nulls'`` keeps SQL NULLs.
-    ``materialize_keys`` writes the three keyed side tables (one row
-    per order, customer, product) to the shared checkpoint folder
-    first, so hot keys can be split at the join-back; with ``False``
-    the plan stays fully lazy.
+    Every line is kept, those with a NULL order, customer or product
+    too.  ``sides`` are the two tables of ``fact_sides`` as written by
+    the caller, so that hot keys can be split at the join-back; without
+    them the plan stays fully lazy.
     """
     if unmatched not in ("defaults", "nulls"):
         raise ValueError("unmatched must be 'defaults' or 'nulls'")
     now = X.as_timestamp(as_of)
-    cust = customer_metrics(lines).join(dim_c.select(
-        "customer_id",
-        F.col("full_name").alias("customer_name"),
-        F.col("first_name").alias("customer_first_name"),
-        F.col("last_name").alias("customer_last_name"),
-        F.col("email").alias("customer_email"),
-        "customer_segment", "days_since_registration"), "customer_id", "left")
-    prod = product_metrics(lines).join(dim_p.select(
-        "product_id", "product_name",
-        F.col("price").alias("current_product_price"),
-        "price_category", "inventory_status", "is_out_of_stock"), "product_id", "left")
-    orders = order_metrics(lines)
-    if materialize_keys:
-        orders = materialize(orders, "order_metrics")
-        cust = materialize(cust, "customer_side")
-        prod = materialize(prod, "product_side")
-    f = lines.join(orders, "order_id").join(cust, "customer_id").join(prod, "product_id")
+    cust, prod = sides or fact_sides(lines, dim_c, dim_p)
+    f = _join_back(_join_back(with_order_metrics(lines), cust, "customer_id"), prod, "product_id")
     price = (F.coalesce(F.col("current_product_price"), F.lit(0.0)) if unmatched == "defaults"
              else F.col("current_product_price"))
     filled = {
@@ -262,11 +278,3 @@ def daily_sales(lines: DataFrame, as_of=None, approx: bool = False, ordered: boo
     ).select(*S.DAILY_SALES[:-1], X.as_timestamp(as_of).alias("_calculated_at"))
     return out.orderBy(F.col("order_date").desc_nulls_last()) if ordered else out
 
-
-def all_models(stg: dict[str, DataFrame], as_of=None, unmatched: str = "defaults") -> dict[str, DataFrame]:
-    dim_c = dim_customers(stg["stg_customers"], as_of)
-    dim_p = dim_products(stg["stg_products"], as_of)
-    lines = line_items(stg["stg_orders"])
-    return {"dim_customers": dim_c, "dim_products": dim_p,
-            "fact_orders": fact_orders(lines, dim_c, dim_p, as_of, unmatched),
-            "fct_daily_sales": daily_sales(lines, as_of)}

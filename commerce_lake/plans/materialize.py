@@ -5,11 +5,22 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import checkpoint_dir
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder, for tables that ``remove`` deletes later."""
+    return os.path.join(checkpoint_dir(spark), "commerce_lake", f"{name}-{uuid.uuid4().hex}")
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder in whatever store it is."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
@@ -20,7 +31,6 @@ def materialize(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     session (shared storage on a cluster); a local folder is created
     only when that setting is unset.
     """
-    base = root or checkpoint_dir(df.sparkSession)
-    path = os.path.join(base, "commerce_lake", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(root, name) if root else new_folder(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)

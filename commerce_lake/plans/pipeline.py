@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import register_views
 from . import gold, silver
-from .materialize import materialize
+from .materialize import materialize, new_folder, remove
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -48,9 +48,16 @@ def as_table(df: DataFrame, path: str, sort: list[str] | None = None,
 
 
 def build(spark: SparkSession, bronze: dict[str, DataFrame], out_root: str, as_of=None,
-          unmatched: str = "defaults", deletes: str = "ignore", cluster_fact: bool = False) -> dict[str, DataFrame]:
+          unmatched: str = "defaults", deletes: str = "ignore", latest_only: bool = False,
+          cluster_fact: bool = False) -> dict[str, DataFrame]:
     """Run every model; returns the gold tables as read back from ``out_root``.
 
+    ``deletes='apply'`` drops deleted customers, products and orders
+    (delete events must have reached bronze: the loader drops unwrapped
+    ones as soft deletes, so it needs an envelope shape);
+    ``latest_only`` takes the newest version of each order.  The
+    intermediate tables are removed when the gold tables are written.
+
     The fact's files are sorted by (order_date, order_id), so a date
     filter skips row groups by their statistics.  ``cluster_fact``
     additionally range-partitions the fact on those keys so it skips
@@ -61,19 +68,23 @@ def build(spark: SparkSession, bronze: dict[str, DataFrame], out_root: str, as_o
     stg = {
         "stg_customers": silver.customers(bronze["customers"], as_of, include_deletes=deletes == "apply"),
         "stg_products": silver.products(bronze["products"], as_of, include_deletes=deletes == "apply"),
-        "stg_orders": silver.orders(bronze["orders"], as_of),
+        "stg_orders": silver.orders(bronze["orders"], as_of, include_deletes=deletes == "apply"),
     }
     register_views(spark, stg)
-    lines = materialize(gold.line_items(stg["stg_orders"]), "line_items")
+    scratch = new_folder(spark, "build")
+    lines = materialize(gold.line_items(stg["stg_orders"], latest_only, deletes), "line_items", scratch)
     dim_c = as_table(gold.dim_customers(stg["stg_customers"], as_of, deletes),
                      os.path.join(out_root, "dim_customers"), sort=["customer_id"])
     dim_p = as_table(gold.dim_products(stg["stg_products"], as_of, deletes),
                      os.path.join(out_root, "dim_products"), sort=["product_id"])
-    fact = as_table(gold.fact_orders(lines, dim_c, dim_p, as_of, unmatched),
+    cust, prod = gold.fact_sides(lines, dim_c, dim_p)
+    sides = materialize(cust, "customer_side", scratch), materialize(prod, "product_side", scratch)
+    fact = as_table(gold.fact_orders(lines, dim_c, dim_p, as_of, unmatched, sides=sides),
                     os.path.join(out_root, "fact_orders"), sort=["order_date", "order_id"],
                     cluster_by=["order_date", "order_id"] if cluster_fact else None)
     daily = as_table(gold.daily_sales(lines, as_of), os.path.join(out_root, "fct_daily_sales"),
                      sort=["order_date"])
+    remove(spark, scratch)
     out = {"dim_customers": dim_c, "dim_products": dim_p, "fact_orders": fact, "fct_daily_sales": daily}
     register_views(spark, out)
     return out

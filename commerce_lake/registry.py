@@ -34,9 +34,10 @@ class Lake:
     """Lazily built layers of one fixture variant (nothing runs until an action)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, shape: str = "envelope",
-                 order_updates: bool = False):
+                 order_updates: bool = False, deletes: str = "ignore"):
         pin_session(spark)
         self.spark, self.sf_dir, self.shape, self.order_updates = spark, sf_dir, shape, order_updates
+        self.deletes = deletes
         self._lines = None
 
     def log(self, entity: str) -> DataFrame:
@@ -44,25 +45,25 @@ class Lake:
 
     def bronze(self, entity: str) -> DataFrame:
         return FX.bronze_from_tables(self.spark, self.sf_dir, entity, self.shape, self.order_updates,
-                                     ingested_at=AS_OF)
+                                     ingested_at=AS_OF, deletes=self.deletes == "apply")
 
     def stg_customers(self, include_deletes: bool = False) -> DataFrame:
         return silver.customers(self.bronze("customers"), AS_OF, include_deletes=include_deletes)
 
     def stg_products(self) -> DataFrame:
-        return silver.products(self.bronze("products"), AS_OF)
+        return silver.products(self.bronze("products"), AS_OF, include_deletes=self.deletes == "apply")
 
     def stg_orders(self) -> DataFrame:
-        return silver.orders(self.bronze("orders"), AS_OF)
+        return silver.orders(self.bronze("orders"), AS_OF, include_deletes=self.deletes == "apply")
 
     def dim_customers(self, deletes: str = "ignore") -> DataFrame:
         return gold.dim_customers(self.stg_customers(include_deletes=deletes == "apply"), AS_OF, deletes)
 
     def dim_products(self) -> DataFrame:
-        return gold.dim_products(self.stg_products(), AS_OF)
+        return gold.dim_products(self.stg_products(), AS_OF, self.deletes)
 
     def lines(self, latest_only: bool = False) -> DataFrame:
-        return gold.line_items(self.stg_orders(), latest_only)
+        return gold.line_items(self.stg_orders(), latest_only, self.deletes)
 
     def shared_lines(self) -> DataFrame:
         """Line items written once and re-read by every consumer of one query."""
@@ -71,6 +72,7 @@ class Lake:
         return self._lines
 
     def fact(self, deletes: str = "ignore", unmatched: str = "defaults", ordered: bool = False) -> DataFrame:
+        deletes = "apply" if self.deletes == "apply" else deletes
         return gold.fact_orders(self.shared_lines(), self.dim_customers(deletes), self.dim_products(), AS_OF,
                                 unmatched, ordered)
 
@@ -148,17 +150,38 @@ def _snapshot(s, d):
         F.col("d.c_mktsegment").alias("c_mktsegment"))
 
 
+def _junk_log(s, d):
+    pin_session(s)
+    return FX.changelog_with_junk(read_table(s, d, "events"))
+
+
+# Reason of every event of the junk log; orders stand for an unknown topic where ``mapped`` is false.
+def _junk_reason(mapped: bool = True) -> str:
+    topic = "" if mapped else "WHEN user_id % 3 = 2 THEN 'unknown_topic' "
+    return (f"CASE {topic}WHEN event_id % 10 = 1 THEN 'empty' WHEN event_id % 10 IN (2, 4, 6) THEN 'malformed' "
+            "WHEN event_id % 10 IN (3, 5) THEN 'accepted' WHEN event_type = 'error' THEN 'empty' "
+            "WHEN event_type = 'click' THEN 'deleted' ELSE 'accepted' END")
+
+
 def _rejects(s, d):
     mapping = {k: v for k, v in S.TOPIC_TABLES.items() if not k.endswith("orders")}
-    good, bad = I.split_rejects(_events_log(s, d), mapping)
-    return bad.groupBy("topic", "reason").agg(F.count(F.lit(1)).alias("row_count"))
+    good, bad = I.split_rejects(_junk_log(s, d), mapping)
+    rows = good.withColumn("reason", F.lit("accepted")).unionByName(bad)
+    return rows.select("topic", "partition", F.col("offset").alias("event_id"), "reason")
+
+
+def _loader_rules(s, d):
+    c = I.classify(_junk_log(s, d), name="reason")
+    return c.select(F.col("offset").alias("event_id"), "partition", F.coalesce("reason", F.lit("accepted")).alias("reason"))
 
 
 def _merge_schema(s, d):
+    """Two column sets written to one folder, read with merged schemas."""
     lake = Lake(s, d)
-    with_key = lake.bronze("customers").withColumn("source", F.lit("customers"))
-    without_key = lake.bronze("products").select(*S.BRONZE.fieldNames()).withColumn("source", F.lit("products"))
-    u = with_key.unionByName(without_key, allowMissingColumns=True)
+    base = os.path.join(checkpoint_dir(s), "commerce_lake", f"b8-{uuid.uuid4().hex}")
+    lake.bronze("customers").write.parquet(os.path.join(base, "source=customers"))
+    lake.bronze("products").select(*S.BRONZE.fieldNames()).write.parquet(os.path.join(base, "source=products"))
+    u = load(s, os.path.basename(base), os.path.dirname(base), merge_schema=True)
     return u.groupBy("source").agg(F.count(F.lit(1)).alias("row_count"),
                                    F.count("_kafka_key").alias("with_key"))
 
@@ -176,12 +199,12 @@ def _c3(s, d):
 
 
 def _c4(s, d):
-    return C.drop_empty(_events_log(s, d)).groupBy("topic").agg(F.count(F.lit(1)).alias("row_count"))
+    return C.drop_empty(_junk_log(s, d)).select("topic", F.col("offset").alias("event_id"))
 
 
 def _c5(s, d):
-    log = C.drop_deleted(C.drop_malformed(C.drop_empty(_events_log(s, d))))
-    return log.groupBy("partition").agg(F.count(F.lit(1)).alias("row_count"))
+    log = C.drop_deleted(C.drop_malformed(C.drop_empty(_junk_log(s, d))))
+    return log.select("partition", F.col("offset").alias("event_id"))
 
 
 def _c7(s, d):
@@ -205,8 +228,7 @@ def _b2(s, d):
 
 def _b3(s, d):
     b = I.to_bronze(I.accept(_events_log(s, d)), ingested_at=AS_OF, with_table=True)
-    routed = I.route(b)
-    return I.table_stats(routed)
+    return I.routed_stats(b)
 
 
 def _b6(s, d):
@@ -219,6 +241,44 @@ def _a5(s, d):
         F.col("offset").alias("event_id"), "partition", "topic")
 
 
+def _a5_resumed(s, d):
+    """Bounded drains, each going on from the offsets that the earlier ones committed, until nothing is left."""
+    log = _events_log(s, d)
+    cap = log.count() // 3 + 1
+    committed, out = None, None
+    for _ in range(3):
+        run = materialize(I.drain(log, cap, committed), "drain")
+        committed = materialize(I.commit(run, committed), "committed")
+        out = run if out is None else out.unionByName(run)
+    return out.select(F.col("offset").alias("event_id"), "partition", "topic")
+
+
+def _all_bronze(s, root):
+    out = None
+    for t in S.TOPIC_TABLES.values():
+        rows = I.read_bronze(s, root, t).select(F.lit(t).alias("table_name"), F.col("_kafka_offset").alias("event_id"),
+                                                F.col("_kafka_partition").alias("partition"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _a8_a9(s, d):
+    """Load a part, reset with another micro-batch size, add the rest, resume: every accepted offset once."""
+    base = os.path.join(checkpoint_dir(s), "commerce_lake", f"a8-{uuid.uuid4().hex}")
+    src, root, ckpt = (os.path.join(base, p) for p in ("changelog", "bronze", "_checkpoint"))
+    log = _events_log(s, d)
+    log.where("offset % 3 = 0").repartition(3).write.parquet(src)
+
+    def load(files, **kw):
+        I.run_stream(I.ingest(I.read_changes(s, path=src, fmt="parquet", max_per_trigger=files), root, ckpt, mode="batch", **kw))
+
+    load(2)
+    load(1, reset=True)
+    log.where("offset % 3 <> 0").repartition(2).write.mode("append").parquet(src)
+    load(2)
+    return _all_bronze(s, root)
+
+
 def _d6(s, d):
     stg = Lake(s, d).stg_orders()
     return stg.where(gold.has_lines()).groupBy("order_status").agg(F.count(F.lit(1)).alias("row_count"))
@@ -286,14 +346,33 @@ def _t1(s, d):
     """
     base = os.path.join(checkpoint_dir(s), "commerce_lake", f"t1-{uuid.uuid4().hex}")
     src, root, ckpt = (os.path.join(base, p) for p in ("changelog", "bronze", "_checkpoint"))
-    _events_log(s, d).repartition(4, "partition").write.parquet(src)
-    q = I.ingest(I.read_changes(s, path=src, fmt="parquet", max_per_trigger=1), root, ckpt, mode="batch")
-    I.run_stream(q, timeout_s=1800)
-    if q.exception() is not None:
-        raise RuntimeError(f"bronze stream failed: {q.exception()}")
+    _events_log(s, d).write.parquet(src)
+    I.run_stream(I.ingest(I.read_changes(s, path=src, fmt="parquet", max_per_trigger=1), root, ckpt, mode="batch"))
     return I.table_stats({t: I.read_bronze(s, root, t) for t in S.TOPIC_TABLES.values()})
 
 
+def _approx_unique(s, d):
+    """Estimated distinct customers of a day against the exact number: within five standard errors."""
+    lines = Lake(s, d).shared_lines()
+    rsd = 0.01
+    estimate = gold.daily_sales(lines, AS_OF, approx=True).select("order_date", F.col("total_unique_customers").alias("estimate"))
+    exact = gold.daily_sales(lines, AS_OF).join(estimate, "order_date")
+    off = F.abs(F.col("estimate") - F.col("total_unique_customers"))
+    return exact.select("order_date", "total_orders_placed",
+                        (off <= F.greatest(F.lit(1.0), 5 * rsd * F.col("total_unique_customers"))).alias("within_error"))
+
+
+def _sampled(table, sample):
+    def run(s, d):
+        t = materialize(table(Lake(s, d)), "sampled")
+        rows = materialize(sample(t), "sample")
+        same = [rows[c].eqNullSafe(t[c]) for c in rows.columns]
+        return rows.join(t, same, "left_semi").agg(F.count(F.lit(1)).alias("found")).join(
+            rows.agg(F.count(F.lit(1)).alias("row_count"))).select(  # one row each
+            "row_count", (F.col("found") == F.col("row_count")).alias("all_in_table"))
+    return run
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     # --- models -----------------------------------------------------------------
     "m1_stg_customers": _q(lambda s, d: _sel(Lake(s, d).stg_customers(), _STG_C_COLS + ", _extracted_at"),
@@ -308,6 +387,14 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "m4_dim_customers": _q(lambda s, d: Lake(s, d).dim_customers(), f"SELECT {_DIM_C_COLS} FROM dim_customers"),
     "m4_dim_customers_deletes_applied": _q(lambda s, d: Lake(s, d).dim_customers("apply"),
                                            f"SELECT {_DIM_C_COLS} FROM dim_customers", customers_deletes="apply"),
+    "m5_dim_products_deletes_applied": _q(lambda s, d: Lake(s, d, deletes="apply").dim_products(),
+                                          f"SELECT {_DIM_P_COLS} FROM dim_products", deletes="apply"),
+    "m7_fact_orders_deletes_applied": _q(lambda s, d: Lake(s, d, deletes="apply").fact(),
+                                         f"SELECT {_FACT_COLS} FROM fact_orders", deletes="apply"),
+    "m8_daily_sales_deletes_applied": _q(lambda s, d: Lake(s, d, deletes="apply").daily(),
+                                         f"SELECT {_DAILY_COLS} FROM fct_daily_sales", deletes="apply"),
+    "j3_unmatched_products_nulls": _q(lambda s, d: Lake(s, d, deletes="apply").fact(unmatched="nulls"),
+                                      f"SELECT {_FACT_COLS} FROM fact_orders", deletes="apply", unmatched="nulls"),
     "m5_dim_products": _q(lambda s, d: Lake(s, d).dim_products(), f"SELECT {_DIM_P_COLS} FROM dim_products"),
     "m6_line_items": _q(lambda s, d: Lake(s, d).lines(), f"SELECT {', '.join(_LINE_COLS)} FROM lines"),
     "m6_line_items_latest_only": _q(
@@ -343,7 +430,13 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "a5_drain": _q(_a5, f"""
         SELECT event_id, CAST(user_id % 4 AS INTEGER) AS partition, {O.EVENTS_TOPIC} AS topic FROM events
         WHERE event_type NOT IN ('error', 'click')
-        ORDER BY ts, user_id % 4, event_id LIMIT {I.BATCH_DRAIN[0]}"""),
+        ORDER BY event_id LIMIT {I.BATCH_DRAIN[0]}"""),
+    "a5_drain_resumed": _q(_a5_resumed, f"""
+        SELECT event_id, CAST(user_id % 4 AS INTEGER) AS partition, {O.EVENTS_TOPIC} AS topic FROM events
+        WHERE event_type NOT IN ('error', 'click')"""),
+    "a8_a9_reset_resume": _q(_a8_a9, f"""
+        SELECT {O.EVENTS_TABLE} AS table_name, event_id, CAST(user_id % 4 AS INTEGER) AS partition FROM events
+        WHERE event_type NOT IN ('error', 'click')"""),
     "b2_to_bronze": _q(_b2, f"""
         SELECT {O.EVENTS_TABLE} AS table_name, event_id AS _kafka_offset,
                CAST(user_id % 4 AS INTEGER) AS _kafka_partition, 'r' AS _kafka_op, event_type, value,
@@ -368,15 +461,17 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
                        + count(*) FILTER (WHERE c_custkey % 10 = 0) FROM customer) AS with_key
         UNION ALL SELECT 'products', (SELECT count(*) + count(*) FILTER (WHERE p_partkey % 4 = 1) FROM part),
                CAST(0 AS BIGINT)"""),
-    "b10_split_rejects": _q(_rejects, """
-        SELECT 'mongo.ecom.ecom.orders' AS topic, 'unknown_topic' AS reason, count(*) AS row_count
-        FROM events WHERE user_id % 3 = 2"""),
+    "b10_split_rejects": _q(_rejects, f"""
+        SELECT {O.EVENTS_TOPIC} AS topic, CAST(user_id % 4 AS INTEGER) AS partition, event_id,
+               {_junk_reason(False)} AS reason FROM events
+        WHERE {_junk_reason(False)} NOT IN ('empty', 'deleted')"""),
+    "b10_c4_c5_loader_rules": _q(_loader_rules, f"""
+        SELECT event_id, CAST(user_id % 4 AS INTEGER) AS partition, {_junk_reason()} AS reason FROM events"""),
     # --- change-data operators ------------------------------------------------------------
     "c1_normalize_string_after": _q(_shape_dim("string_after"), f"SELECT {_DIM_C_COLS} FROM dim_customers"),
     "c1_normalize_root_envelope": _q(_shape_dim("root"), f"SELECT {_DIM_C_COLS} FROM dim_customers"),
     "c1_normalize_flat": _q(
-        lambda s, d: Lake(s, d, shape="flat").dim_customers().drop("_event_timestamp_ms"),
-        f"SELECT {_DIM_C_COLS.replace('_event_timestamp_ms, ', '')} FROM dim_customers"),
+        lambda s, d: Lake(s, d, shape="flat").dim_customers(), f"SELECT {_DIM_C_COLS} FROM dim_customers"),
     "c2_rewrite_deletes": _q(_c2, """
         SELECT 'r' AS op, false AS deleted, count(*) AS row_count, count(*) AS with_id FROM customer
         UNION ALL SELECT 'u', false, count(*), count(*) FROM customer WHERE c_custkey % 3 = 0
@@ -385,10 +480,10 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         SELECT 'r' AS op, count(*) AS row_count FROM customer
         UNION ALL SELECT 'u', count(*) FROM customer WHERE c_custkey % 3 = 0
         UNION ALL SELECT 'd', count(*) FROM customer WHERE c_custkey % 10 = 0"""),
-    "c4_drop_empty": _q(_c4, f"SELECT {O.EVENTS_TOPIC} AS topic, count(*) AS row_count FROM events "
-                             "WHERE event_type <> 'error' GROUP BY 1"),
-    "c5_drop_malformed_deleted": _q(_c5, "SELECT CAST(user_id % 4 AS INTEGER) AS partition, count(*) AS row_count "
-                                         "FROM events WHERE event_type NOT IN ('error', 'click') GROUP BY 1"),
+    "c4_drop_empty": _q(_c4, f"SELECT {O.EVENTS_TOPIC} AS topic, event_id FROM events "
+                             f"WHERE {_junk_reason()} <> 'empty'"),
+    "c5_drop_malformed_deleted": _q(_c5, "SELECT CAST(user_id % 4 AS INTEGER) AS partition, event_id "
+                                         f"FROM events WHERE {_junk_reason()} = 'accepted'"),
     "c6_latest_per_key": _q(
         lambda s, d: C.latest_per_key(Lake(s, d).stg_customers(), ["customer_id"])
         .select("customer_id", "last_name", "_operation", "_event_timestamp_ms"),
@@ -438,17 +533,16 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
                               "SELECT order_id, customer_id, order_date, order_total_value, line_items_count "
                               "FROM order_totals WHERE order_total_value > 20000"),
     "g5_approx_unique_customers": _q(
-        lambda s, d: gold.daily_sales(Lake(s, d).lines(), AS_OF, approx=True)
-        .select("order_date", "total_orders_placed", "total_unique_customers")),
+        _approx_unique, "SELECT order_date, total_orders_placed, true AS within_error FROM fct_daily_sales"),
     "g6_segments": _q(lambda s, d: reports.segments(Lake(s, d).dim_customers()), """
         SELECT customer_segment, count(*) AS customer_count, avg(days_since_registration) AS avg_days_registered
         FROM dim_customers GROUP BY 1 ORDER BY customer_count DESC"""),
     "g7_price_inventory": _q(lambda s, d: reports.price_inventory(Lake(s, d).dim_products()), """
         SELECT price_category, inventory_status, count(*) AS product_count, avg(price) AS avg_price
         FROM dim_products GROUP BY 1, 2 ORDER BY 1, 2"""),
-    "g8_freshness": _q(lambda s, d: reports.freshness(Lake(s, d).stg_customers()),
+    "g8_freshness": _q(lambda s, d: reports.freshness(Lake(s, d, order_updates=True).stg_orders()),
                        "SELECT count(*) AS event_count, max(_event_timestamp_ms) AS max_event_timestamp_ms "
-                       "FROM stg_customers"),
+                       "FROM stg_orders", order_updates=True),
     # --- window metrics (as aggregate-and-join) --------------------------------------------------
     "w2_w4_order_metrics": _q(lambda s, d: gold.order_metrics(Lake(s, d).lines()), """
         SELECT order_id, sum(line_total) AS order_total_value, count(*) AS items_in_order,
@@ -476,9 +570,11 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "s6_recent_days": _q(lambda s, d: reports.recent_days(Lake(s, d).daily(), 7), """
         SELECT order_date, total_revenue, total_orders_placed, total_unique_customers, avg_order_value
         FROM fct_daily_sales ORDER BY order_date DESC LIMIT 7"""),
-    # --- reports without an oracle (samples: the limit is the feature) ---------------------------
-    "r1_sample_raw": _q(lambda s, d: reports.sample_raw(Lake(s, d).bronze("orders"), 1)),
-    "r2_sample_orders": _q(lambda s, d: reports.sample_orders(Lake(s, d).stg_orders(), 10)),
+    # --- samples (the limit is the feature): how many rows, and whether all are rows of the table ----
+    "r1_sample_raw": _q(_sampled(lambda lake: lake.bronze("orders"), lambda t: reports.sample_raw(t, 1)),
+                        "SELECT CAST(1 AS BIGINT) AS row_count, true AS all_in_table"),
+    "r2_sample_orders": _q(_sampled(lambda lake: lake.stg_orders(), lambda t: reports.sample_orders(t, 10)),
+                           "SELECT CAST(10 AS BIGINT) AS row_count, true AS all_in_table"),
     # --- data-quality checks ------------------------------------------------------------------------
     "q1_unique": _q(_q_checks("unique"), _checks_sql("unique")),
     "q2_not_null": _q(_q_checks("not_null"), _checks_sql("not_null")),

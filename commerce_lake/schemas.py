@@ -42,7 +42,7 @@ CHANGELOG = T.StructType([
 
 # Bronze: the raw record plus ingest metadata.  ``_kafka_key`` and
 # ``_kafka_op`` are optional extras (delete keys and the operation
-# header of unwrapped events); readers treat them as absent when missing.
+# header and message time of unwrapped events); readers treat them as absent when missing.
 BRONZE = T.StructType([
     T.StructField("raw_data", T.StringType()),
     T.StructField("_kafka_timestamp", T.TimestampType()),
@@ -52,6 +52,7 @@ BRONZE = T.StructType([
 BRONZE_OPTIONAL = T.StructType([
     T.StructField("_kafka_key", T.StringType()),
     T.StructField("_kafka_op", T.StringType()),
+    T.StructField("_message_timestamp", T.TimestampType()),
 ])
 
 # Envelope of one change event, every leaf as text: an ``after`` that is
@@ -67,6 +68,7 @@ ENVELOPE = T.StructType([
     T.StructField("ts_ms", T.StringType()),
     T.StructField("after", T.StringType()),
     T.StructField("__deleted", T.StringType()),
+    T.StructField("_id", T.StringType()),
 ])
 
 _OID = T.StructType([T.StructField("$oid", T.StringType())])

@@ -62,8 +62,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor
-    can reach; it is used as is.  Only when it is unset (tests, local
-    runs) a fresh local folder is created and registered.
+    can reach; it is used as is.  Only when it is unset and the master
+    is local (tests, local runs) a fresh local folder is created and
+    registered; on a cluster a local folder would not be shared, so an
+    unset one is an error there.
     """
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if conf:
@@ -72,6 +74,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="commerce_lake_ckpt_")
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir() or path

@@ -148,23 +148,27 @@ def customer_events(customer: DataFrame, with_updates: bool = True, with_deletes
     return _versions(docs, v)
 
 
-def product_events(part: DataFrame, with_updates: bool = True) -> DataFrame:
+def product_events(part: DataFrame, with_updates: bool = True, with_deletes: bool = False) -> DataFrame:
     docs = product_docs(part)
     num, doc = F.col("num"), F.col("doc")
     v = [(F.lit(True), "r", TS_SNAPSHOT, doc)]
     if with_updates:
         v.append((num % 4 == 1, "u", TS_UPDATE,
                   doc.withField("stock_quantity", doc["stock_quantity"] + 1)))
+    if with_deletes:
+        v.append((num % 12 == 5, "d", TS_DELETE, None))
     return _versions(docs, v)
 
 
 def order_events(orders: DataFrame, lineitem: DataFrame, part: DataFrame,
-                 with_updates: bool = False) -> DataFrame:
+                 with_updates: bool = False, with_deletes: bool = False) -> DataFrame:
     docs = order_docs(orders, lineitem, part)
     num, doc = F.col("num"), F.col("doc")
     v = [(F.lit(True), "r", TS_SNAPSHOT, doc)]
     if with_updates:
         v.append((num % 7 == 0, "u", TS_UPDATE, doc.withField("status", F.lit("delivered"))))
+    if with_deletes:
+        v.append((num % 11 == 3, "d", TS_DELETE, None))
     return _versions(docs, v)
 
 
@@ -206,15 +210,19 @@ def encode(events: DataFrame, entity: str, shape: str = "envelope") -> DataFrame
 
 
 def changelog_from_tables(spark: SparkSession, sf_dir: str, entity: str, shape: str = "envelope",
-                          order_updates: bool = False) -> DataFrame:
-    """Change-log frame of one entity built from the given tables."""
+                          order_updates: bool = False, deletes: bool = False) -> DataFrame:
+    """Change-log frame of one entity built from the given tables.
+
+    Customers always have delete events; ``deletes`` adds them to
+    products and orders.
+    """
     if entity == "customers":
         ev = customer_events(read_table(spark, sf_dir, "customer"))
     elif entity == "products":
-        ev = product_events(read_table(spark, sf_dir, "part"))
+        ev = product_events(read_table(spark, sf_dir, "part"), with_deletes=deletes)
     elif entity == "orders":
         ev = order_events(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"),
-                          read_table(spark, sf_dir, "part"), with_updates=order_updates)
+                          read_table(spark, sf_dir, "part"), with_updates=order_updates, with_deletes=deletes)
     else:
         raise ValueError(f"unknown entity {entity!r}")
     return encode(ev, entity, shape)
@@ -245,11 +253,11 @@ def changelog_from_events(events: DataFrame) -> DataFrame:
 
 
 def bronze_from_tables(spark: SparkSession, sf_dir: str, entity: str, shape: str = "envelope",
-                       order_updates: bool = False, ingested_at=None) -> DataFrame:
+                       order_updates: bool = False, ingested_at=None, deletes: bool = False) -> DataFrame:
     """Bronze rows of one entity as the loader would have written them."""
     from ..streaming.ingest import accept, to_bronze
 
-    log = changelog_from_tables(spark, sf_dir, entity, shape, order_updates)
+    log = changelog_from_tables(spark, sf_dir, entity, shape, order_updates, deletes)
     if shape == "flat":
         # unwrapped deletes carry "__deleted": true and are dropped by the
         # loader; the other shapes are non-empty objects by construction,
@@ -258,6 +266,24 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str, entity: str, shape: str
     return to_bronze(log, ingested_at=ingested_at, keep_key=True)
 
 
-def bronze_all(spark: SparkSession, sf_dir: str, shape: str = "envelope",
-               order_updates: bool = False, ingested_at=None) -> dict[str, DataFrame]:
-    return {e: bronze_from_tables(spark, sf_dir, e, shape, order_updates, ingested_at) for e in S.ENTITIES}
+def changelog_with_junk(events: DataFrame) -> DataFrame:
+    """The change log of ``events`` with values that test the loader's rules, by event_id % 10.
+
+    1 blank (tab, newline, other white space), 2 cut off, 3 a repeated
+    key whose last value counts, 4 text after the object, 5 NaN, 6 a
+    scalar; all others as they are.
+    """
+    k = F.col("offset") % 10
+    value = (F.when(k == 1, F.lit("\t \n\x0b"))
+             .when(k == 2, F.lit('{"event_type": "cut'))
+             .when(k == 3, F.lit('{"__deleted": true, "__deleted": false}'))
+             .when(k == 4, F.lit('{"event_type": "a"} x'))
+             .when(k == 5, F.lit('{"value": NaN}'))
+             .when(k == 6, F.lit('"text"'))
+             .otherwise(F.col("value")))
+    return changelog_from_events(events).withColumn("value", value)
+
+
+def bronze_all(spark: SparkSession, sf_dir: str, shape: str = "envelope", order_updates: bool = False,
+               ingested_at=None, deletes: bool = False) -> dict[str, DataFrame]:
+    return {e: bronze_from_tables(spark, sf_dir, e, shape, order_updates, ingested_at, deletes) for e in S.ENTITIES}

@@ -5,15 +5,19 @@ classified once (accepted / dropped / rejected), then written in one
 pass partitioned by bronze table, and rejects go to a dead-letter
 table.  Every write overwrites only the ``_batch_id`` partition of its
 own micro-batch, so a batch replayed after a failure replaces its
-earlier partial output instead of duplicating it.
+earlier partial output instead of duplicating it.  A partition is named
+by its checkpoint, the checkpoint's generation and the batch number:
+batch numbers restart at 0 in every checkpoint, so the number alone
+would let two loaders, or a reset, overwrite each other's batches.  The
+generations are kept under the root; a reset empties the root and starts
+the next one, and later runs with that checkpoint go on with it.
 """
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import os
-import time
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +31,8 @@ from ..operators import changes as C
 log = logging.getLogger(__name__)
 
 REJECTS_TABLE = "_rejects"
+PROGRESS_TABLE = "_progress"
+GENERATIONS = "_generations"
 # mapping value that names every bronze table after its topic
 BY_TOPIC = "by_topic"
 TABLE_COL = "table_name"
@@ -76,8 +82,8 @@ def read_changes(spark: SparkSession, topics=None, pattern: str | None = None, s
 
 def kafka_options(topics=None, pattern: str | None = None, max_per_trigger: int | None = None,
                   extra: dict | None = None) -> dict:
-    """Kafka source options: the subscription, earliest start, optional micro-batch cap."""
-    out = {"startingOffsets": "earliest"}
+    """Kafka source options: the subscription, earliest start, headers (they carry ``__op``), optional micro-batch cap."""
+    out = {"startingOffsets": "earliest", "includeHeaders": "true"}
     if pattern:
         out["subscribePattern"] = pattern
     else:
@@ -91,12 +97,11 @@ def kafka_options(topics=None, pattern: str | None = None, max_per_trigger: int
 
 # --- classification ---------------------------------------------------------
 
-def reject_reason(parsed: Column, mapping: dict[str, str] | str | None = None,
-                  lenient: bool = False) -> Column:
+def reject_reason(is_object: Column, deleted: Column, mapping: dict[str, str] | str | None = None) -> Column:
     """Why a change-log row does not reach bronze; NULL when accepted.
 
-    ``parsed`` is the message parsed as VARIANT (``try_parse_json``).
-    ``empty`` (tombstone or blank) and ``deleted`` (soft delete) are
+    ``is_object`` and ``deleted`` tell of the message whether it is a
+    JSON object and flagged as deleted.  ``empty`` (tombstone or blank) and ``deleted`` (soft delete) are
     silently dropped like the loader does; ``malformed`` (not a JSON
     object) and ``unknown_topic`` go to the dead-letter table (B10).
     """
@@ -104,21 +109,22 @@ def reject_reason(parsed: Column, mapping: dict[str, str] | str | None = None,
     v = F.col("value").cast("string")
     known = F.col("topic").isNotNull() if mapping == BY_TOPIC else F.col("topic").isin(list(mapping))
     return (F.when(~known, F.lit("unknown_topic"))
-            .when(v.isNull() | (F.trim(v) == ""), F.lit("empty"))
-            .when(~X.variant_is_object(parsed), F.lit("malformed"))
-            .when(X.variant_flag(parsed, "__deleted", lenient), F.lit("deleted")))
+            .when(X.is_blank(v), F.lit("empty"))
+            .when(~is_object, F.lit("malformed"))
+            .when(deleted, F.lit("deleted")))
 
 
 def classify(df: DataFrame, mapping: dict[str, str] | str | None = None, lenient: bool = False,
              name: str = "_reason") -> DataFrame:
     """Add the reject reason of every message, parsing each message once."""
-    parsed = C.evaluate_once(df, df.columns, {"_parsed": F.try_parse_json(F.col("value").cast("string"))})
-    return parsed.select(*df.columns, reject_reason(F.col("_parsed"), mapping, lenient).alias(name))
+    v = F.col("value").cast("string")
+    read = C.evaluate_once(df, df.columns, {"_object": X.json_is_object(v), "_gone": X.json_flag(v, "__deleted", lenient)})
+    return read.select(*df.columns, reject_reason(F.col("_object"), F.col("_gone"), mapping).alias(name))
 
 
 def accept(df: DataFrame, lenient: bool = False, mapping: dict[str, str] | str | None = None) -> DataFrame:
     """Rows the loader keeps: non-empty JSON objects not flagged deleted, on a known topic."""
-    c = classify(df, mapping or BY_TOPIC, lenient)
+    c = classify(df, mapping, lenient)
     return c.where(F.col("_reason").isNull()).drop("_reason")
 
 
@@ -135,8 +141,8 @@ def to_bronze(df: DataFrame, ingested_at=None, keep_key: bool = False, with_tabl
               mapping: dict[str, str] | None = None) -> DataFrame:
     """Change-log rows -> bronze rows: raw text, ingest second, offset, partition.
 
-    ``keep_key`` adds the message key and the ``__op`` header (needed to
-    apply deletes and to read unwrapped events); ``with_table`` adds the
+    ``keep_key`` adds the message key, the ``__op`` header and the
+    message time (needed to apply deletes and to read unwrapped events); ``with_table`` adds the
     target table of each row's topic (B3), or the topic itself with
     ``mapping=BY_TOPIC`` (B7).
     """
@@ -147,7 +153,9 @@ def to_bronze(df: DataFrame, ingested_at=None, keep_key: bool = False, with_tabl
             F.col("partition").cast("int").alias("_kafka_partition")]
     if keep_key:
         op = C.op_from_header(df) if "headers" in df.columns else F.lit(None).cast("string")
-        cols += [F.col("key").cast("string").alias("_kafka_key"), op.alias("_kafka_op")]
+        sent = F.col("timestamp") if "timestamp" in df.columns else F.lit(None)
+        cols += [F.col("key").cast("string").alias("_kafka_key"), op.alias("_kafka_op"),
+                 sent.cast("timestamp").alias("_message_timestamp")]
     if with_table:
         m = mapping or S.TOPIC_TABLES
         if m == BY_TOPIC:
@@ -168,18 +176,35 @@ def route(bronze: DataFrame, mapping: dict[str, str] | None = None) -> dict[str,
     return {t: bronze.where(F.col(TABLE_COL) == t).drop(TABLE_COL) for t in m.values()}
 
 
-def drain(df: DataFrame, max_messages: int = BATCH_DRAIN[0]) -> DataFrame:
-    """The first ``max_messages`` accepted rows in log order (A5, batch form).
+def drain(df: DataFrame, max_messages: int, committed: DataFrame | None = None,
+          mapping: dict[str, str] | str | None = None) -> DataFrame:
+    """The next ``max_messages`` accepted rows by offset (A5, batch form).
 
+    ``committed`` (topic, partition, offset; see ``commit``) says how far
+    earlier runs came; runs that each pass on their commits return every
+    accepted row once.  Rows are taken by (offset, topic, partition), so
+    of each topic partition a run returns the next rows without a gap.
     ``BATCH_DRAIN`` and ``RESET_DRAIN`` hold the caps of the batch and
-    reset modes; on a stream the same bound is ``run_stream(timeout_s=)``
-    plus the source's ``max_per_trigger``.
+    reset modes.
 
     The cap is the feature here (the bounded drain of the batch mode);
     Spark keeps a top-n per task and merges, so no task sees more than
     n rows.
     """
-    return accept(df).orderBy("timestamp", "partition", "offset").limit(max_messages)
+    rows = accept(df, mapping=mapping)
+    if committed is not None:
+        done = committed.select("topic", "partition", F.col("offset").alias("_done"))
+        rows = rows.join(done, ["topic", "partition"], "left").where(
+            F.col("_done").isNull() | (F.col("offset") > F.col("_done"))).select(*df.columns)
+    return rows.orderBy("offset", "topic", "partition").limit(max_messages)
+
+
+def commit(drained: DataFrame, committed: DataFrame | None = None) -> DataFrame:
+    """(topic, partition, offset): the last offset of each topic partition after a drain."""
+    rows = drained.select("topic", "partition", "offset")
+    if committed is not None:
+        rows = rows.unionByName(committed.select("topic", "partition", "offset"))
+    return rows.groupBy("topic", "partition").agg(F.max("offset").alias("offset"))
 
 
 # --- tables ------------------------------------------------------------------
@@ -210,10 +235,14 @@ def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def truncate(spark: SparkSession, root: str, mapping: dict[str, str] | None = None) -> None:
-    """Empty the bronze tables."""
-    for t in _tables(mapping):
-        (_empty(spark).write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy(BATCH_COL).parquet(bronze_path(root, t)))
+    """Empty every bronze table found under the root, rejects and progress, then create those of ``mapping``."""
+    fs, base = _fs(spark, root)
+    if fs.exists(base):
+        for entry in fs.listStatus(base):
+            name = entry.getPath().getName()
+            if name.startswith(f"{TABLE_COL}=") or name in (REJECTS_TABLE, PROGRESS_TABLE):
+                fs.delete(entry.getPath(), True)
+    ensure_bronze(spark, root, mapping)
 
 
 def _empty(spark: SparkSession) -> DataFrame:
@@ -223,7 +252,7 @@ def _empty(spark: SparkSession) -> DataFrame:
 def _bronze_schema() -> T.StructType:
     # StructType.add mutates; build a fresh schema every time
     return T.StructType(list(S.BRONZE.fields) + list(S.BRONZE_OPTIONAL.fields)
-                        + [T.StructField(BATCH_COL, T.LongType())])
+                        + [T.StructField(BATCH_COL, T.StringType())])
 
 
 def table_stats(tables: dict[str, DataFrame]) -> DataFrame:
@@ -236,32 +265,70 @@ def table_stats(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def routed_stats(bronze: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
+    """Row count per table of bronze rows (with ``table_name``) in one pass (B3, B6); tables without rows count 0."""
+    names = bronze.sparkSession.createDataFrame([(t,) for t in _tables(mapping)], f"{TABLE_COL} string")
+    counts = bronze.groupBy(TABLE_COL).agg(F.count(F.lit(1)).alias("row_count"))
+    return names.join(counts, TABLE_COL, "left").select(TABLE_COL, F.coalesce("row_count", F.lit(0)).alias("row_count"))
+
+
+def _fs(spark: SparkSession, path: str):
+    """(file system, path) of a folder in any store that Spark knows."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _generations(root: str, checkpoint: str) -> str:
+    return os.path.join(root, GENERATIONS, hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12])
+
+
+def generation(spark: SparkSession, root: str, checkpoint: str, start_next: bool = False) -> int:
+    """The checkpoint's generation under this root, 0 at first; ``start_next`` begins the next one."""
+    fs, base = _fs(spark, _generations(root, checkpoint))
+    found = [int(s.getPath().getName()) for s in fs.listStatus(base)] if fs.exists(base) else []
+    now = max(found, default=0)
+    if start_next:
+        now += 1
+        fs.mkdirs(_fs(spark, os.path.join(_generations(root, checkpoint), str(now)))[1])
+    return now
 
 
 # --- streaming ---------------------------------------------------------------
 
 def batch_writer(root: str, mapping: dict[str, str] | None = None, lenient: bool = False,
-                 ingested_at=None):
-    """foreachBatch function: classify once, write bronze and rejects idempotently."""
+                 ingested_at=None, loader: str = "loader"):
+    """foreachBatch function: classify once, write bronze, rejects and progress idempotently.
+
+    ``loader`` names the checkpoint and its generation; with the batch
+    number it names the partition that a replay of the batch replaces.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         c = classify(batch, mapping, lenient).persist()
+        part = F.lit(f"{loader}-{batch_id:010d}").alias(BATCH_COL)
         try:
             good = to_bronze(c.where(F.col("_reason").isNull()), ingested_at, keep_key=True,
                              with_table=True, mapping=mapping)
-            (good.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
+            (good.select("*", part)
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(TABLE_COL, BATCH_COL).parquet(root))
             bad = c.where(F.col("_reason").isin("malformed", "unknown_topic"))
             (bad.select(F.col("topic"), F.col("value").cast("string").alias("raw_data"),
                         F.col("offset").alias("_kafka_offset"), F.col("partition").alias("_kafka_partition"),
-                        F.col("_reason").alias("reason"), F.lit(batch_id).cast("long").alias(BATCH_COL))
+                        F.col("_reason").alias("reason"), part)
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(BATCH_COL).parquet(os.path.join(root, REJECTS_TABLE)))
+            done = c.agg(F.lit(batch_id).cast("long").alias("batch_id"), F.count(F.lit(1)).alias("num_input_rows"),
+                         F.count_if(F.col("_reason").isNull()).alias("num_accepted_rows"),
+                         F.count_if(F.col("_reason").isin("malformed", "unknown_topic")).alias("num_rejected_rows"),
+                         F.current_timestamp().alias("finished_at"))
+            (done.select("*", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(BATCH_COL).parquet(os.path.join(root, PROGRESS_TABLE)))
         finally:
             c.unpersist()
 
@@ -277,16 +344,19 @@ def ingest(changes: DataFrame, root: str, checkpoint: str, mode: str = "batch",
     (``availableNow``); ``'realtime'`` runs continuously with a
     processing-time trigger.  ``checkpoint`` tracks offsets, so a
     re-run resumes where the last one stopped; ``reset=True`` empties
-    bronze and starts a fresh checkpoint from the earliest offset.
-    Micro-batch size is a source setting (``read_changes(max_per_trigger=)``).
+    the root and starts the checkpoint's next generation from the
+    earliest offset, which later runs go on with.  Several loaders may
+    write to one root with checkpoints of their own; a reset empties
+    what all of them wrote, so each of them needs one.  Micro-batch size is a source setting (``read_changes(max_per_trigger=)``).
     """
     spark = changes.sparkSession
     if reset:
         truncate(spark, root, mapping)
-        checkpoint = os.path.join(checkpoint, f"reset-{int(time.time())}-{uuid.uuid4().hex[:8]}")
+    now = generation(spark, root, checkpoint, start_next=reset)
     ensure_bronze(spark, root, mapping)
-    w = changes.writeStream.foreachBatch(batch_writer(root, mapping, lenient)).option(
-        "checkpointLocation", checkpoint)
+    loader = f"{os.path.basename(_generations(root, checkpoint))}-g{now}"
+    w = changes.writeStream.foreachBatch(batch_writer(root, mapping, lenient, loader=loader)).option(
+        "checkpointLocation", os.path.join(checkpoint, f"generation-{now}") if now else checkpoint)
     if mode == "batch":
         w = w.trigger(availableNow=True)
     elif mode == "realtime":
@@ -296,19 +366,28 @@ def ingest(changes: DataFrame, root: str, checkpoint: str, mode: str = "batch",
     return w.start()
 
 
-def run_stream(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
-    """Wait for a query, stopping it after ``timeout_s`` seconds."""
+class Unfinished(TimeoutError):
+    """A bounded run was stopped before the source was drained."""
+
+
+def run_stream(query: StreamingQuery, timeout_s: float | None = None, allow_partial: bool = False) -> StreamingQuery:
+    """Wait for a query, stopping it after ``timeout_s`` seconds.
+
+    A query that is stopped by the time bound raises ``Unfinished``
+    unless ``allow_partial``; what it had not read stays for the next
+    run with its checkpoint.  A query that failed raises its error.
+    """
     if timeout_s is None:
         query.awaitTermination()
     elif not query.awaitTermination(timeout_s):
         query.stop()
+        if not allow_partial:
+            raise Unfinished(f"stopped after {timeout_s} s; the rest is left to the next run")
+    if query.exception() is not None:
+        raise RuntimeError(f"the stream failed: {query.exception()}")
     return query
 
 
-def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Per-micro-batch progress: rows and rows per second."""
-    rows = [(p.get("batchId"), p.get("numInputRows"), p.get("inputRowsPerSecond"),
-             p.get("processedRowsPerSecond"), p.get("timestamp")) for p in query.recentProgress]
-    return spark.createDataFrame(
-        rows, "batch_id long, num_input_rows long, input_rows_per_second double, "
-              "processed_rows_per_second double, timestamp string")
+def progress_table(spark: SparkSession, root: str) -> DataFrame:
+    """Per micro-batch of all runs: rows read, accepted and rejected, and when it ended."""
+    return spark.read.parquet(os.path.join(root, PROGRESS_TABLE))

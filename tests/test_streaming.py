@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from commerce_lake import schemas as S
@@ -33,11 +34,11 @@ def test_stream_ingest_restart_reset(spark, scratch):
     log.repartition(3).write.parquet(src)
     want = expected(spark)
 
-    q = run(spark, src, root, ckpt)
+    run(spark, src, root, ckpt)
     assert counts(spark, root) == want
-    assert len(q.recentProgress) >= 3                     # one file per micro-batch
-    progress = I.progress_table(spark, q)
-    assert progress.agg(F.sum("num_input_rows")).first()[0] == log.count()
+    progress = I.progress_table(spark, root)
+    assert progress.count() >= 3                          # one file per micro-batch
+    assert progress.agg(F.sum("num_input_rows"), F.sum("num_accepted_rows")).first() == (log.count(), sum(want.values()))
 
     run(spark, src, root, ckpt)                          # resume: nothing new
     assert counts(spark, root) == want
@@ -54,10 +55,29 @@ def test_stream_ingest_restart_reset(spark, scratch):
     rej = spark.read.parquet(os.path.join(root, I.REJECTS_TABLE))
     assert sorted(r["reason"] for r in rej.collect()) == ["malformed", "unknown_topic"]
 
-    run(spark, src, root, ckpt, reset=True)              # reset: reload everything once
+    run(spark, src, root, ckpt, reset=True)              # reset: reload everything once, rejects too
     c = counts(spark, root)
     assert c["mongo_ecom_orders"] == want["mongo_ecom_orders"] + 1
     assert c["mongo_ecom_customers"] == want["mongo_ecom_customers"]
+    assert spark.read.parquet(os.path.join(root, I.REJECTS_TABLE)).count() == 2
+
+    run(spark, src, root, ckpt)                          # goes on with the checkpoint of the reset
+    assert counts(spark, root) == c
+
+    # a second loader with a checkpoint of its own adds to the same root
+    other = os.path.join(scratch, "other")
+    extra.where("value like '%x1%'").withColumn("offset", F.lit(10**9 + 9).cast("long")).write.parquet(other)
+    run(spark, other, root, ckpt + "-other")
+    assert counts(spark, root) == c | {"mongo_ecom_orders": c["mongo_ecom_orders"] + 1}
+
+
+def test_topic_named_tables_are_emptied_by_a_reset(spark, scratch):
+    src, root, ckpt = (os.path.join(scratch, d) for d in ("src", "bronze", "ckpt"))
+    rows = [("k", '{"a": 1}', "other.db.things", 0, i, None, []) for i in range(2)]
+    spark.createDataFrame(rows, S.CHANGELOG).write.parquet(src)
+    run(spark, src, root, ckpt, mapping=I.BY_TOPIC)
+    run(spark, src, root, ckpt, mapping=I.BY_TOPIC, reset=True)
+    assert I.read_bronze(spark, root, "other.db.things").count() == 2
 
 
 def test_batch_replay_is_idempotent(spark, scratch):
@@ -75,7 +95,13 @@ def test_table_stats_and_drain(spark):
     b = I.to_bronze(I.accept(log), with_table=True)
     stats = {r["table_name"]: r["row_count"] for r in I.table_stats(I.route(b)).collect()}
     assert stats == expected(spark)
-    assert I.drain(log, 50).count() == 50
+    assert {r["table_name"]: r["row_count"] for r in I.routed_stats(b).collect()} == stats
+    stray = spark.createDataFrame([("k", '{"a": 1}', "other.db.x", 0, -1, None, [])], S.CHANGELOG)
+    assert I.drain(stray, 1).count() == 0                # an unknown topic is not counted
+    first = I.drain(log, 50)
+    assert first.count() == 50
+    second = I.drain(log, 50, I.commit(first))
+    assert second.count() == 50 and second.join(first, ["topic", "partition", "offset"]).count() == 0
 
 
 def test_realtime_mode_and_timeout(spark, scratch):
@@ -84,7 +110,8 @@ def test_realtime_mode_and_timeout(spark, scratch):
     changes = I.read_changes(spark, path=src, fmt="parquet", topics=["customers", "products", "orders"])
     q = I.ingest(changes, root, ckpt, mode="realtime", interval="1 second")
     q.processAllAvailable()
-    I.run_stream(q, timeout_s=1)          # still running after the timeout: stopped
+    with pytest.raises(I.Unfinished):     # still running after the timeout: stopped, and said so
+        I.run_stream(q, timeout_s=1)
     assert not q.isActive
     assert counts(spark, root) == expected(spark)
 
@@ -109,7 +136,7 @@ def test_topic_named_tables_and_kafka_options(spark, scratch):
     want = expected(spark)
     assert got == {t: want[S.TOPIC_TABLES[t]] for t in S.TOPIC_TABLES}
     opts = I.kafka_options(["customers"], max_per_trigger=100)
-    assert opts == {"startingOffsets": "earliest", "subscribe": "mongo.ecom.ecom.customers",
+    assert opts == {"startingOffsets": "earliest", "includeHeaders": "true", "subscribe": "mongo.ecom.ecom.customers",
                     "maxOffsetsPerTrigger": "100"}
     assert I.kafka_options(pattern=S.TOPIC_PATTERN)["subscribePattern"] == S.TOPIC_PATTERN
 
