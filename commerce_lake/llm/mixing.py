@@ -58,9 +58,9 @@ def period_slots(sources: DataFrame, weights: DataFrame, period: int) -> DataFra
     """(_key, _quota, _slots, _turn, _at): the slots of each source in one period; at most the period's slots."""
     given = weights.where("weight > 0").groupBy(source_key().alias("_key")).agg(F.max("weight").alias("weight"))
     shares = sources.join(given, "_key", "left")
-    total = shares.agg(F.sum("weight").alias("total"))
-    quotas = shares.join(F.broadcast(total)).select(  # one row
-        "_key", F.greatest(F.coalesce(F.round(F.col("weight") / F.col("total") * period).cast("long"), F.lit(1)), F.lit(1)).alias("_quota"))
+    total = shares.agg(F.sum("weight")).first()[0] or 1.0
+    quotas = shares.select(
+        "_key", F.greatest(F.coalesce(F.round(F.col("weight") / F.lit(total) * period).cast("long"), F.lit(1)), F.lit(1)).alias("_quota"))
     one = quotas.agg(F.sort_array(F.collect_list(F.struct("_key", "_quota"))).alias("s")).where(F.size("s") > 0).select(
         F.col("s._key").alias("names"), F.col("s._quota").alias("quota"), F.expr("aggregate(s._quota, 0L, (a, b) -> a + b)").alias("slots"))
     picks = one.select("names", "quota", "slots", F.posexplode(F.expr(PERIOD)).alias("_at", "i"))
