@@ -104,7 +104,15 @@ def gather(train: DataFrame, n_words: int, lexicon: int, dim: int) -> tuple[Mode
     counts = materialize(word_counts(train), "lm-counts")
     ends = train.count()
     total = counts.agg(F.sum("n"), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(lexicon).collect()  # at most `lexicon` rows
+    # the smallest count that at most `lexicon` words reach; there are far fewer distinct counts than words
+    reach, least = 0, None
+    for r in counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).limit(lexicon).collect():
+        reach += r["words"]
+        if reach > lexicon:
+            break
+        least = r["n"]
+    top = counts.where(F.col("n") >= least).collect() if least is not None else []  # at most `lexicon` rows
+    top.sort(key=lambda r: (-r["n"], bytes(r["word"])))
     n_words = min(n_words, len(top))
     by_shape = {r["shape"]: r for r in counts.groupBy("shape").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
     shape_n = np.array([by_shape[s]["n"] if s in by_shape else 0 for s in range(SHAPES)], np.int64)
