@@ -14,7 +14,7 @@ by a third of all rows is one candidate, and queries that share a vector
 are searched once.  Large lists are split into chunks, and the queries
 of a list too, so no task holds more than ``CHUNK`` of either.
 
-The centroids are fitted on a bounded sample of ``sample`` vectors; all
+The centroids are fitted on a bounded sample of about ``sample`` vectors; all
 vectors are indexed and every query is answered.
 
 Edge cases: vectors that are NULL, zero, or hold NULL or non-finite
@@ -155,8 +155,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id
     result = "query_id long, rank int, vec_id long, score double"
     if n == 0:
         return spark.createDataFrame([], result)
-    few = members.orderBy(F.xxhash64("vid"), "vid").select("v").limit(sample).collect()  # a bounded sample
-    fitted = np.array([r["v"] for r in few], float)
+    # a sample of about that many vectors by a hash of the id; at least one
+    few = members.where(F.pmod(F.xxhash64("vid"), F.lit(1_000_000)) < int(1e6 * min(1.0, sample / n)) + 1).select("vid", "v").collect()
+    fitted = np.array([r["v"] for r in sorted(few, key=lambda r: r["vid"])] or [members.select("v").first()["v"]], float)
     lists = lists or int(min(1024, max(1, round(np.sqrt(n)))))
     centres = k_means(fitted, min(lists, len(fitted)))
     probes = min(len(centres), probes or enough_probes(fitted, centres, k, recall))
