@@ -27,7 +27,6 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,12 +41,13 @@ UNDETERMINED = "und"
 #: Probability of a letter that is no piece, the same in all languages.
 UNKNOWN = 1e-7
 #: Longest word whose score a worker keeps, and most words it keeps.
-MEMO_CHARS, MEMO_WORDS = 32, 300_000
+MEMO_CHARS, MEMO_WORDS = 32, 600_000
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-cased runs of letters."""
-    return [w for w in WORD.findall(text.lower()) if w.isalpha() or any(c.isalpha() for c in w)]
+    """Lower-cased runs of letters (the pattern also lets through runs of letter-like numerals alone)."""
+    words = WORD.findall(text.lower())
+    return words if text.isascii() else [w for w in words if w.isalpha() or any(c.isalpha() for c in w)]
 
 
 def vocabulary(path: str) -> list[str]:
@@ -71,58 +71,110 @@ class Model:
         self.longest = max(map(len, self.pieces), default=1)
 
 
-def _arcs(word: str, pieces: dict[str, list[float]], longest: int, unknown: list[float]) -> list[list[tuple[int, str, list[float]]]]:
-    """For each end position the pieces that end there: (start, piece, probabilities)."""
-    n = len(word)
-    out = []
-    for end in range(1, n + 1):
-        here = []
-        for start in range(max(0, end - longest), end):
-            p = pieces.get(word[start:end])
-            if p is not None:
-                here.append((start, word[start:end], p))
-        if not here or here[-1][0] != end - 1:
-            here.append((end - 1, "", unknown))
-        out.append(here)
+def _prefixes(pieces: dict[str, list[float]]) -> dict[str, int]:
+    """Every beginning of a piece -> the number of the piece it is, or -1."""
+    out: dict[str, int] = {}
+    for i, piece in enumerate(pieces):
+        for end in range(1, len(piece)):
+            out.setdefault(piece[:end], -1)
+        out[piece] = i
     return out
 
 
-def forward(word: str, model: Model) -> list[float]:
-    """Log probability of the word in each language, over all segmentations."""
-    marked, longest = MARK + word, model.longest
-    arcs = _arcs(marked, model.pieces, longest, [UNKNOWN] * len(model.languages))
-    out = []
-    for language in range(len(model.languages)):
-        alpha, scale = [1.0], 0.0
-        for here in arcs:
-            total = 0.0
-            for start, _, p in here:
-                total += alpha[start] * p[language]
-            alpha.append(total)
-            if total < 1e-200:  # a long word: lift the sums that later ends still need
-                at = max(0, len(alpha) - longest - 1)
-                alpha[at:] = [x * 1e200 for x in alpha[at:]]
-                scale -= 200 * math.log(10)
-        out.append(math.log(alpha[-1]) + scale)
-    return out
+class Segments:
+    """All segmentations of a batch of marked words, as arcs (word, start, end, piece) by end; piece -1: a letter that is none."""
+
+    def __init__(self, words: list[str], prefixes: dict[str, int]):
+        get = prefixes.get
+        word, start, end, piece = [], [], [], []
+        for w, plain in enumerate(words):
+            text = MARK + plain
+            n = len(text)
+            for at in range(n):
+                single = get(text[at])
+                if single is None or single < 0:
+                    word.append(w), start.append(at), end.append(at + 1), piece.append(-1)
+                else:
+                    word.append(w), start.append(at), end.append(at + 1), piece.append(single)
+                if single is not None:
+                    for to in range(at + 2, n + 1):
+                        found = get(text[at:to])
+                        if found is None:
+                            break
+                        if found >= 0:
+                            word.append(w), start.append(at), end.append(to), piece.append(found)
+        self.lengths = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
+        self.width = int(self.lengths.max(initial=0)) + 1
+        end_ = np.array(end, np.int64)
+        order = np.argsort(end_, kind="stable")
+        self.word, self.start, self.end, self.piece = (np.array(x, np.int64)[order] for x in (word, start, end, piece))
+        self.cuts = np.searchsorted(self.end, np.arange(self.width + 1))
+
+    def forward(self, p: np.ndarray) -> np.ndarray:
+        """Sums up to each position: (word, position, language); ``p``: probabilities of the arcs, (arc, language)."""
+        n, languages = len(self.lengths), p.shape[1]
+        alpha = np.zeros((n, self.width, languages))
+        alpha[:, 0] = 1.0
+        for at in range(1, self.width):
+            arcs = slice(self.cuts[at], self.cuts[at + 1])
+            word = self.word[arcs]
+            part = alpha[word, self.start[arcs]] * p[arcs]
+            for language in range(languages):
+                alpha[:, at, language] = np.bincount(word, part[:, language], n)
+        return alpha
+
+    def backward(self, p: np.ndarray) -> np.ndarray:
+        """Sums from each position to the end of the word, for one language: (word, position)."""
+        n = len(self.lengths)
+        beta = np.zeros((n, self.width))
+        beta[np.arange(n), self.lengths] = 1.0
+        for at in range(self.width - 1, 0, -1):  # what ends here is complete when its ends are
+            arcs = slice(self.cuts[at], self.cuts[at + 1])
+            np.add.at(beta, (self.word[arcs], self.start[arcs]), p[arcs] * beta[self.word[arcs], at])
+        return beta
+
+
+def table_of(pieces: dict[str, list[float]]) -> np.ndarray:
+    """Probabilities by piece number; the last row is that of a letter that is no piece."""
+    rows = [*pieces.values()]
+    return np.array([*rows, [UNKNOWN] * len(rows[0])]) if rows else np.zeros((1, 0))
+
+
+def forward_batch(words: list[str], prefixes: dict[str, int], table: np.ndarray) -> np.ndarray:
+    """Log probabilities (word, language) of words of at most MEMO_CHARS letters, over all segmentations."""
+    s = Segments(words, prefixes)
+    alpha = s.forward(table[s.piece])
+    return np.log(alpha[np.arange(len(words)), s.lengths])
+
+
+def expectations(words: list[str], counts: np.ndarray, prefixes: dict[str, int], table: np.ndarray) -> np.ndarray:
+    """Expected uses of each piece (by number) in the segmentations of counted words of one language."""
+    s = Segments(words, prefixes)
+    p = table[s.piece]
+    alpha, beta = s.forward(p[:, None])[:, :, 0], s.backward(p)
+    total = alpha[np.arange(len(words)), s.lengths]
+    used = alpha[s.word, s.start] * p * beta[s.word, s.end] * (counts / total)[s.word]
+    return np.bincount(s.piece[s.piece >= 0], used[s.piece >= 0], len(table) - 1)
 
 
-def expectations(word: str, pieces: dict[str, list[float]], longest: int, language: int) -> Iterator[tuple[str, float]]:
-    """(piece, expected number of uses) over the segmentations of a word; words with vanishing sums give none."""
-    marked = MARK + word
-    arcs = _arcs(marked, pieces, longest, [UNKNOWN] * (language + 1))
-    n = len(marked)
-    alpha, beta = [1.0] + [0.0] * n, [0.0] * n + [1.0]
-    for end, here in enumerate(arcs, 1):
-        alpha[end] = sum(alpha[start] * p[language] for start, _, p in here)
-    for end in range(n, 0, -1):
-        for start, _, p in arcs[end - 1]:
-            beta[start] += p[language] * beta[end]
-    if alpha[n] > 1e-300:
-        for end, here in enumerate(arcs, 1):
-            for start, piece, p in here:
-                if piece:
-                    yield piece, alpha[start] * p[language] * beta[end] / alpha[n]
+def forward(word: str, model: Model) -> list[float]:
+    """Log probability of a word of any length in each language: sums are rescaled on the way."""
+    text, longest, languages = MARK + word, model.longest, len(model.languages)
+    unknown = [UNKNOWN] * languages
+    alpha, scale = [[1.0] * languages], [0.0] * languages
+    for end in range(1, len(text) + 1):
+        total = [0.0] * languages
+        for start in range(max(0, end - longest), end):
+            p = model.pieces.get(text[start:end]) or (unknown if start == end - 1 else None)
+            if p is not None:
+                total = [t + a * x for t, a, x in zip(total, alpha[start], p)]
+        alpha.append(total)
+        for i, t in enumerate(total):
+            if t < 1e-200:  # lift the sums that later ends still need
+                for row in alpha[max(0, len(alpha) - longest - 1):]:
+                    row[i] *= 1e200
+                scale[i] -= 200 * math.log(10)
+    return [math.log(t) + s for t, s in zip(alpha[-1], scale)]
 
 
 def fit(labelled: DataFrame, vocabulary_path: str, max_docs: int = 4000, iterations: int = 3) -> Model:
@@ -161,16 +213,17 @@ def fit(labelled: DataFrame, vocabulary_path: str, max_docs: int = 4000, iterati
             import pyarrow as pa
 
             table, at = sent.value
-            longest = max(map(len, table))
-            used: Counter = Counter()
+            names, prefixes, p = list(table), _prefixes(table), table_of(table)
+            used = np.zeros((len(at), len(names)))
             for langs, batch, ns in rows_of(batches, "lang", "word", "n"):
-                for lang, word, n in zip(langs, batch, ns):
-                    for piece, x in expectations(word, table, longest, at[lang]):
-                        used[lang, piece] += n * x
-            yield pa.RecordBatch.from_pydict({"lang": pa.array([k[0] for k in used], pa.string()), "piece": pa.array([k[1] for k in used], pa.string()),
-                                              "n": pa.array(list(used.values()), pa.float64())})
-
-        rows = words.mapInArrow(expect, "lang string, piece string, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n")).collect()
+                for lang, i in at.items():
+                    mine = [(w, n) for x, w, n in zip(langs, batch, ns) if x == lang and len(w) <= MEMO_CHARS]
+                    if mine:
+                        used[i] += expectations([w for w, _ in mine], np.array([n for _, n in mine], float), prefixes, p[:, i])
+            for lang, i in at.items():
+                yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(names), pa.string()), "piece": pa.array(names), "n": pa.array(used[i])})
+
+        rows = words.mapInArrow(expect, "lang string, piece string, n double").where("n > 0").groupBy("lang", "piece").agg(F.sum("n").alias("n")).collect()
         n = {(r["lang"], r["piece"]): r["n"] for r in rows}  # at most vocabulary x languages
         totals = Counter()
         for (lang, _), x in n.items():
@@ -188,35 +241,47 @@ class Identifier:
         self.model = model
         self.index: dict[str, int] = {}
         self.scores = np.zeros((1024, max(1, len(model.languages))))
-
-    def _place(self, word: str) -> int:
-        at = self.index.get(word)
-        if at is None:
-            at = len(self.index)
-            if at == len(self.scores):
-                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            self.scores[at] = forward(word, self.model)
-            self.index[word] = at
+        self.prefixes, self.table = _prefixes(model.pieces), table_of(model.pieces)
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """Rows of the words' scores; new ones are scored first, -1 stands for a very long word."""
+        get = self.index.get
+        at = np.fromiter([get(w, -1) for w in words], np.int64, len(words))
+        missing = np.flatnonzero(at < 0)
+        new = [w for w in dict.fromkeys(words[i] for i in missing) if len(w) <= MEMO_CHARS]
+        if new:
+            if len(self.index) + len(new) > MEMO_WORDS:
+                self.index.clear()
+                return self.places(words)
+            need = len(self.index) + len(new)
+            if need > len(self.scores):
+                self.scores = np.concatenate([self.scores, np.zeros((need, self.scores.shape[1]))])
+            for start in range(0, len(new), 2000):
+                some = new[start:start + 2000]
+                first = len(self.index)
+                self.scores[first:first + len(some)] = forward_batch(some, self.prefixes, self.table)
+                self.index.update(zip(some, range(first, first + len(some))))
+            at[missing] = [get(words[i], -1) for i in missing]
         return at
 
-    def __call__(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text) if text else []
-        if not words or not self.model.languages:
-            return UNDETERMINED, 0.0
-        if len(self.index) > MEMO_WORDS:
-            self.index.clear()
-        total = self.model.priors.copy()
-        short = [w for w in words if len(w) <= MEMO_CHARS]
-        for at in range(0, len(short), 1 << 16):
-            some = short[at:at + (1 << 16)]
-            places = np.fromiter(map(self._place, some), np.int64, len(some))
-            total += self.scores[places].sum(axis=0)
-        if len(short) < len(words):
-            for w in words:
-                if len(w) > MEMO_CHARS:
-                    total += forward(w, self.model)
-        best = int(np.argmax(total))
-        return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
+    def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Language and posterior of each text."""
+        found = []
+        for text in texts:
+            words = words_of(text) if text else []
+            if not words or not self.model.languages:
+                found.append((UNDETERMINED, 0.0))
+                continue
+            total = self.model.priors.copy()
+            for start in range(0, len(words), 1 << 16):
+                some = words[start:start + (1 << 16)]
+                at = self.places(some)
+                total += self.scores[at[at >= 0]].sum(axis=0)
+                for i in np.flatnonzero(at < 0):
+                    total += forward(some[i], self.model)
+            best = int(np.argmax(total))
+            found.append((self.model.languages[best], float(1 / np.exp(total - total[best]).sum())))
+        return found
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -231,7 +296,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
         identify = Identifier(sent.value)
         for batch in batches:
-            found = [identify(t) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+            found = identify(batch.column(batch.schema.get_field_index("text")).to_pylist())
             kept = [batch.column(batch.schema.get_field_index(c)) for c in kept_columns]
             yield pa.RecordBatch.from_arrays([*kept, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
                                              [*kept_columns, "lang_pred", "score"])
@@ -258,7 +323,7 @@ def drop_undetermined(docs: DataFrame, vocabulary_path: str, folds: int = 4, hel
 
         identify = Identifier(sent.value)
         for batch in batches:
-            found = [identify(t) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+            found = identify(batch.column(batch.schema.get_field_index("text")).to_pylist())
             yield batch.filter(pa.array([x[0] != UNDETERMINED and x[1] >= least for x in found], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

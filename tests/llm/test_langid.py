@@ -31,9 +31,8 @@ def test_forward_sums_all_segmentations():
                 p = p * (np.array(pieces[x]) if x in pieces else langid.UNKNOWN if len(x) == 1 else 0)
             want += p
         assert np.allclose(np.exp(langid.forward(word, model)), want)
-    used = dict.fromkeys(pieces, 0.0)
-    for piece, n in langid.expectations("ab", pieces, 2, 0):
-        used[piece] += n
+        assert np.allclose(np.exp(langid.forward_batch(["b", word, "abab"], langid._prefixes(pieces), langid.table_of(pieces))[1]), want)
+    used = dict(zip(pieces, langid.expectations(["ab"], np.ones(1), langid._prefixes(pieces), langid.table_of(pieces)[:, 0])))
     ways = {("▁a", "b"): .2 * .2, ("▁", "a", "b"): .1 * .1 * .2, ("▁", "ab"): .1 * .3}
     total = sum(ways.values())
     for piece, n in used.items():
