@@ -4,7 +4,8 @@ A byte-level BPE pre-tokenizer never lets a token run from a non-space
 into a following space, so a text may be cut before every run of white
 space: the ids of the chunks, one after another, are the ids of the
 text.  Each chunk (leading white space and one run of other characters)
-is encoded by the library once per worker and then looked up.  That
+is encoded by the library once per worker and then looked up; a new
+chunk is first cut where letters meet punctuation or digits.  That
 also bounds the memory for very long texts, which are never encoded
 whole.  ``cuttable`` checks that the tokenizer is of that kind; any
 other tokenizer encodes whole texts.
@@ -19,10 +20,14 @@ import re
 from array import array
 
 CHUNK = re.compile(r"\s*\S+|\s+")
+#: Places inside a chunk where a token always ends as well: between a letter and ASCII punctuation or a digit, and
+#: (but after an apostrophe, which may start a contraction) between those and a letter.
+_LETTER, _OTHER = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-@\[-`{-~"
+INNER = re.compile(f"(?<=[{_LETTER}])(?=[{_OTHER}'])|(?<=[{_OTHER}])(?=[{_LETTER}])")
 #: White space to Python's ``re`` but not to Unicode and the library: such texts are not cut.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: Longest chunk that is remembered, and most chunks that a worker remembers.
-MEMO_CHARS, MEMO_CHUNKS = 48, 400_000
+MEMO_CHARS, MEMO_CHUNKS = 48, 700_000
 
 
 def version_digest(path: str) -> str:
@@ -47,12 +52,13 @@ def cuttable(path: str) -> bool:
 
 
 class _Memo(dict):
-    def __init__(self, encode):
+    def __init__(self, encode, special: list[str]):
         super().__init__()
-        self.encode = encode
+        self.encode, self.special = encode, special
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = self.encode(chunk)
+        parts = INNER.split(chunk) if len(chunk) <= MEMO_CHARS and not any(s in chunk for s in self.special) else [chunk]
+        ids = b"".join([self[p] for p in parts]) if len(parts) > 1 else self.encode(chunk)
         if len(chunk) <= MEMO_CHARS:
             if len(self) >= MEMO_CHUNKS:
                 self.clear()
@@ -69,7 +75,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cuttable = cuttable(path)
-        self.memo = _Memo(self._plain)
+        self.memo = _Memo(self._plain, [t.content for t in self.tokenizer.get_added_tokens_decoder().values()])
 
     def _plain(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
