@@ -33,13 +33,15 @@ import bisect
 import zlib
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import checkpointed, rows_of, small_batches, text_of
 from .tokens import encoder
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
+#: Groups of neighbouring places, in which pieces and sequences are numbered.
+PLACES = 1024
 PLAN = "length long, rank_from long, rank_to long, sequence_from long, per_sequence long, offset_from long"
 
 
@@ -119,16 +121,18 @@ def best_fit_plan(runs: Iterable[tuple[int, int]], capacity: int) -> list[tuple[
     return plan
 
 
-def pack(pieces: DataFrame, capacity: int) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int, place: tuple[str, ...] = (), salt: Column | None = None) -> DataFrame:
     """Adds sequence_id and offset to rows with a ``length`` of 1 to ``capacity``.
 
     ``pieces`` must read the same rows each time (a table or a
     checkpoint), as it is read for the counts and again for the ranks.
+    Pieces of equal length are ranked by the columns ``place``, if given;
+    ``salt`` is then an integer that never falls along them.
     """
     spark = pieces.sparkSession
-    keys = [c for c in pieces.columns if c != "length"]
+    keys = [*place, *(c for c in pieces.columns if c != "length" and c not in place)]
     salts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int"))
+    salted = pieces.withColumn("_salt", (F.pmod(F.xxhash64(*keys), F.lit(salts)) if salt is None else salt).cast("int"))
     totals = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     offsets = checkpointed(totals.withColumn("_before", F.coalesce(
         F.sum("_n").over(Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
@@ -149,3 +153,26 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
 def pack_documents(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every document."""
     return pack(checkpointed(tokenised_pieces(docs, path, capacity, end_id)), capacity)
+
+
+def pack_in_order(placed: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, place: tuple[str, str] = ("mix_slot", "mix_start")) -> DataFrame:
+    """As ``pack_documents``, with the sequences numbered by the place of the piece they were opened with.
+
+    ``placed`` has two long columns that order its documents; the first
+    is 0 or more.  Pieces of equal length go by place too, so as many
+    sequences are opened as without, and they run in that order.
+    """
+    where = F.struct("doc_id", *place).alias("at")
+    cut = tokenised_pieces(placed.select(where, "text"), path, capacity, end_id, "at")
+    pieces = checkpointed(cut.select("at.*", *(c for c in cut.columns if c != "at")))
+    last = pieces.agg(F.max(place[0])).first()[0] or 0
+    group = F.expr(f"{place[0]} * {PLACES}L div {last + 1}L")  # 0 to PLACES - 1
+    packed = checkpointed(pack(pieces, capacity, place, group))
+    opened = packed.where("offset = 0").select(F.col("sequence_id").alias("_old"), group.alias("_group"), *place)
+    counts = {r["_group"]: r["n"] for r in opened.groupBy("_group").agg(F.count("*").alias("n")).collect()}  # at most PLACES rows
+    before = placed.sparkSession.createDataFrame([(g, sum(counts[h] for h in counts if h < g)) for g in counts], "_group long, _before long")
+    inside = Window.partitionBy("_group").orderBy(*place, "_old")
+    numbers = checkpointed(opened.withColumn("_n", F.row_number().over(inside) - 1).join(F.broadcast(before), "_group")
+                           .select(F.col("_old").alias("sequence_id"), (F.col("_before") + F.col("_n")).cast("long").alias("_new")))
+    out = packed.join(numbers, "sequence_id")
+    return out.select(*(F.col("_new").alias(c) if c == "sequence_id" else F.col(c) for c in packed.columns if c not in place))
