@@ -10,7 +10,7 @@ stays in proportion to the text.
 Base kinds, kept whenever they pass their check: ``email``; ``ip``
 (parts at most 255); ``card`` (16 to 19 digits, Luhn); ``phone`` (+ and
 8 to 15 digits).  Further kinds, kept at a score of ``THRESHOLD`` and
-where they touch no base span: ``iban`` (mod 97), ``card_short`` (13 to
+where they touch no base span: ``iban`` (its country's length, mod 97), ``card_short`` (13 to
 15 digits, Luhn, needs a context word), ``phone_local`` (no +, needs a
 context word) and ``ssn`` (needs a context word).
 
@@ -49,6 +49,14 @@ _LUHN = f"""aggregate(transform(split(reverse({_DIGITS}), ''), (c, i) -> if(i %
 _MOD97 = """aggregate(split(concat(substring(replace(m, ' ', ''), 5), substring(m, 1, 4)), ''), 0L,
     (a, c) -> if(c between '0' and '9', (a * 10 + int(c)) % 97, (a * 100 + ascii(c) - 55) % 97)) = 1"""
 
+#: Characters of an IBAN by country; other countries' numbers run as far as they can.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_IBAN = "|".join([*(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items()),
+                  rf"(?!{'|'.join(' '.join(IBAN_LENGTHS.values()).split())})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}+"])
+
 #: In the order in which spans are listed.
 KINDS = (
     Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", 0.9, "true",
@@ -60,7 +68,7 @@ KINDS = (
          "card|visa|credit|carte|karte|tarjeta", True),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.7, f"length({_DIGITS}) between 8 and 15",
          "phone|tel|call|fax|mobile|handy|telefon", True),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}", 0.9, _MOD97, "iban|bank|account|konto|cuenta|compte"),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?:{_IBAN})(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}", 0.9, _MOD97, "iban|bank|account|konto|cuenta|compte"),
     Kind("card_short", r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++", "[0-9]", 0.3, f"length({_DIGITS}) between 13 and 15 and {_LUHN}",
          "card|visa|amex|credit|carte|karte|tarjeta"),
     Kind("phone_local", r"(?<![0-9+.])\(?[0-9]{2,5}\)?[\x20.-][0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9.-])", "[0-9]{3}", 0.3,
