@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from . import ann, fim, langid, lm, mixing, packing, pii, simhash, spotsigs, token_counts, warc
+from . import ann, fim, langid, lm, mixing, packing, pii, simhash, spotsigs, token_counts, warc, winnow
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -75,6 +75,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(manifest, folder, payloads=False).drop("url", "payload")
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnow.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), span=10)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fim.restore(fim.transform(table(spark, sf_dir, "documents"), seed=7, rate=100, spm_rate=50))
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
@@ -83,11 +89,12 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_best_fit_packing, op2_token_counts, op3_nearest_neighbours, op4_lm_scoring, op5_pii, op6_spotsigs,
-                            op7_simhash, op8_source_mixing, op9_language_id, op10_warc, op13_fill_in_middle)
+                            op7_simhash, op8_source_mixing, op9_language_id, op10_warc, op12_decontamination, op13_fill_in_middle)
 }
 
 #: DuckDB statements of the operators that SQL can express.
-ORACLES: dict[str, str] = {"op8_source_mixing": mixing.ORACLE, "op10_warc": warc.ORACLE, "op13_fill_in_middle": fim.ORACLE}
+ORACLES: dict[str, str] = {"op8_source_mixing": mixing.ORACLE, "op10_warc": warc.ORACLE, "op12_decontamination": winnow.ORACLE,
+                           "op13_fill_in_middle": fim.ORACLE}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
