@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from . import ann, fim, langid, lm, mixing, packing, pii, simhash, spotsigs, token_counts, warc, winnow
+from . import ann, fim, langid, lm, mixing, packing, periodic, pii, simhash, spotsigs, token_counts, warc, winnow
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -75,6 +75,25 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(manifest, folder, payloads=False).drop("url", "payload")
 
 
+def with_loops(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): where the crc32 of the id ends in 0, the words from some place on repeat with a period fixed by it."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.filter(F.split("text", periodic.SPACE), lambda x: x != ""))
+    split = docs.select("doc_id", "text", words.alias("w"), F.floor(h / 10).alias("g"))
+    placed = split.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    a, p = F.col("a"), F.lit(1) + F.floor((F.col("n") - F.col("a")) / (F.lit(3) + F.col("g") % 8))
+    loop = F.transform("w", lambda x, i: F.when(i < a, x).otherwise(F.get("w", (a + (i - a) % p).cast("int"))))
+    return placed.select("doc_id", F.when(a.isNotNull(), F.array_join(loop, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find(with_loops(table(spark, sf_dir, "documents")), min_length=6, min_periods=4)
+    best = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), periodic.longest("runs").alias("best"),
+                        F.sha2(periodic.listed("runs"), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return best.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                       F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnow.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), span=10)
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
@@ -89,11 +108,11 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_best_fit_packing, op2_token_counts, op3_nearest_neighbours, op4_lm_scoring, op5_pii, op6_spotsigs,
-                            op7_simhash, op8_source_mixing, op9_language_id, op10_warc, op12_decontamination, op13_fill_in_middle)
+                            op7_simhash, op8_source_mixing, op9_language_id, op10_warc, op11_periodic_runs, op12_decontamination, op13_fill_in_middle)
 }
 
 #: DuckDB statements of the operators that SQL can express.
-ORACLES: dict[str, str] = {"op8_source_mixing": mixing.ORACLE, "op10_warc": warc.ORACLE, "op12_decontamination": winnow.ORACLE,
+ORACLES: dict[str, str] = {"op8_source_mixing": mixing.ORACLE, "op10_warc": warc.ORACLE, "op11_periodic_runs": periodic.ORACLE, "op12_decontamination": winnow.ORACLE,
                            "op13_fill_in_middle": fim.ORACLE}
 
 
