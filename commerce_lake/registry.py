@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle as O
+from . import registry_loader as L
 from . import schemas as S
 from .functions import scalars as X
 from .operators import changes as C
@@ -241,44 +242,6 @@ def _a5(s, d):
         F.col("offset").alias("event_id"), "partition", "topic")
 
 
-def _a5_resumed(s, d):
-    """Bounded drains, each going on from the offsets that the earlier ones committed, until nothing is left."""
-    log = _events_log(s, d)
-    cap = log.count() // 3 + 1
-    committed, out = None, None
-    for _ in range(3):
-        run = materialize(I.drain(log, cap, committed), "drain")
-        committed = materialize(I.commit(run, committed), "committed")
-        out = run if out is None else out.unionByName(run)
-    return out.select(F.col("offset").alias("event_id"), "partition", "topic")
-
-
-def _all_bronze(s, root):
-    out = None
-    for t in S.TOPIC_TABLES.values():
-        rows = I.read_bronze(s, root, t).select(F.lit(t).alias("table_name"), F.col("_kafka_offset").alias("event_id"),
-                                                F.col("_kafka_partition").alias("partition"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
-
-
-def _a8_a9(s, d):
-    """Load a part, reset with another micro-batch size, add the rest, resume: every accepted offset once."""
-    base = os.path.join(checkpoint_dir(s), "commerce_lake", f"a8-{uuid.uuid4().hex}")
-    src, root, ckpt = (os.path.join(base, p) for p in ("changelog", "bronze", "_checkpoint"))
-    log = _events_log(s, d)
-    log.where("offset % 3 = 0").repartition(3).write.parquet(src)
-
-    def load(files, **kw):
-        I.run_stream(I.ingest(I.read_changes(s, path=src, fmt="parquet", max_per_trigger=files), root, ckpt, mode="batch", **kw))
-
-    load(2)
-    load(1, reset=True)
-    log.where("offset % 3 <> 0").repartition(2).write.mode("append").parquet(src)
-    load(2)
-    return _all_bronze(s, root)
-
-
 def _d6(s, d):
     stg = Lake(s, d).stg_orders()
     return stg.where(gold.has_lines()).groupBy("order_status").agg(F.count(F.lit(1)).alias("row_count"))
@@ -336,21 +299,6 @@ def _f1_f6(s, d):
         F.when(li.isNotNull(), F.size(X.json_array(li))).alias("n_elements"))
 
 
-def _t1(s, d):
-    """Streaming loader end to end: change-log files -> one query -> three bronze tables.
-
-    The change log built from ``events`` is written as files, read by a
-    file stream one file per micro-batch (availableNow) and loaded by the
-    idempotent three-table writer; the result is the bronze row count
-    per table.
-    """
-    base = os.path.join(checkpoint_dir(s), "commerce_lake", f"t1-{uuid.uuid4().hex}")
-    src, root, ckpt = (os.path.join(base, p) for p in ("changelog", "bronze", "_checkpoint"))
-    _events_log(s, d).write.parquet(src)
-    I.run_stream(I.ingest(I.read_changes(s, path=src, fmt="parquet", max_per_trigger=1), root, ckpt, mode="batch"))
-    return I.table_stats({t: I.read_bronze(s, root, t) for t in S.TOPIC_TABLES.values()})
-
-
 def _approx_unique(s, d):
     """Estimated distinct customers of a day against the exact number: within five standard errors."""
     lines = Lake(s, d).shared_lines()
@@ -431,12 +379,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         SELECT event_id, CAST(user_id % 4 AS INTEGER) AS partition, {O.EVENTS_TOPIC} AS topic FROM events
         WHERE event_type NOT IN ('error', 'click')
         ORDER BY event_id LIMIT {I.BATCH_DRAIN[0]}"""),
-    "a5_drain_resumed": _q(_a5_resumed, f"""
-        SELECT event_id, CAST(user_id % 4 AS INTEGER) AS partition, {O.EVENTS_TOPIC} AS topic FROM events
-        WHERE event_type NOT IN ('error', 'click')"""),
-    "a8_a9_reset_resume": _q(_a8_a9, f"""
-        SELECT {O.EVENTS_TABLE} AS table_name, event_id, CAST(user_id % 4 AS INTEGER) AS partition FROM events
-        WHERE event_type NOT IN ('error', 'click')"""),
+    **L.QUERIES,
     "b2_to_bronze": _q(_b2, f"""
         SELECT {O.EVENTS_TABLE} AS table_name, event_id AS _kafka_offset,
                CAST(user_id % 4 AS INTEGER) AS _kafka_partition, 'r' AS _kafka_op, event_type, value,
@@ -444,8 +387,6 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         FROM events WHERE event_type NOT IN ('error', 'click')"""),
     "b3_route": _q(_b3, f"SELECT {O.EVENTS_TABLE} AS table_name, count(*) AS row_count FROM events "
                         "WHERE event_type NOT IN ('error', 'click') GROUP BY 1"),
-    "t1_stream_ingest": _q(_t1, f"SELECT {O.EVENTS_TABLE} AS table_name, count(*) AS row_count FROM events "
-                                "WHERE event_type NOT IN ('error', 'click') GROUP BY 1"),
     "b6_table_stats": _q(_b6, """
         SELECT 'mongo_ecom_customers' AS table_name,
                (SELECT count(*) + count(*) FILTER (WHERE c_custkey % 3 = 0)
