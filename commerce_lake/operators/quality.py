@@ -5,11 +5,13 @@ return them: ``not_null`` and ``expression_is_true`` count rows,
 ``accepted_values`` counts distinct offending values (NULL is not
 reported), ``unique`` counts values that occur more than once.
 
-All row-level checks of one model fold into a single aggregate pass
-(one ``count_if`` column per check, partial aggregation on every task);
-all ``unique`` checks of one model share one grouped count over
-(column, value) pairs with map-side combine.  Each model is therefore
-read at most twice, whatever the number of checks.
+All checks of one model that count rows fold into a single aggregate
+pass (one ``count_if`` column per check, partial aggregation on every
+task); all its ``unique`` checks share one grouped count over (column,
+value) pairs with map-side combine, and so do its ``accepted_values``
+checks, over offending values only.  Each model is therefore read at
+most three times, whatever the number of checks.  ``failing_rows`` gives
+the failures themselves.
 """
 
 from __future__ import annotations
@@ -92,36 +94,101 @@ def arg_text(arg) -> str:
     return str(arg)
 
 
-def failing_rows(df: DataFrame, col: str, kind: str, arg=None) -> Column:
-    """Aggregate expression counting failures of one row-level check."""
-    c = F.col(col)
+def _fails(col: str, kind: str, arg=None) -> Column:
+    """Whether a row fails a row-level check; never NULL."""
+    c = F.col(f"`{col}`")
     if kind == "not_null":
-        return F.count_if(c.isNull())
+        return c.isNull()
     if kind == "accepted_values":
-        return F.count_distinct(F.when(~c.isin(list(arg)), c))
+        return F.coalesce(~c.isin(list(arg)), F.lit(False))
     if kind == "expression_is_true":
-        return F.count_if(~F.expr(f"`{col}` {arg}"))
+        return F.coalesce(~F.expr(f"`{col}` {arg}"), F.lit(False))
     raise ValueError(f"not a row-level check: {kind}")
 
 
-def unique_failures(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Per column, the number of non-NULL values occurring more than once (one row per column).
+def _pairs(df: DataFrame, cols: list[str], where=None) -> DataFrame:
+    """(column_name, value as text) of some columns of every row; ``where(column)`` says which rows of a column."""
+    return df.select(F.explode(F.filter(F.array(*[
+        F.when(F.lit(True) if where is None else where(c),
+               F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))) for c in cols
+    ]), lambda p: p["value"].isNotNull())).alias("_p")).select("_p.*")
+
+
+def _repeated(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column_name, value, occurrences) of every non-NULL value that occurs more than once in its column.
 
     One exchange for all columns: rows become (column, value) pairs,
     counted per pair with partial aggregation, so a very frequent value
     is pre-counted on every task before the shuffle.
     """
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols
-    ])).alias("_p")).select("_p.*").where(F.col("value").isNotNull())
-    dup = (pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > 1))
-    per_col = dup.agg(*[F.count_if(F.col("column_name") == c).alias(f"_u{i}") for i, c in enumerate(cols)])
-    return per_col.select(F.inline(F.array(*[
+    return (_pairs(df, cols).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("occurrences"))
+            .where(F.col("occurrences") > 1))
+
+
+def _per_column(values: DataFrame, cols: list[str]) -> DataFrame:
+    """(column_name, failures): rows of ``values`` for each column, also 0."""
+    counted = values.agg(*[F.count_if(F.col("column_name") == c).alias(f"_u{i}") for i, c in enumerate(cols)])
+    return counted.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"_u{i}").cast("bigint").alias("failures"))
         for i, c in enumerate(cols)])))
 
 
+def unique_failures(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Per column, the number of non-NULL values occurring more than once (one row per column)."""
+    return _per_column(_repeated(df, cols), cols)
+
+
+def accepted_failures(df: DataFrame, accepted: dict[str, tuple]) -> DataFrame:
+    """Per column, the number of distinct values outside its accepted ones (one row per column).
+
+    Only offending values become (column, value) pairs and are shuffled.
+    """
+    bad = _pairs(df, list(accepted), lambda c: _fails(c, "accepted_values", accepted[c])).distinct()
+    return _per_column(bad, list(accepted))
+
+
+def failing_rows(models: dict[str, DataFrame], keys: dict[str, str], checks: Iterable[tuple] = CHECKS,
+                 kinds: Iterable[str] = CHECK_KINDS) -> DataFrame:
+    """Every failure of the checks: model, row_key, column_name, check_name, argument, value, occurrences.
+
+    ``keys`` names the column of each model that tells its rows apart (as
+    text; NULL without one).  A row that fails several checks comes once
+    for each; the row-level checks of a model are one pass that emits
+    nothing for rows without a failure.  A value that repeats in a unique
+    column comes once, with its ``occurrences`` and without a key.
+    """
+    kinds, parts = set(kinds), []
+    for model, df in models.items():
+        mine = [c for c in checks if c[0] == model and c[2] in kinds and c[1] in df.columns]
+        row_level = [c for c in mine if c[2] != "unique"]
+        uniq = [c[1] for c in mine if c[2] == "unique"]
+        if row_level:
+            key = F.col(f"`{keys[model]}`").cast("string") if model in keys else F.lit(None).cast("string")
+            failed = F.filter(F.array(*[
+                F.when(_fails(col, kind, arg), F.struct(F.lit(col).alias("column_name"), F.lit(kind).alias("check_name"),
+                                                        F.lit(arg_text(arg)).alias("argument"), F.col(f"`{col}`").cast("string").alias("value")))
+                for _, col, kind, arg in row_level]), lambda f: f.isNotNull())
+            parts.append(df.select(F.lit(model).alias("model"), key.alias("row_key"), F.explode(failed).alias("_f"))
+                         .select("model", "row_key", "_f.*", F.lit(1).cast("bigint").alias("occurrences")))
+        if uniq:
+            parts.append(_repeated(df, uniq).select(
+                F.lit(model).alias("model"), F.lit(None).cast("string").alias("row_key"), "column_name", F.lit("unique").alias("check_name"),
+                F.lit("").alias("argument"), "value", "occurrences"))
+    if not parts:
+        raise ValueError("no checks apply to the given models")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _counted(model: str, kind: str, failures: DataFrame, arguments: dict) -> DataFrame:
+    text = F.lit("")
+    for col, arg in arguments.items():
+        text = F.when(F.col("column_name") == col, F.lit(arg_text(arg))).otherwise(text)
+    return failures.select(F.lit(model).alias("model"), "column_name", F.lit(kind).alias("check_name"), text.alias("argument"), "failures")
+
+
 def run_checks(models: dict[str, DataFrame], checks: Iterable[tuple] = CHECKS,
                kinds: Iterable[str] = CHECK_KINDS, missing: str = "error") -> DataFrame:
     """One row per check of the given models: model, column_name, check_name, argument, failures, passed.
@@ -137,14 +204,15 @@ def run_checks(models: dict[str, DataFrame], checks: Iterable[tuple] = CHECKS,
         if absent and missing == "error":
             raise ValueError(f"model {model} lacks checked columns {absent}")
         mine = [c for c in mine if c[1] in df.columns]
-        row_level = [(i, c) for i, c in enumerate(mine) if c[2] != "unique"]
+        row_level = [(i, c) for i, c in enumerate(mine) if c[2] in ("not_null", "expression_is_true")]
         uniq = [c[1] for c in mine if c[2] == "unique"]
+        accepted = {c[1]: c[3] for c in mine if c[2] == "accepted_values"}
         if uniq:
-            parts.append(unique_failures(df, uniq).select(
-                F.lit(model).alias("model"), "column_name", F.lit("unique").alias("check_name"),
-                F.lit("").alias("argument"), "failures"))
+            parts.append(_counted(model, "unique", unique_failures(df, uniq), dict.fromkeys(uniq)))
+        if accepted:
+            parts.append(_counted(model, "accepted_values", accepted_failures(df, accepted), accepted))
         if row_level:
-            agg = df.agg(*[failing_rows(df, col, kind, arg).alias(f"_c{i}") for i, (_, col, kind, arg) in row_level])
+            agg = df.agg(*[F.count_if(_fails(col, kind, arg)).alias(f"_c{i}") for i, (_, col, kind, arg) in row_level])
             stacked = F.array(*[F.struct(F.lit(model).alias("model"), F.lit(col).alias("column_name"),
                                          F.lit(kind).alias("check_name"), F.lit(arg_text(arg)).alias("argument"),
                                          F.col(f"_c{i}").cast("bigint").alias("failures"))

@@ -9,7 +9,8 @@ Shuffle budget, by design:
   joined back on their key instead of whole-partition windows, so a hot
   customer or product is pre-reduced map-side; the per-order metrics are
   windows over the few lines of an order (one exchange of the lines by
-  order, no side table).  Each dimension is joined to its metric table
+  order, no side table); orders with very many lines are joined with
+  their metrics instead (``hot_orders``).  Each dimension is joined to its metric table
   first (both one row per key).  The caller may write these two keyed
   side tables once (``fact_sides``, as ``pipeline.build`` does): every
   join-back then reads a shuffle on both sides, which adaptive execution
@@ -173,14 +174,40 @@ def product_metrics(lines: DataFrame) -> DataFrame:
         F.sum("line_total").alias("product_total_revenue"))
 
 
-def with_order_metrics(lines: DataFrame) -> DataFrame:
-    """Lines with the metrics of their order, as windows over the order's lines."""
+#: Lines of one order beyond which its window would hold up a task.
+HOT_LINES = 1_000_000
+
+
+def hot_orders(lines: DataFrame, most: int = HOT_LINES) -> DataFrame:
+    """Metrics of the orders with more than ``most`` lines; one light aggregation over the lines.
+
+    The caller writes the result, which is at most one row in ``most``
+    lines, and passes it to ``with_order_metrics``.
+    """
+    return order_metrics(lines).where(F.col("items_in_order") > most)
+
+
+def with_order_metrics(lines: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Lines with the metrics of their order.
+
+    As windows over the order's lines: one exchange, no side table.  A
+    window brings an order's lines into one task, so the orders of
+    ``hot`` (see ``hot_orders``) take another way: their lines meet their
+    metrics in a join, which adaptive execution broadcasts or splits by
+    size, and never a window.
+    """
     w = Window.partitionBy("order_id")
-    return lines.select(
-        "*",
-        F.sum("line_total").over(w).alias("order_total_value"),
-        F.count(F.lit(1)).over(w).alias("items_in_order"),
-        F.avg("unit_price").over(w).alias("avg_item_price_in_order"))
+    metrics = ["order_total_value", "items_in_order", "avg_item_price_in_order"]
+
+    def windowed(rows: DataFrame) -> DataFrame:
+        return rows.select("*", F.sum("line_total").over(w).alias(metrics[0]), F.count(F.lit(1)).over(w).alias(metrics[1]),
+                           F.avg("unit_price").over(w).alias(metrics[2]))
+
+    if hot is None:
+        return windowed(lines)
+    side = hot.select(F.col("order_id").alias("_key"), *metrics)
+    same = lines["order_id"].eqNullSafe(side["_key"])
+    return windowed(lines.join(side, same, "left_anti")).unionByName(lines.join(side, same).drop("_key"))
 
 
 def fact_sides(lines: DataFrame, dim_c: DataFrame, dim_p: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -211,7 +238,7 @@ def _dflt(c: str, value, unmatched: str) -> Column:
 
 def fact_orders(lines: DataFrame, dim_c: DataFrame, dim_p: DataFrame, as_of=None,
                 unmatched: str = "defaults", ordered: bool = False,
-                sides: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+                sides: tuple[DataFrame, DataFrame] | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Order lines enriched with customer and product data and metrics.
 
     ``unmatched='defaults'`` fills columns of a missing customer or
@@ -220,13 +247,14 @@ def fact_orders(lines: DataFrame, dim_c: DataFrame, dim_p: DataFrame, as_of=None
     Every line is kept, those with a NULL order, customer or product
     too.  ``sides`` are the two tables of ``fact_sides`` as written by
     the caller, so that hot keys can be split at the join-back; without
-    them the plan stays fully lazy.
+    them the plan stays fully lazy.  ``hot`` are the metrics of orders
+    with very many lines (``hot_orders``), written by the caller.
     """
     if unmatched not in ("defaults", "nulls"):
         raise ValueError("unmatched must be 'defaults' or 'nulls'")
     now = X.as_timestamp(as_of)
     cust, prod = sides or fact_sides(lines, dim_c, dim_p)
-    f = _join_back(_join_back(with_order_metrics(lines), cust, "customer_id"), prod, "product_id")
+    f = _join_back(_join_back(with_order_metrics(lines, hot), cust, "customer_id"), prod, "product_id")
     price = (F.coalesce(F.col("current_product_price"), F.lit(0.0)) if unmatched == "defaults"
              else F.col("current_product_price"))
     filled = {

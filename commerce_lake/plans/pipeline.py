@@ -15,7 +15,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import register_views
-from . import gold, silver
+from . import catalog, gold, silver
 from .materialize import materialize, new_folder, remove
 
 
@@ -49,7 +49,7 @@ def as_table(df: DataFrame, path: str, sort: list[str] | None = None,
 
 def build(spark: SparkSession, bronze: dict[str, DataFrame], out_root: str, as_of=None,
           unmatched: str = "defaults", deletes: str = "ignore", latest_only: bool = False,
-          cluster_fact: bool = False) -> dict[str, DataFrame]:
+          cluster_fact: bool = False, hot_lines: int = gold.HOT_LINES, database: str | None = None) -> dict[str, DataFrame]:
     """Run every model; returns the gold tables as read back from ``out_root``.
 
     ``deletes='apply'`` drops deleted customers, products and orders
@@ -64,6 +64,10 @@ def build(spark: SparkSession, bronze: dict[str, DataFrame], out_root: str, as_o
     whole files.  That costs an exchange plus the sampling pass that
     range bounds need, which evaluates the fact's join pipeline once
     more: worth it only for tables read far more often than written.
+    Orders with more than ``hot_lines`` lines get their metrics by a join
+    (see ``gold.with_order_metrics``).  With ``database`` the gold tables
+    are also saved in the catalog (``catalog.publish``) and returned as
+    read by name, those with an order date with their month.
     """
     stg = {
         "stg_customers": silver.customers(bronze["customers"], as_of, include_deletes=deletes == "apply"),
@@ -79,12 +83,15 @@ def build(spark: SparkSession, bronze: dict[str, DataFrame], out_root: str, as_o
                      os.path.join(out_root, "dim_products"), sort=["product_id"])
     cust, prod = gold.fact_sides(lines, dim_c, dim_p)
     sides = materialize(cust, "customer_side", scratch), materialize(prod, "product_side", scratch)
-    fact = as_table(gold.fact_orders(lines, dim_c, dim_p, as_of, unmatched, sides=sides),
+    hot = materialize(gold.hot_orders(lines, hot_lines), "hot_orders", scratch)
+    fact = as_table(gold.fact_orders(lines, dim_c, dim_p, as_of, unmatched, sides=sides, hot=None if hot.isEmpty() else hot),
                     os.path.join(out_root, "fact_orders"), sort=["order_date", "order_id"],
                     cluster_by=["order_date", "order_id"] if cluster_fact else None)
     daily = as_table(gold.daily_sales(lines, as_of), os.path.join(out_root, "fct_daily_sales"),
                      sort=["order_date"])
     remove(spark, scratch)
     out = {"dim_customers": dim_c, "dim_products": dim_p, "fact_orders": fact, "fct_daily_sales": daily}
+    if database:
+        out = catalog.publish(spark, out, database)
     register_views(spark, out)
     return out

@@ -51,9 +51,14 @@ def _as_date(as_of) -> Column:
     return F.to_date(X.as_timestamp(as_of))
 
 
+def first_day(as_of=None, days: int = 7) -> Column:
+    """The earliest day that is not more than ``days`` days before ``as_of``."""
+    return F.date_sub(_as_date(as_of), days)
+
+
 def since_days(df: DataFrame, col: str, as_of=None, days: int = 7) -> DataFrame:
     """Rows dated within the last ``days`` days of ``as_of`` (D-10)."""
-    return df.where(F.col(col) >= F.date_sub(_as_date(as_of), days))
+    return df.where(F.col(col) >= first_day(as_of, days))
 
 
 TOP_ORDER_COLUMNS = ["order_date", "customer_name", "customer_segment", "product_name", "price_category",

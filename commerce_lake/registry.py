@@ -20,8 +20,8 @@ from . import schemas as S
 from .functions import scalars as X
 from .operators import changes as C
 from .operators import quality as Q
-from .plans import gold, reports, silver
-from .plans.materialize import materialize
+from .plans import catalog, gold, pipeline, reports, silver
+from .plans.materialize import materialize, new_folder
 from .session import checkpoint_dir, pin_session
 from .sources import fixtures as FX
 from .sources.tables import load, read_table
@@ -310,6 +310,110 @@ def _approx_unique(s, d):
                         (off <= F.greatest(F.lit(1.0), 5 * rsd * F.col("total_unique_customers"))).alias("within_error"))
 
 
+def _hot_order_metrics(s, d):
+    """Lines with the metrics of their order; the lines of a third of the products are one order's."""
+    lines = Lake(s, d).lines().withColumn("order_id", F.when(F.col("product_id").cast("long") % 3 == 0, F.lit("0")).otherwise(F.col("order_id")))
+    lines = materialize(lines, "hot_lines")
+    hot = materialize(gold.hot_orders(lines, lines.count() // 10), "hot_orders")
+    return gold.with_order_metrics(lines, hot).select("order_id", "product_id", "quantity", "unit_price", "order_total_value",
+                                                      "items_in_order", "avg_item_price_in_order")
+
+
+def _keep_raw(s, d):
+    stg = silver.orders(Lake(s, d).bronze("orders"), AS_OF, keep_raw=True)
+    raw = F.col("_raw_data")
+    return stg.select("order_id", "order_status", X.json_text(raw, "payload", "after", "_id", "$oid").alias("raw_order_id"),
+                      X.json_text(raw, "payload", "after", "status").alias("raw_status"), X.json_long(raw, "payload", "ts_ms").alias("raw_ts_ms"))
+
+
+def _view(s, d):
+    pipeline.as_view(Lake(s, d).dim_customers(), "b11_dim_customers")
+    return s.sql("SELECT customer_segment, count(*) AS row_count, min(days_since_registration) AS least_days FROM b11_dim_customers GROUP BY 1")
+
+
+def _catalog(s, d):
+    """Gold tables saved by name; another session reads the last days of the fact, of which only their months are scanned."""
+    lake = Lake(s, d)
+    database = f"gold_{uuid.uuid4().hex[:12]}"
+    catalog.publish(s, {"fact_orders": lake.fact(), "dim_customers": lake.dim_customers()}, database, new_folder(s, "catalog"))
+    other = pin_session(s.newSession())
+    return catalog.recent(other.table(f"{database}.fact_orders"), AS_OF_ORDERS, 7).join(
+        other.table(f"{database}.dim_customers").select("customer_id", "registered_at"), "customer_id").select(
+        "order_id", "order_date", "customer_id", "product_id", "quantity", "line_total", "customer_segment", "registered_at")
+
+
+# Violations put into the models: (column, modulus, remainder, value) of rows whose key has that remainder.
+_SEEDS: dict[str, tuple[str, list[tuple]]] = {
+    "dim_customers": ("customer_id", [("email", 7, 0, None), ("email", 11, 1, "twice@example.com"), ("full_name", 19, 1, None),
+                                      ("customer_segment", 13, 2, "Unknown"), ("customer_segment", 13, 3, "Gone"), ("days_since_registration", 17, 3, -1)]),
+    "dim_products": ("product_id", [("price", 9, 4, -2.5), ("price_category", 8, 3, "Free"), ("stock_quantity", 10, 1, None),
+                                    ("stock_quantity", 10, 2, -5), ("product_name", 12, 6, None)]),
+    "stg_orders": ("order_id", [("order_status", 10, 3, "lost"), ("customer_id", 14, 5, None)]),
+}
+
+
+def _seeded(s, d) -> dict[str, DataFrame]:
+    lake, out = Lake(s, d), {}
+    for model, df in {"dim_customers": lake.dim_customers(), "dim_products": lake.dim_products(), "stg_orders": lake.stg_orders()}.items():
+        key, seeds = _SEEDS[model]
+        k, columns = F.col(key).cast("long"), {}
+        for col, modulus, rest, value in reversed(seeds):
+            columns[col] = F.when(k % modulus == rest, F.lit(value)).otherwise(columns.get(col, F.col(col)))
+        out[model] = df.withColumns(columns)
+    return out
+
+
+def _seeded_sql(model: str) -> str:
+    key, seeds = _SEEDS[model]
+    columns: dict[str, str] = {}
+    for col, modulus, rest, value in reversed(seeds):
+        literal = "NULL" if value is None else f"'{value}'" if isinstance(value, str) else str(value)
+        columns[col] = f"CASE WHEN CAST({key} AS BIGINT) % {modulus} = {rest} THEN {literal} ELSE {columns.get(col, col)} END"
+    return f"(SELECT * REPLACE ({', '.join(f'{e} AS {c}' for c, e in columns.items())}) FROM {model})"
+
+
+def _seeded_counts(s, d):
+    return Q.run_checks(_seeded(s, d)).drop("passed")
+
+
+def _seeded_counts_sql() -> str:
+    parts = []
+    for model, col, kind, arg in Q.CHECKS:
+        if model in _SEEDS:
+            t = _seeded_sql(model)
+            n = {"unique": f"(SELECT count(*) FROM (SELECT {col} FROM {t} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1))",
+                 "not_null": f"(SELECT count(*) FROM {t} WHERE {col} IS NULL)",
+                 "accepted_values": f"(SELECT count(DISTINCT {col}) FROM {t} WHERE {col} NOT IN ({_values(arg)}))",
+                 "expression_is_true": f"(SELECT count(*) FROM {t} WHERE NOT ({col} {arg}))"}[kind]
+            parts.append(f"SELECT '{model}' AS model, '{col}' AS column_name, '{kind}' AS check_name, '{Q.arg_text(arg)}' AS argument, "
+                         f"CAST({n} AS BIGINT) AS failures")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _values(arg) -> str:
+    return ", ".join(f"'{v}'" for v in arg or ()) if isinstance(arg, tuple) else ""
+
+
+def _failing(s, d):
+    return Q.failing_rows(_seeded(s, d), {m: key for m, (key, _) in _SEEDS.items()})
+
+
+def _failing_sql() -> str:
+    parts = []
+    for model, col, kind, arg in Q.CHECKS:
+        if model in _SEEDS:
+            key, t = _SEEDS[model][0], _seeded_sql(model)
+            head = f"SELECT '{model}' AS model, {{key}} AS row_key, '{col}' AS column_name, '{kind}' AS check_name, '{Q.arg_text(arg)}' AS argument, " \
+                   f"CAST({col} AS VARCHAR) AS value, {{n}} AS occurrences FROM {t}"
+            if kind == "unique":
+                parts.append(head.format(key="NULL", n="count(*)") + f" WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1")
+            else:
+                where = {"not_null": f"{col} IS NULL", "accepted_values": f"{col} NOT IN ({_values(arg)})",
+                         "expression_is_true": f"NOT ({col} {arg})"}[kind]
+                parts.append(head.format(key=key, n="CAST(1 AS BIGINT)") + f" WHERE {where}")
+    return "\nUNION ALL\n".join(parts)
+
+
 def _sampled(table, sample):
     def run(s, d):
         t = materialize(table(Lake(s, d)), "sampled")
@@ -494,6 +598,11 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "w7_w8_product_metrics": _q(lambda s, d: gold.product_metrics(Lake(s, d).lines()), """
         SELECT product_id, sum(quantity) AS product_total_quantity_sold, sum(line_total) AS product_total_revenue
         FROM lines GROUP BY 1"""),
+    "w2_w4_hot_order_window": _q(_hot_order_metrics, """
+        SELECT order_id, product_id, quantity, unit_price, sum(line_total) OVER w AS order_total_value, count(*) OVER w AS items_in_order,
+               avg(unit_price) OVER w AS avg_item_price_in_order
+        FROM (SELECT * REPLACE (CASE WHEN CAST(product_id AS BIGINT) % 3 = 0 THEN '0' ELSE order_id END AS order_id) FROM lines)
+        WINDOW w AS (PARTITION BY order_id)"""),
     # --- sorts and top-k -------------------------------------------------------------------------
     "s1_dim_customers_sorted": _q(
         lambda s, d: gold.dim_customers(Lake(s, d).stg_customers(), AS_OF, ordered=True),
@@ -516,10 +625,20 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
                         "SELECT CAST(1 AS BIGINT) AS row_count, true AS all_in_table"),
     "r2_sample_orders": _q(_sampled(lambda lake: lake.stg_orders(), lambda t: reports.sample_orders(t, 10)),
                            "SELECT CAST(10 AS BIGINT) AS row_count, true AS all_in_table"),
+    # --- models by name, raw column -----------------------------------------------------------------
+    "d3_keep_raw": _q(_keep_raw, """
+        SELECT order_id, order_status, order_id AS raw_order_id, order_status AS raw_status, _event_timestamp_ms AS raw_ts_ms FROM stg_orders"""),
+    "b11_view": _q(_view, """
+        SELECT customer_segment, count(*) AS row_count, min(days_since_registration) AS least_days FROM dim_customers GROUP BY 1"""),
+    "b12_catalog_tables": _q(_catalog, f"""
+        SELECT f.order_id, f.order_date, f.customer_id, f.product_id, f.quantity, f.line_total, f.customer_segment, c.registered_at
+        FROM fact_orders f JOIN dim_customers c USING (customer_id) WHERE f.order_date >= DATE '{O.ORDERS_RECENT_FROM}'"""),
     # --- data-quality checks ------------------------------------------------------------------------
     "q1_unique": _q(_q_checks("unique"), _checks_sql("unique")),
     "q2_not_null": _q(_q_checks("not_null"), _checks_sql("not_null")),
     "q3_accepted_values": _q(_q_checks("accepted_values"), _checks_sql("accepted_values")),
+    "q1_q4_seeded_failures": _q(_seeded_counts, _seeded_counts_sql()),
+    "q1_q4_failing_rows": _q(_failing, _failing_sql()),
     "q4_expression_is_true": _q(_q_checks("expression_is_true"), _checks_sql("expression_is_true")),
 }
 

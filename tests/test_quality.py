@@ -39,3 +39,23 @@ def test_starter_models(spark):
     # the starter model's NULL row fails its own not_null check
     assert res == {("my_first_dbt_model", "unique"): True, ("my_first_dbt_model", "not_null"): False,
                    ("my_second_dbt_model", "unique"): True, ("my_second_dbt_model", "not_null"): True}
+
+
+def test_failing_rows_name_each_row(spark):
+    df = spark.createDataFrame(
+        [("1", "a@x", "New", 5, "a"), ("1", "b@x", "Old", -1, "b"), ("2", None, "Gone", None, "c"), ("3", "c@x", None, 0, None)],
+        "customer_id string, email string, customer_segment string, days_since_registration int, full_name string")
+    rows = {(r["row_key"], r["column_name"], r["check_name"], r["value"], r["occurrences"])
+            for r in Q.failing_rows({"dim_customers": df}, {"dim_customers": "customer_id"}).collect()}
+    assert rows == {(None, "customer_id", "unique", "1", 2), ("2", "email", "not_null", None, 1), ("3", "full_name", "not_null", None, 1),
+                    ("1", "customer_segment", "accepted_values", "Old", 1), ("2", "customer_segment", "accepted_values", "Gone", 1),
+                    ("1", "days_since_registration", "expression_is_true", "-1", 1)}
+    assert Q.failing_rows({"dim_customers": df.limit(0)}, {}).count() == 0
+    with pytest.raises(ValueError):
+        Q.failing_rows({"unknown": df}, {})
+
+
+def test_accepted_values_plan_has_no_expand(spark):
+    df = spark.createDataFrame([("a", "b")], "customer_segment string, x string")
+    plan = Q.run_checks({"dim_customers": df}, kinds=["accepted_values"])._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
