@@ -42,6 +42,8 @@ UNDETERMINED = "und"
 UNKNOWN = 1e-7
 #: Longest word whose score a worker keeps, and most words it keeps.
 MEMO_CHARS, MEMO_WORDS = 32, 600_000
+#: Letters of text (and words of one text) that are scored together.
+TOGETHER = 1 << 19
 
 
 def words_of(text: str) -> list[str]:
@@ -71,43 +73,67 @@ class Model:
         self.longest = max(map(len, self.pieces), default=1)
 
 
-def _prefixes(pieces: dict[str, list[float]]) -> dict[str, int]:
-    """Every beginning of a piece -> the number of the piece it is, or -1."""
-    out: dict[str, int] = {}
-    for i, piece in enumerate(pieces):
-        for end in range(1, len(piece)):
-            out.setdefault(piece[:end], -1)
-        out[piece] = i
-    return out
+@dataclass
+class Trie:
+    """The pieces by their letters: (state, letter) -> state as sorted keys, and the piece that a state is, or -1."""
+
+    keys: np.ndarray
+    child: np.ndarray
+    piece: np.ndarray
+
+    @staticmethod
+    def key(state, letter):
+        return state << 21 | letter  # a code point has 21 bits
+
+    def step(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The next state, -1 where there is none."""
+        wanted = self.key(state, letter)
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, self.child[at], -1)
+
+
+def _prefixes(pieces: dict[str, list[float]]) -> Trie:
+    """The trie of the pieces, in their order."""
+    states, piece, edges = {"": 0}, [-1], {}
+    for number, text in enumerate(pieces):
+        state = 0
+        for end in range(1, len(text) + 1):
+            then = states.setdefault(text[:end], len(states))
+            if then == len(piece):
+                piece.append(-1)
+                edges[Trie.key(state, ord(text[end - 1]))] = then
+            state = then
+        piece[state] = number
+    keys = np.array(sorted(edges) or [-1], np.int64)
+    return Trie(keys, np.array([edges.get(int(k), 0) for k in keys], np.int64), np.array(piece, np.int64))
 
 
 class Segments:
     """All segmentations of a batch of marked words, as arcs (word, start, end, piece) by end; piece -1: a letter that is none."""
 
-    def __init__(self, words: list[str], prefixes: dict[str, int]):
-        get = prefixes.get
-        word, start, end, piece = [], [], [], []
-        for w, plain in enumerate(words):
-            text = MARK + plain
-            n = len(text)
-            for at in range(n):
-                single = get(text[at])
-                if single is None or single < 0:
-                    word.append(w), start.append(at), end.append(at + 1), piece.append(-1)
-                else:
-                    word.append(w), start.append(at), end.append(at + 1), piece.append(single)
-                if single is not None:
-                    for to in range(at + 2, n + 1):
-                        found = get(text[at:to])
-                        if found is None:
-                            break
-                        if found >= 0:
-                            word.append(w), start.append(at), end.append(to), piece.append(found)
+    def __init__(self, words: list[str], prefixes: Trie):
+        letters = np.frombuffer((MARK + MARK.join(words)).encode("utf-32-le"), np.uint32).astype(np.int64) if words else np.empty(0, np.int64)
         self.lengths = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
         self.width = int(self.lengths.max(initial=0)) + 1
-        end_ = np.array(end, np.int64)
-        order = np.argsort(end_, kind="stable")
-        self.word, self.start, self.end, self.piece = (np.array(x, np.int64)[order] for x in (word, start, end, piece))
+        owner = np.repeat(np.arange(len(words)), self.lengths)
+        first = (np.cumsum(self.lengths) - self.lengths)[owner]
+        stop = first + self.lengths[owner]
+        # all places at once, one letter further in each step, as long as some piece goes on
+        place, state, far, found = np.arange(len(letters)), np.zeros(len(letters), np.int64), 0, []
+        while len(place):
+            state = prefixes.step(state, letters[place + far])
+            far += 1
+            known = np.flatnonzero(state >= 0)
+            piece = np.full(len(place), -1)
+            piece[known] = prefixes.piece[state[known]]
+            arc = np.arange(len(place)) if far == 1 else np.flatnonzero(piece >= 0)
+            found.append((place[arc], np.full(len(arc), far), piece[arc]))
+            known = known[place[known] + far < stop[place[known]]]
+            place, state = place[known], state[known]
+        begin, length, piece = (np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in range(3))
+        start = begin - first[begin]
+        order = np.argsort(start + length, kind="stable")
+        self.word, self.start, self.end, self.piece = owner[begin][order], start[order], (start + length)[order], piece[order]
         self.cuts = np.searchsorted(self.end, np.arange(self.width + 1))
 
     def forward(self, p: np.ndarray) -> np.ndarray:
@@ -140,15 +166,15 @@ def table_of(pieces: dict[str, list[float]]) -> np.ndarray:
     return np.array([*rows, [UNKNOWN] * len(rows[0])]) if rows else np.zeros((1, 0))
 
 
-def forward_batch(words: list[str], prefixes: dict[str, int], table: np.ndarray) -> np.ndarray:
+def forward_batch(words: list[str], prefixes: Trie, table: np.ndarray) -> np.ndarray:
     """Log probabilities (word, language) of words of at most MEMO_CHARS letters, over all segmentations."""
     s = Segments(words, prefixes)
     alpha = s.forward(table[s.piece])
     return np.log(alpha[np.arange(len(words)), s.lengths])
 
 
-def expectations(words: list[str], counts: np.ndarray, prefixes: dict[str, int], table: np.ndarray) -> np.ndarray:
-    """Expected uses of each piece (by number) in the segmentations of counted words of one language."""
+def expectations(words: list[str], counts: np.ndarray, prefixes: Trie, table: np.ndarray) -> np.ndarray:
+    """Expected uses of each piece (by number) in the segmentations of counted words of one language; words of at most MEMO_CHARS letters."""
     s = Segments(words, prefixes)
     p = table[s.piece]
     alpha, beta = s.forward(p[:, None])[:, :, 0], s.backward(p)
@@ -157,6 +183,22 @@ def expectations(words: list[str], counts: np.ndarray, prefixes: dict[str, int],
     return np.bincount(s.piece[s.piece >= 0], used[s.piece >= 0], len(table) - 1)
 
 
+def long_expectations(word: str, count: float, prefixes: Trie, table: np.ndarray) -> np.ndarray:
+    """``expectations`` of one word of any length, by logarithms of the sums."""
+    s = Segments([word], prefixes)
+    n, log_p = int(s.lengths[0]), np.log(table[s.piece])
+    alpha, beta = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
+    alpha[0] = beta[n] = 0.0
+    for at in range(1, n + 1):
+        arcs = slice(s.cuts[at], s.cuts[at + 1])
+        alpha[at] = np.logaddexp.reduce(alpha[s.start[arcs]] + log_p[arcs])
+    for at in range(n, 0, -1):
+        arcs = slice(s.cuts[at], s.cuts[at + 1])
+        beta[s.start[arcs]] = np.logaddexp(beta[s.start[arcs]], log_p[arcs] + beta[at])
+    used = count * np.exp(alpha[s.start] + log_p + beta[s.end] - alpha[n])
+    return np.bincount(s.piece[s.piece >= 0], used[s.piece >= 0], len(table) - 1)
+
+
 def forward(word: str, model: Model) -> list[float]:
     """Log probability of a word of any length in each language: sums are rescaled on the way."""
     text, longest, languages = MARK + word, model.longest, len(model.languages)
@@ -217,9 +259,13 @@ def fit(labelled: DataFrame, vocabulary_path: str, max_docs: int = 4000, iterati
             used = np.zeros((len(at), len(names)))
             for langs, batch, ns in rows_of(batches, "lang", "word", "n"):
                 for lang, i in at.items():
-                    mine = [(w, n) for x, w, n in zip(langs, batch, ns) if x == lang and len(w) <= MEMO_CHARS]
-                    if mine:
-                        used[i] += expectations([w for w, _ in mine], np.array([n for _, n in mine], float), prefixes, p[:, i])
+                    mine = [(w, n) for x, w, n in zip(langs, batch, ns) if x == lang]
+                    short = [(w, n) for w, n in mine if len(w) <= MEMO_CHARS]
+                    if short:
+                        used[i] += expectations([w for w, _ in short], np.array([n for _, n in short], float), prefixes, p[:, i])
+                    for w, n in mine:
+                        if len(w) > MEMO_CHARS:
+                            used[i] += long_expectations(w, n, prefixes, p[:, i])
             for lang, i in at.items():
                 yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(names), pa.string()), "piece": pa.array(names), "n": pa.array(used[i])})
 
@@ -265,24 +311,42 @@ class Identifier:
         return at
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """Language and posterior of each text."""
-        found = []
-        for text in texts:
-            words = words_of(text) if text else []
-            if not words or not self.model.languages:
-                found.append((UNDETERMINED, 0.0))
-                continue
-            total = self.model.priors.copy()
-            for start in range(0, len(words), 1 << 16):
-                some = words[start:start + (1 << 16)]
-                at = self.places(some)
-                total += self.scores[at[at >= 0]].sum(axis=0)
-                for i in np.flatnonzero(at < 0):
-                    total += forward(some[i], self.model)
-            best = int(np.argmax(total))
-            found.append((self.model.languages[best], float(1 / np.exp(total - total[best]).sum())))
+        """Language and posterior of each text; the words of about ``TOGETHER`` letters of text are looked up together."""
+        found: list[tuple[str, float]] = []
+        low = 0
+        while low < len(texts):
+            high, letters = low, 0
+            while high < len(texts) and (high == low or letters + len(texts[high] or "") <= TOGETHER):
+                letters += len(texts[high] or "")
+                high += 1
+            found += self._some(texts[low:high])
+            low = high
         return found
 
+    def _some(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        words = [words_of(t) if t and self.model.languages else [] for t in texts]
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        flat = [w for ws in words for w in ws]
+        owner = np.repeat(np.arange(len(texts)), counts)
+        total = np.tile(self.model.priors, (len(texts), 1))
+        for start in range(0, len(flat), TOGETHER):  # one text may be longer
+            at = self.places(flat[start:start + TOGETHER])
+            mine = owner[start:start + TOGETHER]
+            short = at >= 0
+            first, last = int(mine[0]), int(mine[-1]) + 1
+            for language in range(total.shape[1]):
+                total[first:last, language] += np.bincount(mine[short] - first, self.scores[at[short], language], last - first)
+            for i in np.flatnonzero(~short):
+                total[mine[i]] += forward(flat[start + i], self.model)
+        out = []
+        for n, sums in zip(counts.tolist(), total):
+            if not n:
+                out.append((UNDETERMINED, 0.0))
+                continue
+            best = int(np.argmax(sums))
+            out.append((self.model.languages[best], float(1 / np.exp(sums - sums[best]).sum())))
+        return out
+
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """Adds lang_pred and score to the columns of ``docs`` but the text."""

@@ -64,3 +64,30 @@ def test_edge_cases(spark):
     assert langid.identify_languages(docs.where(F.lit(False)), PIECES).count() == 0
     nobody = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in langid.identify_languages(nobody, PIECES).collect()} == {"und"}
+
+
+def test_long_words_are_learned():
+    rng = np.random.default_rng(3)
+    pieces = {p: [float(x)] for p, x in zip(["▁", "▁a", "a", "ab", "b", "ba", "bab", "aab"], rng.random(8))}
+    trie, table = langid._prefixes(pieces), langid.table_of(pieces)[:, 0]
+    for word in ("a", "abba", "zabab", "ab" * 10):
+        assert np.allclose(langid.long_expectations(word, 2.0, trie, table), langid.expectations([word], np.array([2.0]), trie, table))
+    used = langid.long_expectations("ab" * 3000, 1.0, trie, table * 1e-3)
+    assert np.isfinite(used).all() and used.sum() > 1000
+
+
+def test_scores_do_not_depend_on_the_batches(monkeypatch):
+    rng = np.random.default_rng(4)
+    letters = list("abcdeﬁé")
+    pieces = {p: rng.random(3).tolist() for p in ["▁", *letters, "ab", "▁ab", "cd", "éa", "abc"]}
+    model = langid.Model(["x", "y", "z"], np.log([0.2, 0.3, 0.5]), pieces)
+    texts = [" ".join("".join(rng.choice(letters, rng.integers(1, 50))) for _ in range(rng.integers(0, 60))) for _ in range(80)] + [None, "", "12 !"]
+    whole = langid.Identifier(model)(texts)
+    for together in (1, 40, 700):
+        monkeypatch.setattr(langid, "TOGETHER", together)
+        some = langid.Identifier(model)(texts)
+        assert [a for a, _ in some] == [a for a, _ in whole] and np.allclose([b for _, b in some], [b for _, b in whole])
+    for text, (lang, score) in zip(texts, whole):
+        if text and langid.words_of(text):
+            sums = model.priors + sum(np.array(langid.forward(w, model)) for w in langid.words_of(text))
+            assert lang == model.languages[int(np.argmax(sums))] and math.isclose(score, 1 / np.exp(sums - sums.max()).sum(), rel_tol=1e-6)
