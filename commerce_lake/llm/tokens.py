@@ -26,7 +26,7 @@ _LETTER, _OTHER = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-@\[-`{-~"
 INNER = re.compile(f"(?<=[{_LETTER}])(?=[{_OTHER}'])|(?<=[{_OTHER}])(?=[{_LETTER}])")
 #: White space to Python's ``re`` but not to Unicode and the library: such texts are not cut.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
-#: Longest chunk that is remembered, and most chunks that a worker remembers.
+#: Longest chunk that is remembered, and most chunks of each of the two generations that a worker remembers.
 MEMO_CHARS, MEMO_CHUNKS = 48, 700_000
 
 
@@ -52,17 +52,23 @@ def cuttable(path: str) -> bool:
 
 
 class _Memo(dict):
+    """Ids of chunks.  When it is full, all but what is met again while the next one fills is forgotten."""
+
     def __init__(self, encode, special: list[str]):
         super().__init__()
-        self.encode, self.special = encode, special
+        self.encode, self.special, self.older = encode, special, {}
 
     def __missing__(self, chunk: str) -> bytes:
-        parts = INNER.split(chunk) if len(chunk) <= MEMO_CHARS and not any(s in chunk for s in self.special) else [chunk]
-        ids = b"".join([self[p] for p in parts]) if len(parts) > 1 else self.encode(chunk)
-        if len(chunk) <= MEMO_CHARS:
-            if len(self) >= MEMO_CHUNKS:
-                self.clear()
-            self[chunk] = ids
+        if len(chunk) > MEMO_CHARS:
+            return self.encode(chunk)
+        ids = self.older.get(chunk)
+        if ids is None:
+            parts = INNER.split(chunk) if not any(s in chunk for s in self.special) else [chunk]
+            ids = b"".join([self[p] for p in parts]) if len(parts) > 1 else self.encode(chunk)
+        if len(self) >= MEMO_CHUNKS:
+            self.older = dict(self)
+            self.clear()
+        self[chunk] = ids
         return ids
 
 
