@@ -62,7 +62,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "source", F.coalesce(F.length("text"), F.lit(0)).alias("size"))
-    return mixing.mix(sized, mixing.tempered_weights(docs)).drop("size")
+    return mixing.mix(sized, mixing.tempered_weights(docs), size="size").drop("size")
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
