@@ -5,7 +5,10 @@ Only DataFrame functions.  A pattern's matches come from
 lengths give each match's place in code points, and the ends of the
 neighbouring pieces its context.  Patterns cannot backtrack far
 (possessive repeats, starts only where a run starts), so their time
-stays in proportion to the text.
+stays in proportion to the text.  Running sums and maxima over the
+matches of a text double their reach in each of a few steps
+(``running``), and redaction cuts the text in blocks first, so the time
+for n matches grows as n log n.
 
 Base kinds, kept whenever they pass their check: ``email``; ``ip``
 (parts at most 255); ``card`` (16 to 19 digits, Luhn); ``phone`` (+ and
@@ -16,7 +19,8 @@ context word) and ``ssn`` (needs a context word).
 
 Edge cases: NULL and empty texts have no span; repeated rows each keep
 their row; other columns are left behind by ``find`` and kept by
-``redact``; an empty input gives an empty result.
+``redact``, whatever their names; ``with_spans`` replaces a column
+called pii_spans; an empty input gives an empty result.
 """
 
 from __future__ import annotations
@@ -84,32 +88,58 @@ def _sql(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def running(values: str, combine: str, backwards: bool = False) -> str:
+    """SQL for the running ``combine`` (of x and y, associative) of an array, as far as each element.
+
+    In step k each element takes in what the one 2**k places before it
+    has gathered: as many steps as the array's length has bits.
+    """
+    start = f"reverse({values})" if backwards else values
+    out = (f"aggregate(sequence(0, 30), {start}, (s, k) -> if(size(s) > shiftleft(1, k), transform(s, (y, i) -> if(i >= shiftleft(1, k), "
+           f"transform(array(s[i - shiftleft(1, k)]), x -> {combine})[0], y)), s))")
+    return f"reverse({out})" if backwards else out
+
+
 def _spans(kind: Kind) -> Column:
     """Spans of one kind in column text, given its matches (column _m_<kind>) and the pieces between them (_p_<kind>)."""
     m, p = f"`_m_{kind.name}`", f"`_p_{kind.name}`"
     word = f"(?i)(?<![a-z])(?:{kind.context})" if kind.context else "(?!)"
-    # places first, so that the checks need no running state
-    places = f"""aggregate({m}, named_struct('at', 0L, 'i', 0, 'out', array_repeat(named_struct('m', '', 's', 0L, 'near', ''), 0)),
-      (a, x) -> named_struct('at', a.at + length({p}[a.i]) + length(x), 'i', a.i + 1, 'out', concat(a.out, array(named_struct(
-        'm', x, 's', a.at + length({p}[a.i]), 'near', concat(right({p}[a.i], {NEAR}), ' ', left({p}[a.i + 1], {NEAR}))))))).out"""
+    ends = running(f"transform({m}, (x, i) -> cast(length({p}[i]) + length(x) as bigint))", "x + y")
+    places = f"""transform(array({ends}), e -> transform({m}, (x, i) -> named_struct('m', x, 's', e[i] - length(x),
+      'near', concat(right({p}[i], {NEAR}), ' ', left({p}[i + 1], {NEAR})))))[0]"""
     checked = f"filter({places}, x -> exists(array(x.m), m -> {kind.check}))"
     made = f"""transform({checked}, x -> named_struct('kind', '{kind.name}', 'start', x.s, 'end', x.s + length(x.m),
       'score', cast(least(1.0, {kind.score} + if(x.near rlike {_sql(word)}, {CONTEXT_SCORE}, 0.0)) as double)))"""
     return F.expr(f"if(size({m}) > 0, filter({made}, x -> {'true' if kind.base else f'x.score >= {THRESHOLD}'}), {NO_SPAN})")
 
 
+#: Of all spans (base ones first in `_base`, the others in `_more`), by start: what touches no base span.
+#: Before a span, the furthest end of a base span; after it, the next start of one.
+_FREE = f"""
+transform(array(array_sort(concat(transform(_base, x -> named_struct('start', x.start, 'more', false, 'span', x)),
+                                  transform(_more, x -> named_struct('start', x.start, 'more', true, 'span', x))))),
+  a -> transform(array(named_struct(
+      'far', {running("transform(a, x -> if(x.more, -1L, x.span.end))", "greatest(x, y)")},
+      'near', {running("transform(a, x -> if(x.more, 9223372036854775807L, x.start))", "least(x, y)", backwards=True)})),
+    r -> transform(filter(transform(a, (x, i) -> named_struct('x', x, 'free', x.more and r.far[i] <= x.start and r.near[i] >= x.span.end)),
+                          y -> y.free), y -> y.x.span))[0])[0]
+"""
+
+
 def with_spans(docs: DataFrame) -> DataFrame:
     """Adds pii_spans: array of (kind, start, end, score), by kind as listed, then start; places in code points, end exclusive."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    out = docs.withColumn("_pii_text", F.coalesce("text", F.lit("")))
-    has = {k.name: F.col("_pii_text").contains("@") if k.needs == "@" else F.col("_pii_text").rlike(k.needs) for k in KINDS}
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "pii_spans")).alias("_row")  # no helper meets a column's name
+    out = docs.select(row, F.coalesce("text", F.lit("")).alias("_text"))
+    has = {k.name: F.col("_text").contains("@") if k.needs == "@" else F.col("_text").rlike(k.needs) for k in KINDS}
     none = F.array().cast("array<string>")
-    out = out.select("*", *(F.when(has[k.name], F.regexp_extract_all("_pii_text", F.lit(k.pattern), F.lit(0))).otherwise(none).alias(f"_m_{k.name}") for k in KINDS))
-    out = out.select("*", *(F.when(F.size(f"_m_{k.name}") > 0, F.split("_pii_text", k.pattern, -1)).otherwise(none).alias(f"_p_{k.name}") for k in KINDS))
-    out = out.select(*columns, *(_spans(k).alias(f"_s_{k.name}") for k in KINDS))
-    base = out.select(*columns, F.concat(*(F.col(f"_s_{k.name}") for k in KINDS if k.base)).alias("_base"), *(f"_s_{k.name}" for k in KINDS if not k.base))
-    free = [F.expr(f"filter(_s_{k.name}, x -> not exists(_base, b -> b.start < x.end and x.start < b.end))") for k in KINDS if not k.base]
-    return base.select(*columns, F.concat("_base", *free).alias("pii_spans"))
+    out = out.select("*", *(F.when(has[k.name], F.regexp_extract_all("_text", F.lit(k.pattern), F.lit(0))).otherwise(none).alias(f"_m_{k.name}") for k in KINDS))
+    out = out.select("*", *(F.when(F.size(f"_m_{k.name}") > 0, F.split("_text", k.pattern, -1)).otherwise(none).alias(f"_p_{k.name}") for k in KINDS))
+    out = out.select("_row", *(_spans(k).alias(f"_s_{k.name}") for k in KINDS))
+    base = out.select("_row", F.concat(*(F.col(f"_s_{k.name}") for k in KINDS if k.base)).alias("_base"),
+                      F.concat(*(F.col(f"_s_{k.name}") for k in KINDS if not k.base)).alias("_more"))
+    free = base.select("_row", "_base", F.expr(f"if(size(_base) = 0 or size(_more) = 0, _more, {_FREE})").alias("_free"))
+    of_kind = [F.expr(f"filter(_free, x -> x.kind = '{k.name}')") for k in KINDS if not k.base]
+    return free.select("_row.*", F.when(F.size("_free") > 0, F.concat("_base", *of_kind)).otherwise(F.col("_base")).alias("pii_spans"))
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -127,16 +157,36 @@ def base_kinds() -> tuple[str, ...]:
     return tuple(k.name for k in KINDS if k.base)
 
 
+#: Code points of a block in which redaction looks for a place.
+_BLOCK = 1024
+
+
+def _between(low: str, high: str) -> str:
+    """SQL for the code points of the text from low up to high, out of its blocks c."""
+    first, last = f"cast({low} div {_BLOCK}L as int)", f"cast(({high} - 1L) div {_BLOCK}L as int)"
+    inside, upto = f"cast({low} % {_BLOCK}L as int) + 1", f"cast(({high} - 1L) % {_BLOCK}L as int) + 1"
+    return (f"if({high} <= {low}, '', if({first} = {last}, substring(c[{first}], {inside}, cast({high} - {low} as int)), "
+            f"concat(substring(c[{first}], {inside}), array_join(slice(c, {first} + 2, {last} - {first} - 1), ''), substring(c[{last}], 1, {upto}))))")
+
+
+_REDACTED = f"""
+if(size(_spans) = 0, _text, transform(array(regexp_extract_all(_text, '(?s).{{1,{_BLOCK}}}', 0)), c -> transform(array(array_sort(_spans,
+    (a, b) -> case when a.start < b.start then -1 when a.start > b.start then 1 when a.end > b.end then -1 when a.end < b.end then 1 else 0 end)),
+  a -> transform(array({running("transform(a, x -> x.end)", "greatest(x, y)")}),
+    far -> concat(array_join(transform(a, (x, i) -> if(i > 0 and x.start < far[i - 1], '', concat(
+                    {_between("if(i > 0, far[i - 1], 0L)", "x.start")}, '[', upper(x.kind), ']'))), ''),
+                  {_between("far[size(far) - 1]", "_chars")}))[0])[0])[0])
+"""
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by [KIND] in text, and n_chars (if there) set anew; overlapping spans become one."""
-    found = with_spans(docs)
-    cut = """if(size(pii_spans) = 0, text, aggregate(array_sort(pii_spans, (a, b) -> case when a.start < b.start then -1 when a.start > b.start then 1
-               when a.end > b.end then -1 when a.end < b.end then 1 else 0 end),
-      named_struct('at', 0L, 'out', array_repeat('', 0)),
-      (a, x) -> if(x.start < a.at, named_struct('at', greatest(a.at, x.end), 'out', a.out), named_struct('at', x.end, 'out',
-        concat(a.out, array(substring(text, int(a.at + 1), int(x.start - a.at)), concat('[', upper(x.kind), ']'))))),
-      a -> concat(array_join(a.out, ''), substring(text, int(a.at + 1)))))"""
-    out = found.withColumn("text", F.expr(cut))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    found = with_spans(docs.select(row, "text")).select(
+        "row", F.col("text").alias("_text"), F.col("pii_spans").alias("_spans"), F.length("text").cast("long").alias("_chars"))
+    cut = found.select("row", "_spans", F.expr(_REDACTED).alias("_new"))
+    columns = {c: F.col(f"row.`{c}`") for c in docs.columns}
+    columns["text"] = F.col("_new")
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("pii_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
+        columns["n_chars"] = F.when(F.size("_spans") > 0, F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
+    return cut.select(*(e.alias(c) for c, e in columns.items()))
