@@ -231,14 +231,19 @@ def one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataF
     """
     groups = near_duplicates(docs.select("doc_id", "text"), shingle, max_bits)
     kept = (groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("_id"), F.when(F.col("doc_id").isNull(), F.col("fp")).alias("_fp")).distinct())
-    known = docs.where(F.col("doc_id").isNotNull()).join(kept.where("_id is not null").select(F.col("_id").alias("doc_id")), "doc_id", "left_semi")
-    first = known.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("_n = 1").drop("_n")
+            .select(F.col("doc_id").alias("id"), F.when(F.col("doc_id").isNull(), F.col("fp")).alias("print")).distinct())
+    # whole rows in one column, so that no helper meets a column's name
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("id"))
+
+    def first(some: DataFrame, key) -> DataFrame:
+        return some.withColumn("n", F.row_number().over(Window.partitionBy(key).orderBy("row.text"))).where("n = 1").drop("n")
+
+    known = first(rows.where("id is not null").join(kept.where("id is not null").select("id"), "id", "left_semi"), F.col("id"))
     # rows without an id: one for each fingerprint that is kept
-    unknown = docs.where(F.col("doc_id").isNull())
-    unknown = unknown.withColumn("_n", F.row_number().over(Window.partitionBy(F.xxhash64("text")).orderBy("text"))).where("_n = 1").drop("_n")
-    prints = fingerprints(unknown.select("text").withColumn("doc_id", F.xxhash64("text")), shingle)
-    keep = (prints.join(kept.where("_id is null").select(F.col("_fp").alias("fp")), "fp", "left_semi")
-            .groupBy("fp").agg(F.min("doc_id").alias("_text")))
-    unknown = unknown.join(keep.select("_text"), F.xxhash64("text") == F.col("_text"), "left_semi")
-    return first.select(*docs.columns).unionByName(unknown.select(*docs.columns))
+    digest = F.xxhash64("row.text")
+    unknown = first(rows.where("id is null"), digest)
+    prints = fingerprints(unknown.select(F.col("row.text").alias("text"), digest.alias("doc_id")), shingle)
+    keep = (prints.join(kept.where("id is null").select(F.col("print").alias("fp")), "fp", "left_semi")
+            .groupBy("fp").agg(F.min("doc_id").alias("digest")))
+    unknown = unknown.join(keep.select(F.col("digest").alias("_digest")), digest == F.col("_digest"), "left_semi")
+    return known.select("row.*").unionByName(unknown.select("row.*"))

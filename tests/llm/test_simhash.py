@@ -101,3 +101,12 @@ def test_components_on_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(5, 5), (1000, 1001), (1001, 1000), (None, 3)], "u long, v long")
     got = {r.node: r.component for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(201)}, 1000: 1000, 1001: 1000}
+
+
+def test_one_per_group_with_helper_names(spark):
+    names = ["row", "id", "n", "fp", "print", "digest", "_n", "rep", "component_id"]
+    rows = [(1, "a b c d", *names), (2, "a b c d", *names), (3, "other words in here", *names), (3, "other words in here", *names), (None, "a b c d", *names), (None, "alone", *names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    kept = simhash.one_per_group(docs)
+    assert kept.columns == docs.columns and {tuple(r[2:]) for r in kept.collect()} == {tuple(names)}
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "None"]
