@@ -18,8 +18,8 @@ The centroids are fitted on a bounded sample of about ``sample`` vectors; all
 vectors are indexed and every query is answered.
 
 Edge cases: vectors that are NULL, zero, or hold NULL or non-finite
-components take no part, as query or candidate; nor do vectors of
-another length than most have; NULL ids take no part; a repeated id
+components take no part, as query or candidate; vectors of different
+lengths are searched apart; NULL ids take no part; a repeated id
 counts once; ties go to the smaller id; with fewer than k candidates all
 are returned; an empty input gives an empty result; other columns are
 left behind.
@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from .common import checkpointed, small_batches
 
 CHUNK = 4096
+RESULT = "query_id long, rank int, vec_id long, score double"
 #: Columns of one block, and the strictness of the test: candidates within the distance are lost with a chance of about exp(-EPSILON ** 2).
 COLUMNS, EPSILON = 16, 2.1
 
@@ -42,12 +43,10 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     """(id, v): v an array of doubles; only rows that take part."""
     big = F.lit(float("inf"))
     v = F.col("v")
-    rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where(
+    return vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where(
         F.col("id").isNotNull() & F.col("v").isNotNull()
         & F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < big)), F.lit(False))
         & F.exists(v, lambda x: x != 0))
-    dims = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
-    return rows.where(F.size("v") == (dims["d"] if dims else -1))
 
 
 def k_means(sample: np.ndarray, lists: int, rounds: int = 12) -> np.ndarray:
@@ -119,18 +118,38 @@ def _beaten(limit: np.ndarray, seen: int, dims: int) -> np.ndarray:
     return limit * (seen / dims) * (1 + EPSILON / np.sqrt(seen)) ** 2 + 1e-12
 
 
-def enough_probes(sample: np.ndarray, centres: np.ndarray, k: int, recall: float, queries: int = 256) -> int:
-    """Probes with which that share of the k nearest within the sample would be found."""
-    asked = sample[:queries]
-    d = (sample ** 2).sum(axis=1)[None, :] - 2 * asked @ sample.T
-    d[np.arange(len(asked)), np.arange(len(asked))] = np.inf
+def enough_probes(sample: np.ndarray, centres: np.ndarray, k: int, recall: float, queries: int = 4096, least: int = 32) -> np.ndarray:
+    """For each list, the probes with which its queries would find that share of their k nearest within the sample.
+
+    Queries are drawn from the whole sample at random.  A list takes the
+    share over the queries that it is home to and, until there are
+    ``least``, over those of the lists next to it: in dense places few
+    probes are enough, in sparse ones many.
+    """
     k = min(k, len(sample) - 1)
     if k < 1:
-        return 1
-    near = np.argpartition(d, k - 1, axis=1)[:, :k]
-    home = nearest(sample, centres, 1)[:, 0][near]
-    place = np.argsort(nearest(asked, centres, len(centres)), axis=1)  # place of each list in a query's order
-    return int(np.quantile(np.take_along_axis(place, home, axis=1), recall, method="higher")) + 1
+        return np.ones(len(centres), int)
+    drawn = np.random.default_rng(17).permutation(len(sample))[:queries]
+    lists, squares = nearest(sample, centres, 1)[:, 0], (sample ** 2).sum(axis=1)
+    needed = np.empty((len(drawn), k), int)
+    for low in range(0, len(drawn), 256):
+        some = drawn[low:low + 256]
+        d = squares[None, :] - 2 * sample[some] @ sample.T
+        d[np.arange(len(some)), some] = np.inf
+        near = lists[np.argpartition(d, k - 1, axis=1)[:, :k]]
+        place = np.argsort(nearest(sample[some], centres, len(centres)), axis=1)  # place of each list in a query's order
+        needed[low:low + 256] = np.take_along_axis(place, near, axis=1) + 1
+    by_home = np.argsort(lists[drawn], kind="stable")
+    cuts = np.searchsorted(lists[drawn][by_home], np.arange(len(centres) + 1))
+    counts = np.diff(cuts)
+    order = nearest(centres, centres, len(centres))
+    out = np.empty(len(centres), int)
+    for c in range(len(centres)):
+        around = order[c][order[c] != c]
+        far = int(np.searchsorted(counts[c] + np.cumsum(counts[around]), least)) + 1 if counts[c] < least else 0
+        mine = np.concatenate([by_home[cuts[x]:cuts[x + 1]] for x in (c, *around[:far])])
+        out[c] = np.quantile(needed[mine], recall, method="higher")
+    return out
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding",
@@ -139,28 +158,39 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id
 
     ``is_query`` is a condition on the column ``id``.  ``lists``: about
     the square root of the number of vectors, at most 1024; ``probes``:
-    as many as reach ``recall`` within the sample.
+    for each query's own list as many as reach ``recall`` within the
+    sample.
     """
     spark = vectors.sparkSession
     small_batches(spark, CHUNK)
-    rows = usable(vectors, key, vector).withColumn("q", is_query)
+    # a repeated id counts once
+    rows = usable(vectors, key, vector).withColumn("q", is_query).dropDuplicates(["id"])
+    lengths = [r["d"] for r in rows.groupBy(F.size("v").alias("d")).agg(F.count_if("q").alias("asked")).where("asked > 0").orderBy("d").collect()]
+    if not lengths:
+        return spark.createDataFrame([], RESULT)
+    out = None
+    for d in lengths:  # nearly always one; vectors of different lengths have no distance
+        found = _search(rows.where(F.size("v") == d), k, lists, probes, sample, recall)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _search(rows: DataFrame, k: int, lists: int | None, probes: int | None, sample: int, recall: float) -> DataFrame:
+    """``search`` among vectors of one length: (id, v, q)."""
+    spark = rows.sparkSession
     # merge equal vectors; the window keeps k + 1 ids of each on the map side already
-    rows = rows.dropDuplicates(["id"])
     ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("id")))
     members = checkpointed(ranked.where(F.col("r") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).select(
         F.element_at("ids", 1).alias("vid"), "v", "ids"))
     # each query's merged vector; a hot vector meets one row of a table, in a join that can be split
     queries = checkpointed(rows.where("q").select("id", "v").join(members.select("v", "vid"), "v").select(F.col("id").alias("query_id"), "vid"))
     n = members.count()
-    result = "query_id long, rank int, vec_id long, score double"
-    if n == 0:
-        return spark.createDataFrame([], result)
     # a sample of about that many vectors by a hash of the id; at least one
     few = members.where(F.pmod(F.xxhash64("vid"), F.lit(1_000_000)) < int(1e6 * min(1.0, sample / n)) + 1).select("vid", "v").collect()
     fitted = np.array([r["v"] for r in sorted(few, key=lambda r: r["vid"])] or [members.select("v").first()["v"]], float)
     lists = lists or int(min(1024, max(1, round(np.sqrt(n)))))
     centres = k_means(fitted, min(lists, len(fitted)))
-    probes = min(len(centres), probes or enough_probes(fitted, centres, k, recall))
+    needed = np.full(len(centres), min(probes, len(centres))) if probes else enough_probes(fitted, centres, k, recall)
     sent = spark.sparkContext.broadcast((centres, rotation(fitted.shape[1])))
 
     def assign(batches, count):
@@ -169,15 +199,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id
         for batch in batches:
             if batch.num_rows:
                 x = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
-                near = nearest(x, sent.value[0], count)
+                near = nearest(x, sent.value[0], int(count.max()))
+                row, place = np.nonzero(np.arange(near.shape[1]) < count[near[:, 0]][:, None])
+                raw = [v.tobytes() for v in x]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(pa.array(np.repeat(np.arange(len(x)), near.shape[1]))), pa.array(near.ravel().astype(np.int32)),
-                    pa.array([v.tobytes() for v in np.repeat(x, near.shape[1], axis=0)], pa.binary())], ["vid", "list", "x"])
+                    batch.column(0).take(pa.array(row)), pa.array(near[row, place].astype(np.int32)),
+                    pa.array([raw[i] for i in row.tolist()], pa.binary())], ["vid", "list", "x"])
 
     schema = "vid long, list int, x binary"
-    index = checkpointed(members.select("vid", "v").mapInArrow(lambda b: assign(b, 1), schema))
+    index = checkpointed(members.select("vid", "v").mapInArrow(lambda b: assign(b, np.ones_like(needed)), schema))
     asked = members.join(queries.select("vid").distinct(), "vid", "left_semi").select("vid", "v")
-    probed = checkpointed(asked.mapInArrow(lambda b: assign(b, probes), schema))
+    probed = checkpointed(asked.mapInArrow(lambda b: assign(b, needed), schema))
     # how often lists are split: one row a list
     sizes = index.groupBy("list").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     loads = probed.groupBy("list").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("shares"))

@@ -52,3 +52,31 @@ def test_all_probed_is_exact_with_ties_and_copies(spark):
     few = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [3.0, 2.0])], frame.drop("list").schema)
     assert found(ann.search(few, F.col("id") % 100 == 0)) == {0: [(1, 0.0), (2, 2.0)]}
     assert ann.search(few.where(F.lit(False)), F.col("id") % 100 == 0).count() == 0
+
+
+def test_recall_where_ids_follow_the_clusters(spark):
+    rng = np.random.default_rng(5)
+    dims, tight = 32, 1500
+    centres = rng.standard_normal((15, dims)) * 3
+    clustered = centres[np.arange(tight) // 100] + 0.01 * rng.standard_normal((tight, dims))
+    loose = rng.standard_normal((4500, dims))
+    x = np.concatenate([clustered, loose])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = found(ann.search(frame, F.col("id") % 10 == 0))
+    want = brute(rows, lambda i: i % 10 == 0)
+    hit = {q: len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 10 for q in want}
+    for c in range(15):
+        assert np.mean([h for q, h in hit.items() if q < tight and q // 100 == c]) >= 0.9
+    assert np.mean([h for q, h in hit.items() if q >= tight]) >= 0.9
+
+
+def test_lengths_are_searched_apart(spark):
+    rnd = random.Random(1)
+    rows = [(i, [rnd.random() + 0.1 for _ in range(3 if i % 3 else 5)]) for i in range(90)] + [(300, [1.0, 2.0])]
+    got = found(ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 10 == 0, lists=2, probes=2))
+    for n in (3, 5):
+        same = [r for r in rows if len(r[1]) == n]
+        for q, near in brute(same, lambda i: i % 10 == 0).items():
+            assert [i for i, _ in got[q]] == [i for i, _ in near]
+    assert 300 not in got
