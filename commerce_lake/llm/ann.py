@@ -163,14 +163,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id
     """
     spark = vectors.sparkSession
     small_batches(spark, CHUNK)
-    # a repeated id counts once
-    rows = usable(vectors, key, vector).withColumn("q", is_query).dropDuplicates(["id"])
+    rows = usable(vectors, key, vector).withColumn("q", is_query)
     lengths = [r["d"] for r in rows.groupBy(F.size("v").alias("d")).agg(F.count_if("q").alias("asked")).where("asked > 0").orderBy("d").collect()]
     if not lengths:
         return spark.createDataFrame([], RESULT)
     out = None
     for d in lengths:  # nearly always one; vectors of different lengths have no distance
-        found = _search(rows.where(F.size("v") == d), k, lists, probes, sample, recall)
+        found = _search(rows.where(F.size("v") == d).dropDuplicates(["id"]), k, lists, probes, sample, recall)
         out = found if out is None else out.unionByName(found)
     return out
 
