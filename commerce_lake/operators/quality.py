@@ -7,11 +7,10 @@ reported), ``unique`` counts values that occur more than once.
 
 All checks of one model that count rows fold into a single aggregate
 pass (one ``count_if`` column per check, partial aggregation on every
-task); all its ``unique`` checks share one grouped count over (column,
-value) pairs with map-side combine, and so do its ``accepted_values``
-checks, over offending values only.  Each model is therefore read at
-most three times, whatever the number of checks.  ``failing_rows`` gives
-the failures themselves.
+task); all its ``unique`` and ``accepted_values`` checks share one
+grouped count over (check, value) pairs with map-side combine.  Each
+model is therefore read at most twice, whatever the number of checks.
+``failing_rows`` gives the failures themselves.
 """
 
 from __future__ import annotations
@@ -106,14 +105,6 @@ def _fails(col: str, kind: str, arg=None) -> Column:
     raise ValueError(f"not a row-level check: {kind}")
 
 
-def _pairs(df: DataFrame, cols: list[str], where=None) -> DataFrame:
-    """(column_name, value as text) of some columns of every row; ``where(column)`` says which rows of a column."""
-    return df.select(F.explode(F.filter(F.array(*[
-        F.when(F.lit(True) if where is None else where(c),
-               F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))) for c in cols
-    ]), lambda p: p["value"].isNotNull())).alias("_p")).select("_p.*")
-
-
 def _repeated(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column_name, value, occurrences) of every non-NULL value that occurs more than once in its column.
 
@@ -121,30 +112,34 @@ def _repeated(df: DataFrame, cols: list[str]) -> DataFrame:
     counted per pair with partial aggregation, so a very frequent value
     is pre-counted on every task before the shuffle.
     """
-    return (_pairs(df, cols).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("occurrences"))
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols
+    ])).alias("_p")).select("_p.*").where(F.col("value").isNotNull())
+    return (pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("occurrences"))
             .where(F.col("occurrences") > 1))
 
 
-def _per_column(values: DataFrame, cols: list[str]) -> DataFrame:
-    """(column_name, failures): rows of ``values`` for each column, also 0."""
-    counted = values.agg(*[F.count_if(F.col("column_name") == c).alias(f"_u{i}") for i, c in enumerate(cols)])
-    return counted.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"_u{i}").cast("bigint").alias("failures"))
-        for i, c in enumerate(cols)])))
-
-
-def unique_failures(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Per column, the number of non-NULL values occurring more than once (one row per column)."""
-    return _per_column(_repeated(df, cols), cols)
-
+def value_failures(df: DataFrame, unique: list[str], accepted: dict[str, tuple]) -> DataFrame:
+    """(column_name, check_name, argument, failures) of the checks that look at distinct values, also 0.
 
-def accepted_failures(df: DataFrame, accepted: dict[str, tuple]) -> DataFrame:
-    """Per column, the number of distinct values outside its accepted ones (one row per column).
-
-    Only offending values become (column, value) pairs and are shuffled.
+    ``unique`` counts non-NULL values occurring more than once,
+    ``accepted_values`` distinct values outside the accepted ones.  One
+    exchange for all of them: rows become (check, value) pairs, of the
+    accepted ones only where they offend, counted per pair with partial
+    aggregation, so a very frequent value is pre-counted on every task
+    before the shuffle.
     """
-    bad = _pairs(df, list(accepted), lambda c: _fails(c, "accepted_values", accepted[c])).distinct()
-    return _per_column(bad, list(accepted))
+    checks = [(c, "unique", None) for c in unique] + [(c, "accepted_values", arg) for c, arg in accepted.items()]
+    pairs = df.select(F.explode(F.filter(F.array(*[
+        F.when(F.lit(True) if kind == "unique" else _fails(c, kind, arg),
+               F.struct(F.lit(i).alias("check"), F.col(f"`{c}`").cast("string").alias("value"))) for i, (c, kind, arg) in enumerate(checks)
+    ]), lambda p: p["value"].isNotNull())).alias("_p")).select("_p.*")
+    counted = pairs.groupBy("check", "value").agg(F.count(F.lit(1)).alias("n")).agg(*[
+        F.count_if((F.col("check") == i) & ((F.col("n") > 1) if kind == "unique" else F.lit(True))).alias(f"_u{i}")
+        for i, (_, kind, _) in enumerate(checks)])
+    return counted.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(kind).alias("check_name"), F.lit(arg_text(arg)).alias("argument"),
+                 F.col(f"_u{i}").cast("bigint").alias("failures")) for i, (c, kind, arg) in enumerate(checks)])))
 
 
 def failing_rows(models: dict[str, DataFrame], keys: dict[str, str], checks: Iterable[tuple] = CHECKS,
@@ -182,13 +177,6 @@ def failing_rows(models: dict[str, DataFrame], keys: dict[str, str], checks: Ite
     return out
 
 
-def _counted(model: str, kind: str, failures: DataFrame, arguments: dict) -> DataFrame:
-    text = F.lit("")
-    for col, arg in arguments.items():
-        text = F.when(F.col("column_name") == col, F.lit(arg_text(arg))).otherwise(text)
-    return failures.select(F.lit(model).alias("model"), "column_name", F.lit(kind).alias("check_name"), text.alias("argument"), "failures")
-
-
 def run_checks(models: dict[str, DataFrame], checks: Iterable[tuple] = CHECKS,
                kinds: Iterable[str] = CHECK_KINDS, missing: str = "error") -> DataFrame:
     """One row per check of the given models: model, column_name, check_name, argument, failures, passed.
@@ -207,10 +195,8 @@ def run_checks(models: dict[str, DataFrame], checks: Iterable[tuple] = CHECKS,
         row_level = [(i, c) for i, c in enumerate(mine) if c[2] in ("not_null", "expression_is_true")]
         uniq = [c[1] for c in mine if c[2] == "unique"]
         accepted = {c[1]: c[3] for c in mine if c[2] == "accepted_values"}
-        if uniq:
-            parts.append(_counted(model, "unique", unique_failures(df, uniq), dict.fromkeys(uniq)))
-        if accepted:
-            parts.append(_counted(model, "accepted_values", accepted_failures(df, accepted), accepted))
+        if uniq or accepted:
+            parts.append(value_failures(df, uniq, accepted).select(F.lit(model).alias("model"), "column_name", "check_name", "argument", "failures"))
         if row_level:
             agg = df.agg(*[F.count_if(_fails(col, kind, arg)).alias(f"_c{i}") for i, (_, col, kind, arg) in row_level])
             stacked = F.array(*[F.struct(F.lit(model).alias("model"), F.lit(col).alias("column_name"),
