@@ -47,7 +47,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
     counts = (F.expr(f"cast(size(filter(pii_spans, x -> x.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in pii.base_kinds())
     return found.select("doc_id", *counts, F.sha2(pii.listed("pii_spans", pii.base_kinds()), 256).alias("base_sha256"),
-                        pii.listed("pii_spans").alias("spans"))
+                        pii.listed("pii_spans").alias("spans"), F.size("pii_spans").cast("long").alias("n_spans"), (F.size("pii_spans") > 0).alias("has_pii"))
 
 
 def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
