@@ -12,11 +12,15 @@ normalised over the open vocabulary.
 
 Counts come from all training documents (one shuffle of pre-aggregated
 counts).  The ``lexicon`` words of highest count travel with the model
-(a fixed bound); words beyond it are joined to their counts in a
-shuffle, whatever their number.  Training is data-parallel: every task
-runs one epoch of NCE with AdaGrad in numpy over its own documents from
-the same start, and the parameters are averaged, weighted by tokens;
-first over a sixteenth of the training documents, then over all.
+(a fixed bound; of the words of equal count at its edge a share by their
+hash); words beyond it are joined to their counts in a shuffle, whatever
+their number.  Training is data-parallel: documents are dealt to *lanes*
+by a hash of id and text, as many as the training tokens ask for.  Every
+lane runs one epoch of NCE with AdaGrad in numpy over its documents, in
+the order of the hash, from the same start, and the parameters are
+averaged, weighted by tokens; first over a sixteenth of the training
+documents, then over all.  So the model follows from the rows alone, not
+from how Spark has partitioned them.
 
 Edge cases: NULL and empty texts are one end token; a NULL doc_id is
 never held out; repeated rows are scored (and counted) each for itself;
@@ -40,6 +44,8 @@ from .common import crc32_mod, rows_of, small_batches, text_of
 SHAPES = 32
 #: Distinct words counted in a task before they are passed on.
 COUNTED = 300_000
+#: Training tokens of a lane, and most lanes (beyond that, lanes get longer).
+LANE_TOKENS, MOST_LANES = 2_000_000, 16_384
 
 
 @dataclass
@@ -104,14 +110,15 @@ def gather(train: DataFrame, n_words: int, lexicon: int, dim: int) -> tuple[Mode
     counts = materialize(word_counts(train), "lm-counts")
     ends = train.count()
     total = counts.agg(F.sum("n"), F.count("*")).first()
-    # the smallest count that at most `lexicon` words reach; there are far fewer distinct counts than words
-    reach, least = 0, None
+    # the count at which the words become more than `lexicon`; there are far fewer distinct counts than words
+    reach, edge, share = 0, 0, 0.0
     for r in counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).limit(lexicon).collect():
-        reach += r["words"]
-        if reach > lexicon:
+        if reach + r["words"] > lexicon:  # of these words as many as there is room for, by their hash
+            edge, share = r["n"], (lexicon - reach) / r["words"]
             break
-        least = r["n"]
-    top = counts.where(F.col("n") >= least).collect() if least is not None else []  # at most `lexicon` rows
+        reach += r["words"]
+    chosen = (F.col("n") > edge) | ((F.col("n") == edge) & (F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int(share * (1 << 20))))
+    top = counts.where(chosen).collect()  # about `lexicon` rows at most
     top.sort(key=lambda r: (-r["n"], bytes(r["word"])))
     n_words = min(n_words, len(top))
     by_shape = {r["shape"]: r for r in counts.groupBy("shape").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
@@ -208,20 +215,19 @@ class Trainer:
 
 
 def train_round(model: Model, docs: DataFrame, batch: int, samples: int, rate: float) -> dict[str, np.ndarray]:
-    """Average of the parameters that the tasks over ``docs`` end with, weighted by their tokens."""
+    """Average of the parameters that the lanes of ``docs`` (doc_id, text) end with, weighted by their tokens."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)
     names = list(model.params)
+    lanes = int(min(MOST_LANES, max(1, -(-model.n // LANE_TOKENS))))
+    parts = min(lanes, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def fit(batches):
         import pyarrow as pa
-        from pyspark import TaskContext
 
         m = sent.value
         index = Indexer(m)
-        trainer = Trainer(m, samples, rate, seed=TaskContext.get().partitionId())
-        held: list[tuple] = []
-        waiting = tokens = 0
+        lane, trainer, held, waiting, tokens = None, None, [], 0, 0
 
         def flush():
             one, two, target = (np.concatenate(x) for x in zip(*held))
@@ -229,39 +235,52 @@ def train_round(model: Model, docs: DataFrame, batch: int, samples: int, rate: f
             for at in range(0, len(order), batch):
                 some = order[at:at + batch]
                 trainer.step(one[some], two[some], target[some])
+            held.clear()
 
-        for (texts,) in rows_of(batches, "text"):
-            for text in texts:
+        def end():
+            flat = np.concatenate([trainer.p[k].ravel() for k in names]).astype(np.float64) * tokens
+            return pa.RecordBatch.from_pydict({"lane": pa.array([lane], pa.int64()), "tokens": pa.array([tokens], pa.int64()),
+                                               "total": pa.array([flat.tobytes()], pa.binary())})
+
+        for dealt, texts in rows_of(batches, "lane", "text"):
+            for mine, text in zip(dealt, texts):
+                if mine != lane:
+                    if held:
+                        flush()
+                    if tokens:
+                        yield end()
+                    lane, trainer, waiting, tokens = mine, Trainer(m, samples, rate, seed=mine), 0, 0
                 words = words_of(text)
                 classes = index.classes(words, index.positions(words))
                 held.append((*contexts(classes), classes))
                 waiting += len(classes)
+                tokens += len(classes)
                 if waiting >= 16 * batch:
                     flush()
-                    tokens, waiting, held = tokens + waiting, 0, []
-        if waiting:
+                    waiting = 0
+        if held:
             flush()
-            tokens += waiting
         if tokens:
-            flat = np.concatenate([trainer.p[k].ravel() for k in names]).astype(np.float64) * tokens
-            yield pa.RecordBatch.from_pydict({
-                "lane": pa.array([TaskContext.get().partitionId()], pa.int64()),
-                "tokens": pa.array([tokens], pa.int64()), "total": pa.array([flat.tobytes()], pa.binary())})
+            yield end()
 
     def add(rows):
         import pyarrow as pa
 
+        order = np.argsort(rows.column("lane").to_numpy(), kind="stable").tolist()  # sums do not depend on the rows' order
         tokens, total = 0, 0.0
-        for n, x in zip(rows.column("tokens").to_pylist(), rows.column("total")):
-            tokens, total = tokens + n, total + np.frombuffer(x.as_py())
-        return pa.table({"lane": pa.array([0], pa.int64()), "tokens": pa.array([tokens], pa.int64()), "total": pa.array([total.tobytes()], pa.binary())})
+        for i in order:
+            tokens, total = tokens + rows.column("tokens")[i].as_py(), total + np.frombuffer(rows.column("total")[i].as_py())
+        return pa.table({"lane": pa.array([min(rows.column("lane").to_pylist())], pa.int64()), "tokens": pa.array([tokens], pa.int64()),
+                         "total": pa.array([total.tobytes()], pa.binary())})
 
     schema = "lane long, tokens long, total binary"
-    parts = docs.select("text").mapInArrow(fit, schema)
-    lanes = max(2, int(math.sqrt(docs.rdd.getNumPartitions())))
+    hashed = docs.select("text", F.xxhash64("doc_id", "text").alias("h")).withColumn("lane", F.pmod("h", F.lit(lanes)).cast("long"))
+    sorted_lanes = hashed.repartitionById(parts, (F.col("lane") % parts).cast("int")).sortWithinPartitions("lane", "h", "text")
+    trained = sorted_lanes.select("lane", "text").mapInArrow(fit, schema)
     # a tree of two levels, as wide as deep; each row has the fixed size of the model
-    some = parts.groupBy(F.pmod("lane", F.lit(lanes)).alias("at")).applyInArrow(add, schema)
-    rows = some.groupBy("lane").applyInArrow(add, schema).collect()
+    wide = max(2, int(math.sqrt(lanes)))
+    some = trained.groupBy(F.pmod("lane", F.lit(wide)).alias("at")).applyInArrow(add, schema)
+    rows = some.groupBy(F.lit(0).alias("all")).applyInArrow(add, schema).collect()
     sent.unpersist()
     if not rows:
         return model.params

@@ -1,4 +1,5 @@
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -58,3 +59,21 @@ def test_edge_cases(spark):
     only = [r for r in rows if held(r[0])][:1]
     alone = lm.score_documents(spark.createDataFrame([(*r, 0.0) for r in only], docs.schema)).collect()
     assert [(r.n_known, r.train_tokens, r.base_score) for r in alone] == [(0, 0, 0.0)]
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm, "LANE_TOKENS", 4000)
+    rnd = random.Random(8)
+    rows = [(i, " ".join(rnd.choice("the a cat dog sat on mat ran to of".split()) for _ in range(rnd.randint(0, 200)))) for i in range(150)]
+    docs = spark.createDataFrame(rows + rows[:5], "doc_id long, text string")
+    got = [sorted((r.doc_id, r.score) for r in lm.score_documents(docs.repartition(n), n_words=8, dim=6, batch=256).collect()) for n in (1, 5)]
+    assert [i for i, _ in got[0]] == [i for i, _ in got[1]]
+    assert max(abs(a - b) / abs(a) for (_, a), (_, b) in zip(*got)) < 1e-5
+
+
+def test_lexicon_of_words_with_equal_counts(spark):
+    docs = spark.createDataFrame([(i, f"w{i} v{i}") for i in range(300)], "doc_id long, text string")
+    model, _ = lm.gather(docs, 50, 100, 4)
+    assert 60 < len(model.lexicon) < 140 and model.n_words == 50
+    model, _ = lm.gather(docs, 50, 600, 4)
+    assert len(model.lexicon) == 600
