@@ -93,7 +93,8 @@ def with_next(docs: DataFrame, fn, schema: str, range_chars: int = RANGE_CHARS)
     texts = text_of(docs, F.col("doc_id").cast("long").alias("doc_id"))
     key = F.struct(F.col("doc_id").isNotNull().alias("known"), F.coalesce("doc_id", F.lit(0)).alias("id"))
     sizes = texts.agg(F.sum(F.length("text")).alias("chars"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
-    ranges = int(min(MOST_RANGES, max(1, -(-(sizes["chars"] or 0) // range_chars))))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = int(min(MOST_RANGES, max(parts, -(-(sizes["chars"] or 0) // range_chars))))
     bounds: list[int] = []
     if ranges > 1 and sizes["low"] is not None:
         cuts = texts.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 100 * ranges).alias("cuts")).first()["cuts"]
@@ -107,8 +108,8 @@ def with_next(docs: DataFrame, fn, schema: str, range_chars: int = RANGE_CHARS)
     guest = (ranged.withColumn("k", key).join(F.broadcast(hosts), (F.col("k.known") == F.col("known")) & (F.col("k.id") == F.col("id")))
              .select(F.col("host").alias("range"), F.when(F.col("around"), 2).otherwise(1).alias("turn"), "doc_id", "text"))
     dealt = ranged.select("range", F.lit(0).alias("turn"), "doc_id", "text").union(guest)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(parts, "range").sortWithinPartitions("range", "turn", "doc_id", "text")
+    # ranges hold about as many rows each, and neighbouring numbers go to different tasks
+    dealt = dealt.repartitionById(parts, (F.col("range") % parts).cast("int")).sortWithinPartitions("range", "turn", "doc_id", "text")
 
     def run(batches):
         import pyarrow as pa

@@ -27,13 +27,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import os
 import re
 import struct
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.materialize import materialize
@@ -162,15 +161,23 @@ def train_dictionary(pages: DataFrame, samples: int = 1000, sample_bytes: int =
         return b""
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme of its store: without one it is in Spark's default store, not on each machine's own disk."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub(r"^file:/(?!/)", "file:///", re.sub(r"^s3[an]:", "s3:", uri))  # as pyarrow calls them
+
+
 def _store(uri: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri if re.match(r"\w[\w+.-]*:", uri) else f"file://{os.path.abspath(uri)}")
+    return fs.FileSystem.from_uri(uri)
 
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, level: int = 3) -> DataFrame:
     """Writes the pages' records to archives in ``folder``; returns the manifest (path, records, bytes)."""
     spark = pages.sparkSession
+    folder = qualified(spark, folder)
     small_batches(spark, 128)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"),
                         F.coalesce("html", F.lit("")).cast("binary").alias("html"))
@@ -218,6 +225,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, level: i
 def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     """The validated records of the manifest's archives, one row each; a file is one task's stream."""
     files = max(1, manifest.count())
+    folder = qualified(manifest.sparkSession, folder)
 
     def read(batches):
         import pyarrow as pa
