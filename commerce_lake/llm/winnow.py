@@ -221,34 +221,27 @@ def _scan(docs: DataFrame, found) -> DataFrame:
 
 
 def _looked_up(docs: DataFrame, windows: DataFrame, spans: list[int]) -> DataFrame:
-    """Hits by a broadcast of the windows; the caller has checked their number and size."""
-    known = docs.sparkSession.sparkContext.broadcast({r["window"].encode(): r["set_id"] for r in windows.select("window", "set_id").collect()})
+    """Hits by a broadcast of the windows and their kept hashes; the caller has checked their number and size."""
+    known = {r["window"].encode(): r["set_id"] for r in windows.select("window", "set_id").collect()}
+    sent = docs.sparkSession.sparkContext.broadcast((known, {span: _marks(known, span) for span in spans}))
 
     def found(words, batch, low):
         hits = Hits([], [], [], [])
+        known, marks = sent.value
         for span in spans:
             window, at, grams = kept(words, span)
-            shared = np.isin(grams[at], _marks(known.value, span))
-            _extend(words, window[shared], span, known.value, hits)
+            _extend(words, window[np.isin(grams[at], marks[span])], span, known, hits)
         return hits
 
     return _scan(docs, found)
 
 
-_MARKS: dict[tuple, np.ndarray] = {}
-
-
 def _marks(windows: dict[bytes, str], span: int) -> np.ndarray:
-    """The kept hashes of the windows of ``span`` words; a worker works them out once for each benchmark."""
-    key = (id(windows), len(windows), span)
-    if key not in _MARKS:
-        _MARKS.clear() if len(_MARKS) > 16 else None
-        mine = [w for w in windows if w.count(b" ") == span - 1]
-        at = np.cumsum([0, *map(len, mine)])
-        words = Words.of(np.frombuffer(b"".join(mine), np.uint8), at)
-        _, place, grams = kept(words, span)
-        _MARKS[key] = np.unique(grams[place])
-    return _MARKS[key]
+    """The kept hashes of the windows of ``span`` words."""
+    mine = [w for w in windows if w.count(b" ") == span - 1]
+    words = Words.of(np.frombuffer(b"".join(mine), np.uint8), np.cumsum([0, *map(len, mine)]))
+    _, place, grams = kept(words, span)
+    return np.unique(grams[place])
 
 
 def _extend(words: Words, window: np.ndarray, span: int, known: dict[bytes, str] | None, hits: Hits) -> None:
