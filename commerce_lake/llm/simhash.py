@@ -14,7 +14,11 @@ Equal fingerprints are merged first (pre-aggregated on the map side), so
 a group of copies of any size is one fingerprint.  An anchor's rows are
 read as a sorted stream.  A short run of rows of one anchor gives its
 pairs; from a longer one only a spanning forest of the links is kept,
-so no large group is written out as all pairs.  Components follow from
+so no large group is written out as all pairs.  An anchor with more than
+``ANCHOR_ROWS`` fingerprints (a family of near copies can share one) is
+split: its fingerprints are dealt into blocks, and every block of homes
+meets every block of rows under a key of its own, so a task holds two
+blocks at most and many tasks share the work.  Components follow from
 the links by star rounds.
 
 Edge cases: NULL and empty texts (and any without a word) have
@@ -29,7 +33,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import checkpointed, rows_of, small_batches, text_of
@@ -38,8 +42,16 @@ from .components import components
 SEED = 42
 #: Shingles whose bits are counted at a time.
 BLOCK = 1 << 15
-#: Rows of one anchor up to which each row is compared with each; longer runs go by blocks.
+#: Rows of one run up to which each row is compared with each; longer runs go by blocks.
 SHORT_RUN = 32
+#: Rows of one anchor, about, over which it is split into blocks of that size.
+ANCHOR_ROWS = 1 << 14
+#: One fingerprint in so many is counted to find the anchors to split; which are split changes no link.
+COUNTED = 16
+#: Split anchors that are broadcast; more of them are joined by a shuffle.
+MOST_BROADCAST = 100_000
+#: Bits of a run's key below the anchor's: the pair of blocks.
+PART_BITS = 30
 _SYNDROME = [np.uint64(sum(1 << (i - 1) for i in range(1, 32) if i >> k & 1)) for k in range(5)]
 
 
@@ -143,15 +155,15 @@ def _forest(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> list[tupl
     return out
 
 
-def links_of_runs(anchor: np.ndarray, home: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of linked rows, in rows sorted by anchor."""
-    n = len(anchor)
-    starts = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+def links_of_runs(run: np.ndarray, home: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of linked rows, in rows sorted by run."""
+    n = len(run)
+    starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
     lengths = np.diff(np.append(starts, n))
     us, vs = [], []
     short = np.repeat(lengths <= SHORT_RUN, lengths)
     for step in range(1, min(SHORT_RUN, int(lengths.max(initial=1)))):
-        u = np.flatnonzero((anchor[:-step] == anchor[step:]) & short[:-step] & (home[:-step] | home[step:])) if n > step else np.empty(0, np.int64)
+        u = np.flatnonzero((run[:-step] == run[step:]) & short[:-step] & (home[:-step] | home[step:])) if n > step else np.empty(0, np.int64)
         u = u[np.bitwise_count(fp[u] ^ fp[u + step]) <= max_bits]
         us.append(u)
         vs.append(u + step)
@@ -172,7 +184,29 @@ def links_of_runs(anchor: np.ndarray, home: np.ndarray, fp: np.ndarray, max_bits
     return np.concatenate([none, *us]), np.concatenate([none, *vs])
 
 
-def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
+def split_runs(spread: DataFrame, hot: DataFrame) -> DataFrame:
+    """(run, home, fp, rep): the rows of each anchor; those of an anchor in ``hot`` (anchor, blocks) by pairs of blocks.
+
+    Of an anchor with k blocks, run (i, j) gets the homes of block i and
+    all rows of block j: a home goes to k runs, and so does a row.
+    """
+    mine = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+    others = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    part = lambda at, home: F.struct(at.alias("part"), F.lit(home).alias("home"))
+    as_row = F.transform(others, lambda i: part(i * F.col("blocks") + mine, False))
+    as_home = F.transform(others, lambda j: part(mine * F.col("blocks") + j, True))
+    parts = (F.when(F.col("blocks").isNull(), F.array(F.struct(F.lit(0).cast("long").alias("part"), F.col("home"))))
+             .when(F.col("home"), F.concat(as_row, as_home)).otherwise(as_row))
+    return (spread.join(hot, "anchor", "left").select("anchor", "fp", "rep", F.explode(parts).alias("p"))
+            .select(_run(F.col("p.part")), F.col("p.home").alias("home"), "fp", "rep"))
+
+
+def _run(part: Column) -> Column:
+    # parts beyond PART_BITS would share a run, which costs comparisons and loses none
+    return F.shiftleft("anchor", PART_BITS).bitwiseOR(F.pmod(part, F.lit(1 << PART_BITS))).alias("run")
+
+
+def links(distinct: DataFrame, max_bits: int = 3, anchor_rows: int = ANCHOR_ROWS) -> DataFrame:
     """Edges (u, v) between representatives; their components are those of all links of at most 3 bits."""
     if not 0 <= max_bits <= 3:
         raise ValueError("the covering is built for at most 3 differing bits")
@@ -182,8 +216,8 @@ def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
         import pyarrow as pa
 
         def linked(cols):
-            anchor, home, fp, rep = cols
-            u, v = links_of_runs(anchor, home, fp.view(np.uint64), max_bits)
+            run, home, fp, rep = cols
+            u, v = links_of_runs(run, home, fp.view(np.uint64), max_bits)
             a, b = rep[u], rep[v]
             pair = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1)[a != b], axis=0)
             return pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["u", "v"])
@@ -195,16 +229,24 @@ def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
                 cols = [np.concatenate(x) for x in zip(held, cols)]
             if not len(cols[0]):
                 continue
-            last = int(np.searchsorted(cols[0], cols[0][-1]))  # the last anchor may go on in the next batch
+            last = int(np.searchsorted(cols[0], cols[0][-1]))  # the last run may go on in the next batch
             if last:
                 yield linked([c[:last] for c in cols])
             held = [c[last:] for c in cols]
         if held is not None and len(held[0]):
             yield linked(held)
 
-    spread = replicas(distinct)
     parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return spread.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(compare, "u long, v long").distinct()
+    dealt = distinct.select("fp", "rep").repartition(parts, "fp")
+    counted = replicas(dealt.where(F.pmod(F.xxhash64(F.lit(SEED), "fp"), F.lit(COUNTED)) == 0))
+    hot = checkpointed(counted.groupBy("anchor").agg(F.ceil(F.count("*") * F.lit(COUNTED) / F.lit(anchor_rows)).alias("blocks")).where("blocks > 1"))
+    split = hot.count()
+    spread = replicas(dealt)
+    if split:
+        runs = split_runs(spread, F.broadcast(hot) if split <= MOST_BROADCAST else hot)
+    else:
+        runs = spread.select(_run(F.lit(0)), "home", "fp", "rep")
+    return runs.repartition(parts, "run").sortWithinPartitions("run").mapInArrow(compare, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, key: str = "doc_id") -> DataFrame:

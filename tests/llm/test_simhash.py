@@ -72,6 +72,30 @@ def test_links_equal_brute_force(spark):
     assert labels == brute_groups(prints)
 
 
+def test_split_anchors_equal_brute_force(spark, monkeypatch):
+    rnd = random.Random(8)
+    base = rnd.getrandbits(64)
+    family = [base ^ sum(1 << b for b in rnd.sample(range(32), rnd.randint(1, 4))) for _ in range(500)]  # one half is the same in all
+    wide = [base ^ sum(1 << b for b in rnd.sample(range(64), rnd.randint(1, 6))) for _ in range(300)]
+    prints = dict(enumerate(dict.fromkeys(family + wide + clustered(rnd, 200))))
+    table = spark.createDataFrame([(int(np.uint64(p).astype(np.int64)), i) for i, p in prints.items()], "fp long, rep long")
+    want = brute_groups(prints)
+    for counted, broadcast in ((1, 100), (4, 0)):
+        monkeypatch.setattr(simhash, "COUNTED", counted)
+        monkeypatch.setattr(simhash, "MOST_BROADCAST", broadcast)
+        found = components(simhash.links(table, 3, anchor_rows=40))
+        assert {i: i for i in prints} | {r.node: r.component for r in found.collect()} == want
+
+
+def test_split_runs_are_bounded(spark):
+    family = spark.range(4000).select((F.col("id") * 2 ** 32).alias("fp"), F.col("id").alias("rep"))  # all at anchors of the low half 0
+    spread = simhash.replicas(family)
+    hot = spread.groupBy("anchor").agg(F.ceil(F.count("*") / 100).alias("blocks")).where("blocks > 1")
+    longest = simhash.split_runs(spread, hot).groupBy("run").count().agg(F.max("count")).first()[0]
+    assert spread.groupBy("anchor").count().agg(F.max("count")).first()[0] == 4000
+    assert longest < 300  # two blocks of about 100
+
+
 def test_documents(spark):
     rnd = random.Random(6)
     words = [f"w{i}" for i in range(300)]
