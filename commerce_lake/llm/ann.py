@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, small_batches
+from .common import batches_of, checkpointed
 
 CHUNK = 4096
 RESULT = "query_id long, rank int, vec_id long, score double"
@@ -162,14 +162,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id
     sample.
     """
     spark = vectors.sparkSession
-    small_batches(spark, CHUNK)
     rows = usable(vectors, key, vector).withColumn("q", is_query)
     lengths = [r["d"] for r in rows.groupBy(F.size("v").alias("d")).agg(F.count_if("q").alias("asked")).where("asked > 0").orderBy("d").collect()]
     if not lengths:
         return spark.createDataFrame([], RESULT)
     out = None
     for d in lengths:  # nearly always one; vectors of different lengths have no distance
-        found = _search(rows.where(F.size("v") == d).dropDuplicates(["id"]), k, lists, probes, sample, recall)
+        with batches_of(spark, CHUNK):
+            found = _search(rows.where(F.size("v") == d).dropDuplicates(["id"]), k, lists, probes, sample, recall)
         out = found if out is None else out.unionByName(found)
     return out
 

@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, rows_of, small_batches, text_of
+from .common import batches_of, checkpointed, rows_of, small_batches, text_of
 from .components import components
 
 SEED = 42
@@ -210,8 +210,6 @@ def links(distinct: DataFrame, max_bits: int = 3, anchor_rows: int = ANCHOR_ROWS
     """Edges (u, v) between representatives; their components are those of all links of at most 3 bits."""
     if not 0 <= max_bits <= 3:
         raise ValueError("the covering is built for at most 3 differing bits")
-    small_batches(distinct.sparkSession, 20_000)
-
     def compare(batches):
         import pyarrow as pa
 
@@ -253,7 +251,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, key: s
     """(key, fp, component_id): component_id is the smallest key linked, directly or through others."""
     prints = checkpointed(fingerprints(docs, shingle, key))
     reps = checkpointed(prints.groupBy("fp").agg(F.min(key).alias("rep")).where(F.col("rep").isNotNull()))
-    linked = components(links(reps, max_bits))
+    with batches_of(docs.sparkSession, 20_000):  # fingerprints, no texts
+        linked = components(links(reps, max_bits))
     # a table of its own, so that a hot fingerprint meets it in a join that can be split
     labels = checkpointed(reps.join(linked, F.col("rep") == F.col("node"), "left")
                           .select("fp", F.coalesce("component", "rep").alias("component_id")))

@@ -134,3 +134,12 @@ def test_one_per_group_with_helper_names(spark):
     kept = simhash.one_per_group(docs)
     assert kept.columns == docs.columns and {tuple(r[2:]) for r in kept.collect()} == {tuple(names)}
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "None"]
+
+
+def test_batch_size_comes_back(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "a b c d e")], "doc_id long, text string")
+    simhash.fingerprints(docs)  # texts: small batches from here on
+    before = spark.conf.get(name)
+    simhash.near_duplicates(docs).collect()
+    assert spark.conf.get(name) == before
