@@ -45,8 +45,12 @@ PLACES = 1024
 PLAN = "length long, rank_from long, rank_to long, sequence_from long, per_sequence long, offset_from long"
 
 
-def tokenised_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, key: str = "doc_id") -> DataFrame:
-    """The pieces of every document: key, piece, start, length, ids_crc32."""
+def tokenised_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, key: str = "doc_id", forget: bool = False) -> DataFrame:
+    """The pieces of every document: key, piece, start, length, ids_crc32.
+
+    With ``forget`` a worker gives the memory of its memo back after each
+    task, for runs that go on with other work.
+    """
     small_batches(docs.sparkSession)
     kind = docs.schema[key].dataType
 
@@ -69,6 +73,8 @@ def tokenised_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, key
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], to_arrow_type(kind)), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.int64()) for c in cols[2:])],
                 [key, "piece", "start", "length", "ids_crc32"])
+        if forget:
+            enc.memo.forget()
 
     return text_of(docs, key).mapInArrow(cut, f"`{key}` {kind.simpleString()}, {PIECES}")
 
@@ -163,7 +169,7 @@ def pack_in_order(placed: DataFrame, path: str, capacity: int = 1024, end_id: in
     sequences are opened as without, and they run in that order.
     """
     where = F.struct("doc_id", *place).alias("at")
-    cut = tokenised_pieces(placed.select(where, "text"), path, capacity, end_id, "at")
+    cut = tokenised_pieces(placed.select(where, "text"), path, capacity, end_id, "at", forget=True)
     pieces = checkpointed(cut.select("at.*", *(c for c in cut.columns if c != "at")))
     last = pieces.agg(F.max(place[0])).first()[0] or 0
     group = F.expr(f"{place[0]} * {PLACES}L div {last + 1}L")  # 0 to PLACES - 1

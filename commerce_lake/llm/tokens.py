@@ -71,6 +71,10 @@ class _Memo(dict):
         self[chunk] = ids
         return ids
 
+    def forget(self) -> None:
+        self.older = {}
+        self.clear()
+
 
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers in one ``bytes``."""
