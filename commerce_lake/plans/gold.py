@@ -122,10 +122,10 @@ def line_items(stg_orders: DataFrame, latest_only: bool = False, deletes: str =
     if latest_only:
         o = _latest(o, "order_id", deletes)
     elif deletes == "apply":
-        newest = C.latest_per_key(o.select("order_id", "_operation", "_event_timestamp_ms",
-                                           *(c for c in S.TIEBREAK if c in o.columns)), ["order_id"])
-        gone = newest.where(F.col("_operation") == "d").select("order_id")
-        o = C.keep_ops(o).join(gone, "order_id", "left_anti")
+        # one exchange of the events by order; a self-join would parse all of them twice
+        newest = F.first("_operation").over(Window.partitionBy("order_id").orderBy(*C.newest_first(o)))
+        o = o.withColumn("_newest", F.when(F.col("order_id").isNotNull(), newest))
+        o = C.keep_ops(o.where(F.coalesce(F.col("_newest") != "d", F.lit(True))).drop("_newest"))
     o = C.keep_values(o, "order_status", S.ORDER_STATUSES)
     # explode the parse expression itself (not a column) so no inferred
     # size filter re-parses the text below the generator
