@@ -50,3 +50,14 @@ def test_lines_of_an_order_are_collected_after_one_exchange(spark):
     assert "collect_list" in _plan(out) and "Aggregate" not in _plan(out)
     got = {r["l_orderkey"]: sorted((i["product_id"]["$oid"], i["quantity"], i["price"]) for i in r["line_items"]) for r in out.collect()}
     assert got == {1: [("7", 2, 13.0), ("7", 2, 13.0), ("8", 1, 27.25)], None: [("7", 3, 13.0)]} and out.count() == 2
+
+
+def test_lines_are_sorted_once_and_without_the_arrays(spark):
+    lineitem = spark.createDataFrame([(k, (k or 0) % 3, 1.0, 0.0) for k in [1, 1, 2, 3, 3, 3, None]],
+                                     "l_orderkey long, l_partkey long, l_quantity double, l_discount double")
+    part = spark.createDataFrame([(0, 2), (1, 4), (2, 6)], "p_partkey long, p_size int")
+    out = FX.line_items(lineitem, part)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Window ") == 1                # a second one sorts lines that hold their order's array
+    got = {r["l_orderkey"]: sorted(i["product_id"]["$oid"] for i in r["line_items"]) for r in out.collect()}
+    assert got == {1: ["1", "1"], 2: ["2"], 3: ["0", "0", "0"], None: ["0"]}
