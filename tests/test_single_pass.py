@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from commerce_lake import registry
+from commerce_lake.operators import quality as Q
 from commerce_lake.plans import gold
 from commerce_lake.registry import Lake
 from commerce_lake.sources import fixtures as FX
@@ -61,3 +63,15 @@ def test_lines_are_sorted_once_and_without_the_arrays(spark):
     assert plan.count("Window ") == 1                # a second one sorts lines that hold their order's array
     got = {r["l_orderkey"]: sorted(i["product_id"]["$oid"] for i in r["line_items"]) for r in out.collect()}
     assert got == {1: ["1", "1"], 2: ["2"], 3: ["0", "0", "0"], None: ["0"]}
+
+
+def test_seeded_models_are_built_once_for_their_checks(spark):
+    models = registry._seeded(spark, SMALL)
+    assert sorted(models) == ["dim_customers", "dim_products", "stg_orders"]
+    for df in models.values():
+        assert "from_json" not in _plan(df) and "Window" not in _plan(df)
+    assert models["stg_orders"].columns == ["order_id", "customer_id", "order_status"]
+    orders = Lake(spark, SMALL).stg_orders()
+    assert models["stg_orders"].count() == orders.count()
+    failing = Q.failing_rows(models, {"stg_orders": "order_id"})
+    assert "Window" not in _plan(failing) and failing.where("model = 'stg_orders'").count() > 0
