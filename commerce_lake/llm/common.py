@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from ..session import checkpoint_dir
 #: Rows of one Arrow batch sent to a Python worker; a batch also ends at
 #: ``spark.sql.execution.arrow.maxBytesPerBatch``.
 BATCH_ROWS = 512
+#: Of each byte whether it is ASCII white space (space, tab, line feed, vertical tab, form feed, carriage return).
+SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
@@ -54,3 +57,25 @@ def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[list]:
     for batch in batches:
         if batch.num_rows:
             yield [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
+
+
+def joined(batches: Iterator[pa.RecordBatch], size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches as one, up to about so many bytes; empty ones are left out."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.nbytes for b in held) >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def utf8_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts (NULL: empty), and where each begins among them, with the end of the last."""
+    whole = texts.fill_null("").cast(pa.large_string())
+    _, offsets, data = whole.buffers()
+    starts = np.frombuffer(offsets, np.int64, len(whole) + 1, 8 * whole.offset) if len(whole) else np.zeros(1, np.int64)
+    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return data[starts[0]:starts[-1]], starts - starts[0]

@@ -36,7 +36,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, rows_of, small_batches, text_of
+from .common import checkpointed, joined, small_batches, text_of
 from .tokens import encoder
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
@@ -59,10 +59,11 @@ def tokenised_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, key
         from pyspark.sql.pandas.types import to_arrow_type
 
         enc, end = encoder(path), end_id.to_bytes(4, "little")
-        for keys, texts in rows_of(batches, key, "text"):
+        for batch in joined(batches):
+            keys, texts = (batch.column(batch.schema.get_field_index(c)) for c in (key, "text"))
             out: list[tuple] = []
-            for k, text in zip(keys, texts):
-                ids = memoryview(enc.encode(text) + end)
+            for k, coded in zip(keys.to_pylist(), enc.encode_all(texts)):
+                ids = memoryview(coded + end)
                 n = len(ids) // 4
                 start, size = 0, n % capacity or min(n, capacity)
                 piece = 0
