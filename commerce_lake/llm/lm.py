@@ -31,17 +31,18 @@ input gives an empty result; other columns are left behind.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.materialize import materialize
-from .common import crc32_mod, rows_of, small_batches, text_of
+from .common import SPACES, crc32_mod, joined, small_batches, text_of, utf8_of
 
 SHAPES = 32
+LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 #: Distinct words counted in a task before they are passed on.
 COUNTED = 300_000
 #: Training tokens of a lane, and most lanes (beyond that, lanes get longer).
@@ -62,44 +63,85 @@ class Model:
     n_words: int
     dim: int
     params: dict[str, np.ndarray] = field(default_factory=dict)
+    made: dict = field(default_factory=dict, repr=False)  # by a worker, whose later tasks get the same copy of a broadcast model
+
+    def indexer(self) -> Indexer:
+        if "indexer" not in self.made:
+            self.made["indexer"] = Indexer(self)
+        return self.made["indexer"]
+
+    def scorer(self) -> Scorer:
+        if "scorer" not in self.made:
+            self.made["scorer"] = Scorer(self)
+        return self.made["scorer"]
 
     @property
     def classes(self) -> int:
         return 1 + self.n_words + SHAPES
 
 
-def words_of(text: str) -> list[bytes]:
-    """Runs of other than ASCII white space, A-Z lower-cased."""
-    return text.encode().lower().split()
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of some texts, the number of each word among them, and how many words stand before each text (and after all).
+
+    Words are runs of other than ASCII white space, A-Z lower-cased.
+    """
+    data, starts = utf8_of(texts)
+    inside = ~SPACES[data]
+    begin = inside.copy()
+    begin[1:] &= ~inside[:-1]
+    first = starts[:-1][starts[:-1] < starts[1:]]
+    begin[first] = inside[first]
+    letters = LOWER[data[inside]]
+    offsets = np.append(np.flatnonzero(begin[inside]), len(letters)).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+    coded = words.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), np.searchsorted(np.flatnonzero(begin), starts)
 
 
 def shape(word: bytes) -> int:
     """Shape class of a word: how it ends, how long it is, whether it has letters beyond ASCII."""
-    last = word[-1]
-    end = 0 if last >= 128 or 97 <= last <= 122 else 1 if last == 46 else 2 if last == 44 else 3
-    size = 0 if len(word) <= 4 else 1 if len(word) <= 8 else 2 if len(word) <= 12 else 3
-    return end * 8 + size * 2 + (not word.isascii())
+    return int(shapes(pa.array([word], pa.large_binary()))[0])
+
+
+def shapes(words: pa.Array) -> np.ndarray:
+    """Shape classes of words, none of them empty."""
+    if not len(words):
+        return np.zeros(0, np.int32)
+    whole = words.cast(pa.large_binary())
+    _, offsets, data = whole.buffers()
+    at = np.frombuffer(offsets, np.int64, len(whole) + 1, 8 * whole.offset)
+    data = np.frombuffer(data, np.uint8)[at[0]:at[-1]]
+    at = at - at[0]
+    last = data[at[1:] - 1]
+    end = np.select([(last >= 128) | ((last >= 97) & (last <= 122)), last == 46, last == 44], [0, 1, 2], 3)
+    size = np.searchsorted([4, 8, 12], np.diff(at))
+    return (end * 8 + size * 2 + np.maximum.reduceat(data, at[:-1]) // 128).astype(np.int32)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, shape, n) over all texts; the end of a text is counted by the caller."""
     def count(batches):
-        import pyarrow as pa
-
-        def out(c: Counter):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(c), pa.binary()), pa.array([shape(w) for w in c], pa.int32()), pa.array(list(c.values()), pa.int64())],
-                ["word", "shape", "n"])
-
-        counted: Counter = Counter()
-        for (texts,) in rows_of(batches, "text"):
-            for text in texts:
-                counted.update(words_of(text))
-                if len(counted) > COUNTED:
-                    yield out(counted)
-                    counted = Counter()
-        if counted:
-            yield out(counted)
+        def out(counted: pa.Table):
+            word = counted.column("word").combine_chunks()
+            return pa.RecordBatch.from_arrays([word, pa.array(shapes(word)), counted.column("n_sum").combine_chunks()], ["word", "shape", "n"])
+
+        held, rows = [], 0
+        for batch in joined(batches):
+            words, index, _ = words_of(batch.column("text"))
+            held.append(pa.table({"word": words.cast(pa.binary()), "n_sum": np.bincount(index, minlength=len(words))}))
+            rows += len(words)
+            if rows > 2 * COUNTED:
+                held = [summed(held)]
+                rows = held[0].num_rows
+                if rows > COUNTED:
+                    yield out(held[0])
+                    held, rows = [], 0
+        if rows:
+            yield out(summed(held))
+
+    def summed(held):
+        tables = pa.concat_tables(held).rename_columns(["word", "n"])
+        return tables.group_by("word", use_threads=False).aggregate([("n", "sum")])
 
     partial = docs.select("text").mapInArrow(count, "word binary, shape int, n long")
     return partial.groupBy("word", "shape").agg(F.sum("n").alias("n"))
@@ -148,35 +190,42 @@ class Indexer:
     def __init__(self, model: Model):
         self.model = model
         self.index = {w: i for i, w in enumerate(model.lexicon)}
-        lex_shape = np.array([shape(w) for w in model.lexicon], np.int32).reshape(-1)
+        lex_shape = shapes(pa.array(model.lexicon, pa.large_binary()))
         self.lex_class = np.arange(1, len(model.lexicon) + 1, dtype=np.int32)
         self.lex_class[model.n_words:] = 1 + model.n_words + lex_shape[model.n_words:]
 
-    def positions(self, words: list[bytes]) -> np.ndarray:
+    def positions(self, words: pa.Array) -> np.ndarray:
         """Places in the lexicon, -1 beyond it."""
         get = self.index.get
-        return np.fromiter((get(w, -1) for w in words), np.int32, len(words))
-
-    def classes(self, words: list[bytes], at: np.ndarray) -> np.ndarray:
-        """Classes of the words and of the end."""
-        out = np.zeros(len(words) + 1, np.int32)
-        if len(words):
-            known = at >= 0
-            out[:-1][known] = self.lex_class[at[known]]
-            out[:-1][~known] = [1 + self.model.n_words + shape(words[i]) for i in np.flatnonzero(~known)]
+        return np.fromiter((get(w, -1) for w in words.to_numpy(zero_copy_only=False)), np.int32, len(words))
+
+    def classes(self, words: pa.Array, at: np.ndarray) -> np.ndarray:
+        """Classes of the words."""
+        out = (1 + self.model.n_words + shapes(words)).astype(np.int32)
+        known = at >= 0
+        out[known] = self.lex_class[at[known]]
         return out
 
 
-def contexts(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Classes one and two places before each token; the end class stands before a text."""
+def with_ends(classes: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of texts one after another with the end after each, and where each text begins there (with the end of the last)."""
+    texts = len(before) - 1
+    out = np.zeros(len(classes) + texts, np.int32)
+    out[np.arange(len(classes)) + np.repeat(np.arange(texts), np.diff(before))] = classes
+    return out, before + np.arange(texts + 1)
+
+
+def contexts(tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classes one and two places before each token; the end class stands before a text, as after the one before it."""
     one, two = np.zeros_like(tokens), np.zeros_like(tokens)
     one[1:], two[2:] = tokens[:-1], tokens[:-2]
+    two[starts[:-1]] = 0
     return one, two
 
 
 def _rows_added(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     """Sum of rows by index."""
-    order = np.argsort(index, kind="stable")
+    order = np.argsort(index.astype(np.uint16) if size <= 1 << 16 else index, kind="stable")  # small integers are sorted by their digits
     sorted_index = index[order]
     starts = np.flatnonzero(np.concatenate([[True], sorted_index[1:] != sorted_index[:-1]]))
     out = np.zeros((size, rows.shape[1]), np.float32)
@@ -202,8 +251,12 @@ class Trainer:
         targets, others = p["q"][target], p["q"][drawn]
         data = np.einsum("ij,ij->i", q, targets) + p["b"][target] - self.log_kn[target]
         g = 1 / (1 + np.exp(np.clip(data, -30, 30)))                      # 1 - P(data)
-        wrong = q @ others.T + (p["b"][drawn] - self.log_kn[drawn])
-        h = 1 / (1 + np.exp(-np.clip(wrong, -30, 30)))                    # P(data) of noise
+        h = q @ others.T
+        h += p["b"][drawn] - self.log_kn[drawn]
+        np.negative(np.clip(h, -30, 30, out=h), out=h)
+        np.exp(h, out=h)
+        h += 1
+        np.divide(1, h, out=h)                                            # P(data) of noise
         dq = g[:, None] * targets - h @ others
         grad = {"e1": _rows_added(one, dq, size), "e2": _rows_added(two, dq, size)}
         dt = _rows_added(target, np.concatenate([g[:, None] * q, g[:, None]], axis=1), size)
@@ -223,10 +276,8 @@ def train_round(model: Model, docs: DataFrame, batch: int, samples: int, rate: f
     parts = min(lanes, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def fit(batches):
-        import pyarrow as pa
-
         m = sent.value
-        index = Indexer(m)
+        index = m.indexer()
         lane, trainer, held, waiting, tokens = None, None, [], 0, 0
 
         def flush():
@@ -242,19 +293,20 @@ def train_round(model: Model, docs: DataFrame, batch: int, samples: int, rate: f
             return pa.RecordBatch.from_pydict({"lane": pa.array([lane], pa.int64()), "tokens": pa.array([tokens], pa.int64()),
                                                "total": pa.array([flat.tobytes()], pa.binary())})
 
-        for dealt, texts in rows_of(batches, "lane", "text"):
-            for mine, text in zip(dealt, texts):
+        for run in joined(batches):
+            words, number, before = words_of(run.column("text"))
+            target, starts = with_ends(index.classes(words, index.positions(words))[number], before)
+            one, two = contexts(target, starts)
+            for mine, a, b in zip(run.column("lane").to_pylist(), starts.tolist(), starts[1:].tolist()):
                 if mine != lane:
                     if held:
                         flush()
                     if tokens:
                         yield end()
                     lane, trainer, waiting, tokens = mine, Trainer(m, samples, rate, seed=mine), 0, 0
-                words = words_of(text)
-                classes = index.classes(words, index.positions(words))
-                held.append((*contexts(classes), classes))
-                waiting += len(classes)
-                tokens += len(classes)
+                held.append((one[a:b], two[a:b], target[a:b]))
+                waiting += b - a
+                tokens += b - a
                 if waiting >= 16 * batch:
                     flush()
                     waiting = 0
@@ -264,8 +316,6 @@ def train_round(model: Model, docs: DataFrame, batch: int, samples: int, rate: f
             yield end()
 
     def add(rows):
-        import pyarrow as pa
-
         order = np.argsort(rows.column("lane").to_numpy(), kind="stable").tolist()  # sums do not depend on the rows' order
         tokens, total = 0, 0.0
         for i in order:
@@ -321,43 +371,46 @@ def _rated(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def rate(batches):
-        import pyarrow as pa
         from pyspark import TaskContext
 
         m = sent.value
-        index, scorer = Indexer(m), Scorer(m)
+        index, scorer = m.indexer(), m.scorer()
         base = np.log10((m.counts + 1) / (m.n + m.v + 1))
         end_base = np.log10((m.end_count + 1) / (m.n + m.v + 1))
         share = np.zeros(len(m.lexicon))
-        shapes = index.lex_class[m.n_words:] - 1 - m.n_words
-        share[m.n_words:] = np.log10((m.counts[m.n_words:] + 1) / (m.shape_n + m.shape_v + 1)[shapes])
-        word = pa.struct([("word", pa.binary()), ("shape", pa.int32()), ("n", pa.int64())])
+        of_shape = index.lex_class[m.n_words:] - 1 - m.n_words
+        share[m.n_words:] = np.log10((m.counts[m.n_words:] + 1) / (m.shape_n + m.shape_v + 1)[of_shape])
         row = TaskContext.get().partitionId() << 40
-        for ids, held, texts in rows_of(batches, "doc_id", "held_out", "text"):
-            lists, places, classes = [], [], []
-            for text in texts:
-                words = words_of(text)
-                at = index.positions(words)
-                lists.append(words)
-                places.append(at)
-                classes.append(index.classes(words, at))
-            ctx = [contexts(c) for c in classes]
-            log_p = scorer(np.concatenate([c[0] for c in ctx]), np.concatenate([c[1] for c in ctx]), np.concatenate(classes))
-            starts = np.concatenate([[0], np.cumsum([len(c) for c in classes])])
-            out: dict[str, list] = {k: [] for k in ("row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rest")}
-            for i, (words, at) in enumerate(zip(lists, places)):
-                known = at[at >= 0]
-                rest = Counter(words[j] for j in np.flatnonzero(at < 0))
-                row += 1
-                out["row"].append(row)
-                out["n_tokens"].append(len(words) + 1)
-                out["n_known"].append(len(known) + (m.end_count > 0))
-                out["base_score"].append(float(base[known].sum() + end_base))
-                out["score"].append(float(log_p[starts[i]:starts[i + 1]].sum() / np.log(10) + share[known].sum()))
-                out["rest"].append([{"word": w, "shape": shape(w), "n": n} for w, n in rest.items()])
-            out["doc_id"], out["held_out"] = ids, held
-            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(word)]
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
+        for run in joined(batches):
+            words, number, before = words_of(run.column("text"))
+            places = index.positions(words)
+            known = places >= 0
+            tokens, starts = with_ends(index.classes(words, places)[number], before)
+            log_p = scorer(*contexts(tokens, starts), tokens)
+            of_word = np.zeros((2, len(words)))
+            of_word[:, known] = base[places[known]], share[places[known]]
+            bases, shares = of_word[:, number]
+            in_lexicon = known[number]
+            texts = range(run.num_rows)
+            words_in = [slice(a, b) for a, b in zip(before.tolist(), before[1:].tolist())]
+            tokens_in = [slice(a, b) for a, b in zip(starts.tolist(), starts[1:].tolist())]
+            # the words beyond the lexicon: each once a text, with its number there
+            beyond = np.flatnonzero(~in_lexicon)
+            text = np.searchsorted(before, beyond, "right") - 1
+            pairs, n = np.unique(text * max(1, len(words)) + number[beyond], return_counts=True)
+            word = pairs % max(1, len(words))
+            found = words.take(pa.array(word)).cast(pa.binary())
+            rest = pa.StructArray.from_arrays([found, pa.array(shapes(found), pa.int32()), pa.array(n, pa.int64())], ["word", "shape", "n"])
+            ends = np.searchsorted(pairs, np.arange(run.num_rows + 1) * max(1, len(words)))
+            yield pa.RecordBatch.from_pydict({
+                "row": pa.array(np.arange(row, row + run.num_rows), pa.int64()),
+                "doc_id": run.column("doc_id"), "held_out": run.column("held_out"),
+                "n_tokens": pa.array(np.diff(starts), pa.int64()),
+                "n_known": pa.array([int(in_lexicon[words_in[i]].sum()) + (m.end_count > 0) for i in texts], pa.int64()),
+                "base_score": pa.array([bases[words_in[i]].sum() + end_base for i in texts], pa.float64()),
+                "score": pa.array([log_p[tokens_in[i]].sum() / np.log(10) + shares[words_in[i]].sum() for i in texts], pa.float64()),
+                "rest": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rest)})
+            row += run.num_rows
 
     return docs.mapInArrow(rate, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
                                  "score double, rest array<struct<word:binary,shape:int,n:long>>")
