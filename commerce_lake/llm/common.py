@@ -59,7 +59,7 @@ def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[list]:
             yield [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
 
 
-def joined(batches: Iterator[pa.RecordBatch], size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def joined(batches: Iterator[pa.RecordBatch], size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Neighbouring batches as one, up to about so many bytes; empty ones are left out."""
     held: list[pa.RecordBatch] = []
     for batch in batches:

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import checkpointed, joined, small_batches, text_of
-from .tokens import encoder
+from .tokens import CUT_BYTES, encoder
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
 #: Groups of neighbouring places, in which pieces and sequences are numbered.
@@ -59,7 +59,7 @@ def tokenised_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, key
         from pyspark.sql.pandas.types import to_arrow_type
 
         enc, end = encoder(path), end_id.to_bytes(4, "little")
-        for batch in joined(batches):
+        for batch in joined(batches, CUT_BYTES):
             keys, texts = (batch.column(batch.schema.get_field_index(c)) for c in (key, "text"))
             out: list[tuple] = []
             for k, coded in zip(keys.to_pylist(), enc.encode_all(texts)):

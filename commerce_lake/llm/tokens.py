@@ -39,7 +39,7 @@ ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: Longest chunk that is remembered, and most chunks of each of the two generations that a worker remembers.
 MEMO_CHARS, MEMO_CHUNKS = 48, 700_000
 #: Bytes of texts that are cut at a time (a longer text is cut alone), and most chunks of one call of the library.
-CUT_BYTES, CALL_CHUNKS = 8 << 20, 1 << 15
+CUT_BYTES, CALL_CHUNKS = 4 << 20, 1 << 15
 
 
 def version_digest(path: str) -> str:

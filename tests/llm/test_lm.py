@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from commerce_lake.llm import lm
@@ -77,3 +78,35 @@ def test_lexicon_of_words_with_equal_counts(spark):
     assert 60 < len(model.lexicon) < 140 and model.n_words == 50
     model, _ = lm.gather(docs, 50, 600, 4)
     assert len(model.lexicon) == 600
+
+
+def test_words_of_many_texts_at_once():
+    rnd = random.Random(6)
+    parts = ["a", "B", "É", "é", "7", ".", ",", " ", " ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x85", "\xa0", "漢", "word", "LongerWord"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 30))) if rnd.random() < 0.9 else None for _ in range(500)]
+    expected = [(t or "").encode().lower().split() for t in texts]
+    words, number, before = lm.words_of(pa.array(["x", *texts]).slice(1))
+    distinct = words.to_pylist()
+    assert [[distinct[i] for i in number[a:b]] for a, b in zip(before, before[1:])] == expected
+    assert len(distinct) == len(set(distinct))
+
+    def of(word):
+        last, size = word[-1], len(word)
+        end = 0 if last >= 128 or 97 <= last <= 122 else 1 if last == 46 else 2 if last == 44 else 3
+        return end * 8 + (0 if size <= 4 else 1 if size <= 8 else 2 if size <= 12 else 3) * 2 + (not word.isascii())
+
+    assert lm.shapes(words).tolist() == [of(w) for w in distinct]
+    model = lm.Model(distinct[:20], np.arange(20, 0, -1), 4, 500, 90, np.zeros(32, int), np.zeros(32, int), 8, 4)
+    places = model.indexer().positions(words)
+    tokens, starts = lm.with_ends(model.indexer().classes(words, places)[number], before)
+    one, two = lm.contexts(tokens, starts)
+    at = {w: 1 + i for i, w in enumerate(distinct[:8])}
+    for text, a, b in zip(expected, starts, starts[1:]):
+        mine = [*(at.get(w) or 9 + of(w) for w in text), 0]
+        assert tokens[a:b].tolist() == mine
+        assert one[a:b].tolist() == [0, *mine[:-1]] and two[a:b].tolist() == [0, 0, *mine[:-2]][:len(mine)]
+    asked = []
+    index = model.indexer()
+    index.index = type("Asked", (dict,), {"get": lambda self, w, d: asked.append(w) or d})()
+    index.positions(lm.words_of(pa.array(["a b a b"] * 100))[0])
+    assert asked == [b"a", b"b"]  # distinct words only
