@@ -7,11 +7,15 @@ Shuffle budget, by design:
 * line items: row-local explode + parse, no exchange;
 * fact: per-customer and per-product metrics are partial aggregates
   joined back on their key instead of whole-partition windows, so a hot
-  customer or product is pre-reduced map-side; the per-order metrics are
-  windows over the few lines of an order (one exchange of the lines by
-  order, no side table); orders with very many lines are joined with
-  their metrics instead (``hot_orders``).  Each dimension is joined to its metric table
-  first (both one row per key).  The caller may write these two keyed
+  customer or product is pre-reduced map-side.  What an order's lines
+  have in common (``order_versions``) is kept once for each version of
+  the order: it gets its order metrics (windows over the few versions;
+  orders with very many lines are joined with theirs, ``hot_orders``)
+  and its customer there.  The lines go through two exchanges, by
+  product with their own few columns and then by order, where they meet
+  their version; a sorted or partitioned fact takes the second one by
+  range of its sort key, so that none is added for the sort.
+  Each dimension is joined to its metric table first (both one row per key).  The caller may write these two keyed
   side tables once (``fact_sides``, as ``pipeline.build`` does): every
   join-back then reads a shuffle on both sides, which adaptive execution
   splits when one key holds a large share of the lines (it cannot split
@@ -188,11 +192,11 @@ def hot_orders(lines: DataFrame, most: int = HOT_LINES) -> DataFrame:
 
 
 def with_order_metrics(lines: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Lines with the metrics of their order.
+    """Lines, or versions of orders with the sums of their lines, with the metrics of their order.
 
-    As windows over the order's lines: one exchange, no side table.  A
-    window brings an order's lines into one task, so the orders of
-    ``hot`` (see ``hot_orders``) take another way: their lines meet their
+    As windows over the order's rows: one exchange, no side table.  A
+    window brings an order's rows into one task, so the orders of
+    ``hot`` (see ``hot_orders``) take another way: their rows meet their
     metrics in a join, which adaptive execution broadcasts or splits by
     size, and never a window.
     """
@@ -200,8 +204,11 @@ def with_order_metrics(lines: DataFrame, hot: DataFrame | None = None) -> DataFr
     metrics = ["order_total_value", "items_in_order", "avg_item_price_in_order"]
 
     def windowed(rows: DataFrame) -> DataFrame:
-        return rows.select("*", F.sum("line_total").over(w).alias(metrics[0]), F.count(F.lit(1)).over(w).alias(metrics[1]),
-                           F.avg("unit_price").over(w).alias(metrics[2]))
+        if set(VERSION_SUMS) <= set(rows.columns):
+            values = [F.sum("_total").over(w), F.sum("_lines").over(w), F.try_divide(F.sum("_prices").over(w), F.sum("_priced").over(w))]
+        else:
+            values = [F.sum("line_total").over(w), F.count(F.lit(1)).over(w), F.avg("unit_price").over(w)]
+        return rows.select("*", *(v.alias(m) for m, v in zip(metrics, values)))
 
     if hot is None:
         return windowed(lines)
@@ -210,6 +217,24 @@ def with_order_metrics(lines: DataFrame, hot: DataFrame | None = None) -> DataFr
     return windowed(lines.join(side, same, "left_anti")).unionByName(lines.join(side, same).drop("_key"))
 
 
+#: What the lines of one version of an order have in common, besides its id.
+VERSION_COLUMNS = ["customer_id", "ordered_at", "order_date", "order_status", "_operation", "_event_timestamp_ms", "_extracted_at"]
+#: Sums over the lines of a version: total, lines, unit prices and their number.
+VERSION_SUMS = ["_total", "_lines", "_prices", "_priced"]
+
+
+def version_key() -> Column:
+    """Tells the versions of one order apart: 64 hashed bits of all that their lines have in common, NULLs marked."""
+    return F.xxhash64(*(x for c in VERSION_COLUMNS for x in (F.col(c).isNull(), F.col(c))))
+
+
+def order_versions(lines: DataFrame) -> DataFrame:
+    """One row per version of each order: what its lines have in common, and ``VERSION_SUMS`` (combined map-side)."""
+    return lines.groupBy("order_id", *VERSION_COLUMNS).agg(
+        F.sum("line_total").alias("_total"), F.count(F.lit(1)).alias("_lines"),
+        F.sum("unit_price").alias("_prices"), F.count("unit_price").alias("_priced"))
+
+
 def fact_sides(lines: DataFrame, dim_c: DataFrame, dim_p: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(customer side, product side): metrics of each key of the lines with its dimension, one row per key."""
     cust = customer_metrics(lines).join(dim_c.select(
@@ -232,13 +257,38 @@ def _join_back(lines: DataFrame, side: DataFrame, key: str) -> DataFrame:
     return lines.join(s, lines[key].eqNullSafe(s["_key"]), "left").drop("_key")
 
 
+def _meet(lines: DataFrame, versions: DataFrame) -> DataFrame:
+    """Every line with its order's version; a join, so the lines of a hot order can be split."""
+    v = versions.withColumnsRenamed({"order_id": "_key", "_version": "_same"})
+    return lines.join(v, lines["order_id"].eqNullSafe(v["_key"]) & (lines["_version"] == v["_same"])).drop("_key", "_same")
+
+
+def _meet_in_order(lines: DataFrame, versions: DataFrame, by: list[str], then: list[str]) -> DataFrame:
+    """Every line with its order's version, sorted by the columns ``by`` of both and ``then`` of the lines.
+
+    ``by`` holds the order's id.  Lines and versions go through one
+    exchange, by range of ``by``; a window over the rows of equal keys,
+    in the order of ``then``, gives each line the versions there, of
+    which it takes its own.
+    """
+    own = [c for c in lines.columns if c not in {*by, *then}]
+    shared = [c for c in versions.columns if c not in {*by, "_version"}]
+    both = lines.select(*by, *then, F.struct(*own).alias("_line")).unionByName(
+        versions.select(*by, F.struct("_version", *shared).alias("_of")), allowMissingColumns=True).repartitionByRange(*by)
+    w = Window.partitionBy(*by).orderBy(*(then or by)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    mine = F.filter("_there", lambda v: v["_version"] == F.col("_line")["_version"])
+    met = both.withColumn("_there", F.collect_list("_of").over(w)).where(F.col("_line").isNotNull()).withColumn("_of", F.get(mine, F.lit(0)))
+    return met.select(*by, *then, *(F.col("_line")[c].alias(c) for c in own), *(F.col("_of")[c].alias(c) for c in shared))
+
+
 def _dflt(c: str, value, unmatched: str) -> Column:
     return F.coalesce(F.col(c), F.lit(value)).alias(c) if unmatched == "defaults" else F.col(c)
 
 
 def fact_orders(lines: DataFrame, dim_c: DataFrame, dim_p: DataFrame, as_of=None,
                 unmatched: str = "defaults", ordered: bool = False,
-                sides: tuple[DataFrame, DataFrame] | None = None, hot: DataFrame | None = None) -> DataFrame:
+                sides: tuple[DataFrame, DataFrame] | None = None, hot: DataFrame | None = None,
+                by: dict[str, Column] | None = None) -> DataFrame:
     """Order lines enriched with customer and product data and metrics.
 
     ``unmatched='defaults'`` fills columns of a missing customer or
@@ -249,12 +299,35 @@ def fact_orders(lines: DataFrame, dim_c: DataFrame, dim_p: DataFrame, as_of=None
     the caller, so that hot keys can be split at the join-back; without
     them the plan stays fully lazy.  ``hot`` are the metrics of orders
     with very many lines (``hot_orders``), written by the caller.
+    ``by`` (name -> expression over ``order_date`` and ``order_id``, the
+    id itself among them) brings the rows together and sorts them by
+    these keys, and adds those that are no columns of the fact.
     """
     if unmatched not in ("defaults", "nulls"):
         raise ValueError("unmatched must be 'defaults' or 'nulls'")
+    if ordered and by:
+        raise ValueError("either ordered or by")
     now = X.as_timestamp(as_of)
     cust, prod = sides or fact_sides(lines, dim_c, dim_p)
-    f = _join_back(_join_back(with_order_metrics(lines, hot), cust, "customer_id"), prod, "product_id")
+    versions = with_order_metrics(order_versions(lines), hot).drop(*VERSION_SUMS).withColumn("_version", version_key())
+    versions = _join_back(versions, cust, "customer_id")
+    keys = by or {}
+    if ordered:
+        # ascending keys, as a window sorts them: newest first, NULLs last
+        keys = {"_undated": F.col("ordered_at").isNull(), "_age": -F.unix_micros("ordered_at"),
+                "_unnamed": F.col("order_id").isNull(), "order_id": F.col("order_id")}
+    carried = ["ordered_at"] if ordered else ["order_date"] if by else []
+    own = lines.select("order_id", "product_id", "quantity", "unit_price", "line_total", version_key().alias("_version"), *carried)
+    own = _join_back(own, prod, "product_id")
+    if ordered:
+        last = ["_no_product", "product_id"]
+        own = own.withColumns(keys).drop(*carried).withColumn(last[0], F.col("product_id").isNull())
+        f = _meet_in_order(own, versions.withColumns(keys), [*keys], last)
+        f = f.orderBy(*keys, *last)  # the planner sees that they have this order and sorts nothing
+    elif by:
+        f = _meet_in_order(own.withColumns(keys).drop(*(c for c in carried if c not in keys)), versions.withColumns(keys), [*keys], [])
+    else:
+        f = _meet(own, versions)
     price = (F.coalesce(F.col("current_product_price"), F.lit(0.0)) if unmatched == "defaults"
              else F.col("current_product_price"))
     filled = {
@@ -272,11 +345,7 @@ def fact_orders(lines: DataFrame, dim_c: DataFrame, dim_p: DataFrame, as_of=None
         "has_price_variance": X.has_variance("unit_price", price).alias("has_price_variance"),
         "_processed_at": now.alias("_processed_at"),
     }
-    out = f.select(*[filled.get(c, F.col(c)) for c in S.FACT_ORDERS])
-    if ordered:
-        out = out.orderBy(F.col("ordered_at").desc_nulls_last(), F.col("order_id").asc_nulls_last(),
-                          F.col("product_id").asc_nulls_last())
-    return out
+    return f.select(*[filled.get(c, F.col(c)) for c in S.FACT_ORDERS], *(c for c in by or {} if c not in S.FACT_ORDERS))
 
 
 # --- daily sales (G1-G5) ------------------------------------------------------------
