@@ -7,7 +7,9 @@ that filter on days also filter on the month (``recent``), so only the
 partitions of the last days are listed and read.  Rows are sorted within
 their files, and each month's rows are first brought together
 (``rebalance``: adaptive execution splits a large month over tasks and
-merges small ones), so a month is a few files of good size.
+merges small ones), so a month is a few files of good size.  A table
+that holds its month column comes from a plan that has brought its rows
+together (``fact_by``): it is written as it comes, without that exchange.
 """
 
 from __future__ import annotations
@@ -80,24 +82,25 @@ COLUMN_COMMENTS = {
 
 
 def save_table(df: DataFrame, name: str, partition_by: dict[str, Column] | None = None, sort: list[str] | None = None,
-               comment: str | None = None, comments: dict[str, str] | None = None) -> DataFrame:
+               comment: str | None = None, comments: dict[str, str] | None = None, together: bool = False) -> DataFrame:
     """Save a model as a catalog table and read it by name.
 
     ``partition_by`` adds columns (name -> expression) by which the table
     is partitioned; ``comments`` describe columns.  A table of that name
     is replaced; frames that were read from it before must be read anew.
+    ``together``: the rows of a partition lie together already.
     """
     spark = df.sparkSession
     parts = dict(partition_by or {})
     known = COLUMN_COMMENTS if comments is None else comments
     columns = [F.col(f"`{c}`") for c in df.columns if c not in parts]
     out = df.select(*columns, *(e.alias(c) for c, e in parts.items()))
-    if parts:
+    if parts and not together:
         out = out.hint("rebalance", *(F.col(c) for c in parts))
     if parts or sort:
         out = out.sortWithinPartitions(*parts, *(sort or []))
     out = out.select(*(F.col(f"`{c}`").alias(c, metadata={"comment": known[c]} if c in known else {}) for c in out.columns))
-    w = out.write.format("parquet").mode("overwrite")
+    w = out.write.format("parquet").mode("overwrite").option("compression", "zstd")
     if parts:
         w = w.partitionBy(*parts)
     w.saveAsTable(name)
@@ -110,6 +113,11 @@ def month_of(day: str | Column) -> Column:
     return F.trunc(F.col(day) if isinstance(day, str) else day, "month")
 
 
+def fact_by() -> dict[str, Column]:
+    """Keys by which ``gold.fact_orders`` brings the rows of the fact together and sorts them for its table."""
+    return {MONTH: month_of("order_date"), "order_date": F.col("order_date"), "order_id": F.col("order_id")}
+
+
 def _database(spark: SparkSession, name: str, location: str | None) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}" + (f" LOCATION '{location}'" if location else ""))
 
@@ -124,8 +132,13 @@ def publish(spark: SparkSession, gold: dict[str, DataFrame], database: str, loca
         "fact_orders": (month, ["order_date", "order_id"]),
         "fct_daily_sales": (month, ["order_date"]),
     }
-    return {name: save_table(df, f"{database}.{name}", *layout.get(name, (None, None)), comment=TABLE_COMMENTS.get(name))
-            for name, df in gold.items()}
+
+    def save(name: str, df: DataFrame) -> DataFrame:
+        parts, sort = layout.get(name, (None, None))
+        together = bool(parts) and MONTH in df.columns
+        return save_table(df, f"{database}.{name}", {MONTH: F.col(MONTH)} if together else parts, sort, comment=TABLE_COMMENTS.get(name), together=together)
+
+    return {name: save(name, df) for name, df in gold.items()}
 
 
 def publish_bronze(spark: SparkSession, bronze: dict[str, DataFrame], database: str, location: str | None = None) -> dict[str, DataFrame]:

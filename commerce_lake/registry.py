@@ -79,10 +79,10 @@ class Lake:
             self._lines = materialize(self.lines(), "line_items")
         return self._lines
 
-    def fact(self, deletes: str = "ignore", unmatched: str = "defaults", ordered: bool = False) -> DataFrame:
+    def fact(self, deletes: str = "ignore", unmatched: str = "defaults", ordered: bool = False, by=None) -> DataFrame:
         deletes = "apply" if self.deletes == "apply" else deletes
         return gold.fact_orders(self.shared_lines(), self.dim_customers(deletes), self.dim_products(), AS_OF,
-                                unmatched, ordered)
+                                unmatched, ordered, by=by)
 
     def daily(self) -> DataFrame:
         """Daily sales, from the written line items if a model of the query has them."""
@@ -345,7 +345,7 @@ def _catalog(s, d):
     """Gold tables saved by name; another session reads the last days of the fact, of which only their months are scanned."""
     lake = Lake(s, d)
     database = f"gold_{uuid.uuid4().hex[:12]}"
-    catalog.publish(s, {"fact_orders": lake.fact(), "dim_customers": lake.dim_customers()}, database, new_folder(s, "catalog"))
+    catalog.publish(s, {"fact_orders": lake.fact(by=catalog.fact_by()), "dim_customers": lake.dim_customers()}, database, new_folder(s, "catalog"))
     other = pin_session(s.newSession())
     return catalog.recent(other.table(f"{database}.fact_orders"), AS_OF_ORDERS, 7).join(
         other.table(f"{database}.dim_customers").select("customer_id", "registered_at"), "customer_id").select(
