@@ -76,7 +76,7 @@ def build(spark: SparkSession, bronze: dict[str, DataFrame], out_root: str, as_o
     }
     register_views(spark, stg)
     scratch = new_folder(spark, "build")
-    lines = materialize(gold.line_items(stg["stg_orders"], latest_only, deletes), "line_items", scratch)
+    lines = materialize(gold.line_items(stg["stg_orders"], latest_only, deletes, numbered=True), "line_items", scratch)
     dim_c = as_table(gold.dim_customers(stg["stg_customers"], as_of, deletes),
                      os.path.join(out_root, "dim_customers"), sort=["customer_id"])
     dim_p = as_table(gold.dim_products(stg["stg_products"], as_of, deletes),

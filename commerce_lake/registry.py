@@ -70,13 +70,13 @@ class Lake:
     def dim_products(self) -> DataFrame:
         return gold.dim_products(self.stg_products(), AS_OF, self.deletes)
 
-    def lines(self, latest_only: bool = False) -> DataFrame:
-        return gold.line_items(self.stg_orders(), latest_only, self.deletes)
+    def lines(self, latest_only: bool = False, numbered: bool = False) -> DataFrame:
+        return gold.line_items(self.stg_orders(), latest_only, self.deletes, numbered)
 
     def shared_lines(self) -> DataFrame:
         """Line items written once and re-read by every consumer of one query."""
         if self._lines is None:
-            self._lines = materialize(self.lines(), "line_items")
+            self._lines = materialize(self.lines(numbered=True), "line_items")
         return self._lines
 
     def fact(self, deletes: str = "ignore", unmatched: str = "defaults", ordered: bool = False, by=None) -> DataFrame:

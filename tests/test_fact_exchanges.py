@@ -4,6 +4,7 @@ import collections
 import os
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from commerce_lake.plans import catalog, gold
@@ -98,7 +99,9 @@ def test_versions_ties_and_nulls(spark):
               total("customer_id", r["customer_id"]), total("product_id", r["product_id"]))] += 1
     columns = ["order_id", "customer_id", "product_id", "ordered_at", "order_status", "unit_price", "_operation", "customer_name", "product_name",
                "order_total_value", "items_in_order", "avg_item_price_in_order", "customer_lifetime_orders", "customer_lifetime_value", "product_total_revenue"]
-    for name, df in variants(lines, dim_c, dim_p).items():
+    # numbered as order versions are when they are written, and with one version a line
+    numbers = spark.createDataFrame([Row(**r, _version=i * 7) for i, r in enumerate(given)], LINES + ", _version long")
+    for name, df in [*variants(lines, dim_c, dim_p).items(), *variants(numbers, dim_c, dim_p).items()]:
         rows = df.collect()
         assert collections.Counter(tuple(r[c] for c in columns) for r in rows) == want, name
         if name == "sorted":
@@ -136,3 +139,11 @@ def test_lines_of_the_source_are_dealt_bare(spark):
 def test_intermediate_tables_are_packed(spark, scratch):
     t = materialize(spark.range(1000), "packed", new_folder(spark, "test"))
     assert t.count() == 1000 and all(".zstd." in f for f in t.inputFiles())
+
+
+def test_written_lines_hold_the_number_of_their_version(spark):
+    lake = Lake(spark, SMALL, order_updates=True)
+    lines = lake.shared_lines()
+    of = lines.groupBy("_version").agg(F.count_distinct("order_id", "order_status", "_operation").alias("n")).agg(F.max("n"), F.count("n")).first()
+    assert of[0] == 1 and of[1] == lines.select("order_id", "_operation").distinct().count()
+    assert "_version" not in lake.lines().columns and "_version" not in lake.fact().columns
