@@ -162,16 +162,19 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = 1024, end_id: int
     return pack(checkpointed(tokenised_pieces(docs, path, capacity, end_id)), capacity)
 
 
-def pack_in_order(placed: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, place: tuple[str, str] = ("mix_slot", "mix_start")) -> DataFrame:
+def pack_in_order(placed: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, place: tuple[str, str] = ("mix_slot", "mix_start"),
+                  keep: tuple[str, ...] = ()) -> DataFrame:
     """As ``pack_documents``, with the sequences numbered by the place of the piece they were opened with.
 
     ``placed`` has two long columns that order its documents; the first
     is 0 or more.  Pieces of equal length go by place too, so as many
-    sequences are opened as without, and they run in that order.
+    sequences are opened as without, and they run in that order.  Every
+    piece has its document's columns ``keep``, which may be the place.
     """
-    where = F.struct("doc_id", *place).alias("at")
+    more = [c for c in keep if c not in place]
+    where = F.struct("doc_id", *place, *more).alias("at")
     cut = tokenised_pieces(placed.select(where, "text"), path, capacity, end_id, "at", forget=True)
-    pieces = checkpointed(cut.select("at.*", *(c for c in cut.columns if c != "at")))
+    pieces = checkpointed(cut.select("at.doc_id", *(f"at.{c}" for c in place), *(c for c in cut.columns if c != "at"), *(f"at.{c}" for c in more)))
     last = pieces.agg(F.max(place[0])).first()[0] or 0
     group = F.expr(f"{place[0]} * {PLACES}L div {last + 1}L")  # 0 to PLACES - 1
     packed = checkpointed(pack(pieces, capacity, place, group))
@@ -182,4 +185,5 @@ def pack_in_order(placed: DataFrame, path: str, capacity: int = 1024, end_id: in
     numbers = checkpointed(opened.withColumn("_n", F.row_number().over(inside) - 1).join(F.broadcast(before), "_group")
                            .select(F.col("_old").alias("sequence_id"), (F.col("_before") + F.col("_n")).cast("long").alias("_new")))
     out = packed.join(numbers, "sequence_id")
-    return out.select(*(F.col("_new").alias(c) if c == "sequence_id" else F.col(c) for c in packed.columns if c not in place))
+    own = [c for c in packed.columns if c not in {*place, *more}]
+    return out.select(*(F.col("_new").alias(c) if c == "sequence_id" else F.col(c) for c in own), *keep)
